@@ -150,6 +150,16 @@ select p_partkey, word, cast(length(word) as integer) as length
 from (select p_partkey, unnest(string_split(p_name, ' ')) as word from part)
 """
 
+SESSIONS = """
+with g as (
+  select *, case when ts - lag(ts) over (partition by user_id order by ts, event_id) <= interval 1 hour then 0 else 1 end as opens
+  from events),
+s as (select *, sum(opens) over (partition by user_id order by ts, event_id) as sid from g)
+select user_id, epoch_us(min(ts)) as session_start, epoch_us(max(ts)) + 3600000000 as session_end, count(*) as n,
+       cast(sum(cast(round(value * 100) as bigint)) as bigint) as total
+from s group by user_id, sid
+"""
+
 _BUCKETED = """
 select event_type, cast(epoch({end}) as bigint) as window_end, count(*) as n from ({rows}) group by all
 """
@@ -286,14 +296,7 @@ from events group by user_id, cast(ts as date)""",
         rows="select event_type, cast(ts + interval 8 hours as date) - interval 8 hours as s from events"),
     "arrival_window": _BUCKETED.format(
         end="s + interval 1 hour", rows="select event_type, date_trunc('hour', ts + interval 5 minutes) as s from events"),
-    "session_window": """
-with g as (
-  select *, case when ts - lag(ts) over (partition by user_id order by ts, event_id) <= interval 1 hour then 0 else 1 end as opens
-  from events),
-s as (select *, sum(opens) over (partition by user_id order by ts, event_id) as sid from g)
-select user_id, epoch_us(min(ts)) as session_start, epoch_us(max(ts)) + 3600000000 as session_end, count(*) as n,
-       cast(sum(cast(round(value * 100) as bigint)) as bigint) as total
-from s group by user_id, sid""",
+    "session_window": SESSIONS,
     "global_window": """
 select user_id, count(*) as n, cast(sum(cast(round(value * 100) as bigint)) as bigint) as total from events group by user_id""",
     "count_window": _COUNT_WINDOW,
@@ -336,4 +339,23 @@ from events""",
     "snake_to_camel": 'select p_partkey as "pPartkey", p_brand as "pBrand", p_retailprice as "pRetailprice" from part',
     "sql_view_select": "select event_id, event_type as name, value as temp from events",
     "redistribute": "select event_type, count(*) as n, cast(sum(event_id) as bigint) as ids from events group by event_type",
+    "new_visitor_repair_stream": NEW_VISITOR,
+    "daily_unique_visitor_stream": DAILY_UNIQUE,
+    "daily_unique_pairs_stream": f"select user_id, day from ({DAILY_UNIQUE})",
+    "delta_alert_stream": DELTA_PREVIOUS,
+    "bounce_detection_stream": BOUNCE,
+    "visitor_stats_stream": VISITOR_STATS,
+    "window_count_stream": WINDOW_COUNT,
+    "session_window_stream": SESSIONS,
+    "order_wide_interval_stream": ORDER_WIDE,
+    "payment_wide_stream": PAYMENT_WIDE,
+    "keyed_upsert_stream": KEYED_UPSERT,
+    "cdc_fan_out_stream": f"""
+with {_ROUTED} select o_orderkey, 'dim_orders_o' as target, o_custkey || '-' || o_orderkey as pk
+from r where tag = 'dim' and tab = 'orders_o'
+union all select o_orderkey, case tab when 'orders_o' then 'dwd_orders_o' else 'dwd_orders_f' end, cast(o_orderkey as varchar)
+from r where tag = 'fact'""",
+    "log_topics_stream": """
+select event_id, case when event_id % 101 in (3, 4, 5, 7) then 'dirty_log' when event_type = 'error' then 'start_log'
+  else 'page_log' end as topic from events""",
 }

@@ -43,8 +43,12 @@ def as_visits(df: DataFrame) -> DataFrame:
 
 
 def log_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return log_text_of(events(spark, sf_dir))
+
+
+def log_text_of(e: DataFrame) -> DataFrame:
     """``event_id, value``: raw log JSON per event; some lines are damaged in four ways."""
-    e, n = events(spark, sf_dir), F.col("event_id")
+    n = F.col("event_id")
     common = F.create_map(
         F.lit("mid"), F.col("user_id").cast("string"),
         F.lit("is_new"), F.when(entry_event(), "1").otherwise("0"),
@@ -74,11 +78,15 @@ def log_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_info_of(table(spark, sf_dir, "orders"))
+
+
+def order_info_of(orders: DataFrame) -> DataFrame:
     """Orders in the order-info shape; amounts without a source column stay zero or NULL."""
     price, zero = F.col("o_totalprice").cast(MONEY), F.lit(0).cast(MONEY)
     when = F.col("o_orderdate").cast("timestamp")
     text = F.date_format(when, DATETIME_FORMAT)
-    return table(spark, sf_dir, "orders").select(
+    return orders.select(
         F.col("o_orderkey").alias("id"),
         (F.col("o_custkey") % 25).alias("province_id"),
         F.col("o_orderstatus").alias("order_status"),
@@ -96,7 +104,11 @@ def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(
+    return order_detail_of(table(spark, sf_dir, "lineitem"))
+
+
+def order_detail_of(lines: DataFrame) -> DataFrame:
+    return lines.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("sku_id"),
@@ -111,10 +123,14 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payment_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return payment_info_of(table(spark, sf_dir, "orders"))
+
+
+def payment_info_of(orders: DataFrame) -> DataFrame:
     """One payment per finished order, up to 29 minutes after it."""
-    orders = table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'")
+    finished = orders.filter("o_orderstatus = 'F'")
     paid = F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(mins=(F.col("o_orderkey") % 30).cast("int"))
-    return orders.select(
+    return finished.select(
         F.col("o_orderkey").alias("id"),
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
@@ -164,8 +180,12 @@ def dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def change_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return change_text_of(table(spark, sf_dir, "orders"))
+
+
+def change_text_of(orders: DataFrame) -> DataFrame:
     """``o_orderkey, value``: envelope JSON per order; one table per status."""
-    o, n = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    n = F.col("o_orderkey")
     image = F.create_map(
         F.lit("o_orderkey"), n.cast("string"),
         F.lit("o_custkey"), F.col("o_custkey").cast("string"),
@@ -180,7 +200,7 @@ def change_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(op != "CREATE", image).alias("before"),
         F.when(op != "DELETE", image).alias("after"),
     )
-    return o.select(n, F.to_json(envelope).alias("value"))
+    return orders.select(n, F.to_json(envelope).alias("value"))
 
 
 ROUTES = [
@@ -217,9 +237,13 @@ def config_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return customer_changes_of(table(spark, sf_dir, "orders"))
+
+
+def customer_changes_of(orders: DataFrame) -> DataFrame:
     """Partial-column changes keyed by customer: every third order tells the status only."""
     n = F.col("o_orderkey")
-    return table(spark, sf_dir, "orders").select(
+    return orders.select(
         "o_custkey",
         n.alias("version"),
         F.when(n % 10 == 0, "delete").when(n % 10 < 4, "update").otherwise("insert").alias("type"),

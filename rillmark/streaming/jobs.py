@@ -13,16 +13,18 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from rillmark.functions.times import as_interval, epoch_micros, micros
 from rillmark.operators.aggregates import first_row_per_group
 from rillmark.operators.keyed import bounces, delta_alerts, is_bounce, repair_new_visitors
 from rillmark.operators.scan import following, scan
 from rillmark.operators.windows import lateness_tag, window_end_micros
-from rillmark.streaming.files import committed, exists
+from rillmark.streaming.files import children, committed, exists
 from rillmark.streaming.snapshot import KeyedSnapshot
 
 CHECKPOINT_INTERVAL = "5 seconds"
+END_OF_TIME = "2999-01-01 00:00:00"
 
 
 def start(df: DataFrame, job: str, mode: str = "append", path: str | None = None, **trigger) -> StreamingQuery:
@@ -43,6 +45,21 @@ def drain(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
+def with_end_marker(df: DataFrame, folder: str) -> DataFrame:
+    """Unite a stream with a marker folder, empty until ``write_end_marker``."""
+    spark = df.sparkSession
+    spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(folder)
+    return df.unionByName(spark.readStream.schema(df.schema).parquet(folder))
+
+
+def write_end_marker(spark: SparkSession, folder: str, schema: StructType, ts: str) -> None:
+    """One row at the end of time, NULL elsewhere: it moves the watermark past all real rows."""
+    row = spark.range(1).select(
+        *[(F.lit(END_OF_TIME) if f.name == ts else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
+    )
+    row.write.mode("append").parquet(folder)
+
+
 def batch_writer(out: str) -> Callable[[DataFrame, int], None]:
     """Idempotent Parquet sink: one folder per batch id."""
     return lambda df, batch_id: df.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
@@ -85,24 +102,66 @@ def state_before(spark: SparkSession, folder: str, batch_id: int, like: DataFram
     return spark.createDataFrame([], like.schema)
 
 
+def seen_before(spark: SparkSession, folder: str, batch_id: int, like: DataFrame) -> DataFrame:
+    """Rows that batches before this one remembered; partition columns prune the read."""
+    if not children(spark, folder):
+        return spark.createDataFrame([], like.schema)
+    stamped = StructType([*like.schema.fields, StructField("_batch", LongType())])
+    return spark.read.schema(stamped).parquet(folder).filter(F.col("_batch") < batch_id).drop("_batch")
+
+
+def remember(df: DataFrame, folder: str, batch_id: int, *partitions: str) -> None:
+    """Append to a seen table; running a batch again replaces its own part only."""
+    stamped = df.withColumn("_batch", F.lit(batch_id).cast("bigint"))
+    writer = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partitions, "_batch").parquet(folder)
+
+
 def repair_batches(job: str, key: str, flag: str, order: list[str]) -> Callable[[DataFrame, int], None]:
     """New-visitor repair: repair inside the batch, then against devices seen in earlier batches.
 
-    Seen devices are appended per batch; only devices new to the table are added.
+    Only devices new to the seen table are added to it.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        seen_dirs = [f"{job}/seen/{b}" for b in range(batch_id) if exists(spark, f"{job}/seen/{b}/_SUCCESS")]
-        keys = df.select(F.col(key).alias("_known"))
-        seen = spark.read.schema(keys.schema).parquet(*seen_dirs) if seen_dirs else spark.createDataFrame([], keys.schema)
-        fresh = repair_new_visitors(df, key, flag, order)
-        claims = fresh.filter(F.col(flag) == "1")
-        known = claims.join(seen, claims[key].eqNullSafe(seen["_known"]), "left_semi").withColumn(flag, F.lit("0"))
-        firsts = claims.join(seen, claims[key].eqNullSafe(seen["_known"]), "left_anti")
-        others = fresh.filter(~F.col(flag).eqNullSafe("1"))
-        firsts.select(F.col(key).alias("_known")).write.mode("overwrite").parquet(f"{job}/seen/{batch_id}")
-        batch_writer(f"{job}/out")(firsts.unionByName(known).unionByName(others), batch_id)
+        seen = seen_before(spark, f"{job}/seen", batch_id, df.select(F.col(key).alias("_known")))
+        fresh = repair_new_visitors(df, key, flag, order).persist()
+        try:
+            claims = fresh.filter(F.col(flag) == "1")
+            same = claims[key].eqNullSafe(seen["_known"])
+            known = claims.join(seen, same, "left_semi").withColumn(flag, F.lit("0"))
+            firsts = claims.join(seen, same, "left_anti")
+            others = fresh.filter(~F.col(flag).eqNullSafe("1"))
+            batch_writer(f"{job}/out")(firsts.unionByName(known).unionByName(others), batch_id)
+            remember(firsts.select(F.col(key).alias("_known")), f"{job}/seen", batch_id)
+        finally:
+            fresh.unpersist()
+
+    return write
+
+
+def first_visit_batches(job: str, key: str, ts: str, order: list[str]) -> Callable[[DataFrame, int], None]:
+    """Daily unique visitors: the earliest row per key and day of a batch, unless an earlier batch had one.
+
+    The seen table is laid out by day; the join prunes it to the days of the batch.
+    """
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        dated = df.withColumn("_day", F.to_date(ts))
+        pairs = dated.select(F.col(key).alias("_known"), F.col("_day").alias("_on"))
+        firsts = first_row_per_group(dated, [key, "_day"], [F.col(c) for c in order])
+        span = dated.agg(F.min("_day"), F.max("_day")).first()
+        seen = seen_before(spark, f"{job}/seen", batch_id, pairs).filter(F.col("_on").between(*span))
+        same = firsts[key].eqNullSafe(seen["_known"]) & (firsts["_day"] == seen["_on"])
+        fresh = firsts.join(seen, same, "left_anti").persist()
+        try:
+            batch_writer(f"{job}/out")(fresh.drop("_day"), batch_id)
+            marks = fresh.select(F.col(key).alias("_known"), F.col("_day").alias("_on"))
+            remember(marks, f"{job}/seen", batch_id, "_on")
+        finally:
+            fresh.unpersist()
 
     return write
 
