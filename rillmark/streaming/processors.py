@@ -43,13 +43,14 @@ class NewVisitorRepair(StatefulProcessor):
 
 
 class DailyFirstVisit(StatefulProcessor):
-    """A row passes when its day differs from the stored day; the state expires after a day."""
+    """A row passes when its day differs from the stored day; the state may expire."""
 
-    def __init__(self, day: str, ttl: timedelta = timedelta(days=1)):
+    def __init__(self, day: str, ttl: timedelta | None):
         self.day, self.ttl = day, ttl
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "day string", int(self.ttl.total_seconds() * 1000))
+        expiry = None if self.ttl is None else micros(self.ttl) // 1000
+        self.last = handle.getValueState("last", "day string", expiry)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         for batch in rows:
@@ -158,9 +159,13 @@ def repair_stream(df: DataFrame, key: str, flag: str) -> DataFrame:
     return run_processor(df, key, NewVisitorRepair(flag), df.schema)
 
 
-def daily_visit_stream(df: DataFrame, key: str, day: str) -> DataFrame:
-    """``day`` is a date text column; the state lives one day of processing time."""
-    return run_processor(df, key, DailyFirstVisit(day), df.schema, "ProcessingTime")
+def daily_visit_stream(df: DataFrame, key: str, day: str, ttl: timedelta | None = timedelta(days=1)) -> DataFrame:
+    """``day`` is a date text column; the state lives ``ttl`` of processing time.
+
+    With an expiry the query never runs out of work, so ``availableNow``
+    does not end: use a processing-time trigger, or ``ttl=None`` to replay.
+    """
+    return run_processor(df, key, DailyFirstVisit(day, ttl), df.schema, "none" if ttl is None else "ProcessingTime")
 
 
 def delta_stream(df: DataFrame, key: str, value: str, threshold: float, baseline: str = "previous") -> DataFrame:
