@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -11,9 +11,19 @@ def parse(text: Column) -> Column:
     return F.try_parse_json(text)
 
 
-def is_object(document: Column) -> Column:
-    """True only for JSON objects; NULL, scalars and arrays give False."""
-    return F.coalesce(F.schema_of_variant(document).startswith("OBJECT"), F.lit(False))
+def evaluate_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add costly columns behind a generator.
+
+    Filters on a plain projected column are pushed below it and repeat its
+    expression for every reference; a generator's output is computed once.
+    """
+    one = F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))
+    return df.select("*", F.inline(one))
+
+
+def is_object(text: Column) -> Column:
+    """True when well-formed JSON text holds an object, not a scalar or an array."""
+    return F.coalesce(F.ltrim(text, F.lit(" \t\r\n")).startswith("{"), F.lit(False))
 
 
 def get_string(document: Column, path: str) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillmark.functions import json
 from rillmark.functions.text import is_blank, join_key
 from rillmark.operators.joins import lookup
 
@@ -16,7 +17,8 @@ DIMENSION_SINK, FACT_SINK = "hbase", "kafka"
 
 def read_envelopes(df: DataFrame, text: str, *keep: str) -> DataFrame:
     """Change-envelope JSON to ``topic, op, ts, before, after``."""
-    return df.select(*keep, F.from_json(text, ENVELOPE).alias("_e")).select(*keep, "_e.*")
+    parsed = json.evaluate_once(df.select(*keep, text), _e=F.from_json(text, ENVELOPE))
+    return parsed.select(*keep, "_e.*")
 
 
 def normalise_changes(df: DataFrame, images: str = "single") -> DataFrame:
@@ -81,16 +83,28 @@ def sink_schema(config: dict[str, str]) -> str:
     return ", ".join(["pk string", *[f"`{c}` string" for c in columns if c.lower() != "pk"]])
 
 
+def listed_names(listed: Column) -> Column:
+    """A comma list as lower-case names."""
+    return F.split(F.regexp_replace(F.lower(listed), "\\s", ""), ",")
+
+
+def key_values(data: Column, names: Column) -> Column:
+    """The values of the named columns of a row image, NULL where a name is missing."""
+    entries = F.map_entries(data)
+
+    def value(name: Column) -> Column:
+        return F.try_element_at(F.filter(entries, lambda e: F.lower(e["key"]) == name), F.lit(1))["value"]
+
+    return F.transform(names, value)
+
+
 def row_key(data: Column, key_columns: Column) -> Column:
     """Values of the comma-listed columns joined by ``-``; NULL when one is missing."""
-    lowered = F.transform_keys(data, lambda k, _: F.lower(k))
-    names = F.split(F.lower(key_columns), ",")
-    return join_key(F.transform(names, lambda c: F.element_at(lowered, F.trim(c))))
+    return join_key(key_values(data, listed_names(key_columns)))
 
 
-def keep_columns(data: Column, listed: Column) -> Column:
-    """Only the map entries whose key is in the comma list, whatever the case."""
-    names = F.transform(F.split(F.lower(listed), ","), lambda c: F.trim(c))
+def keep_columns(data: Column, names: Column) -> Column:
+    """Only the map entries whose key is among the lower-case names, whatever its case."""
     return F.map_filter(data, lambda k, _: F.array_contains(names, F.lower(k)))
 
 
@@ -103,22 +117,28 @@ def route(changes: DataFrame, config: DataFrame) -> DataFrame:
     """
     route_key = F.concat_ws("\u0001", "_table", "_type")
     live = config.withColumns({"_table": F.col("sourceTable"), "_type": F.col("operateType")}).select(
-        route_key.alias("_route"), F.lower("sinkType").alias("_sink"), "sinkTable", "sinkColumns", "sinkPk"
+        route_key.alias("_route"),
+        F.lower("sinkType").alias("_sink"),
+        "sinkTable",
+        listed_names(F.col("sinkColumns")).alias("_columns"),
+        F.when(~is_blank(F.col("sinkPk")), listed_names(F.col("sinkPk"))).alias("_pk"),
     )
     keyed = changes.withColumn("_key", F.concat_ws("\u0001", "table", "type"))
-    joined = lookup(keyed, live, "_key", "_route").withColumn("pk", row_key(F.col("data"), F.col("sinkPk")))
+    matched = lookup(keyed, live, "_key", "_route")
+    joined = json.evaluate_once(matched, _values=key_values(F.col("data"), F.col("_pk")))
     known = F.coalesce(F.col("_sink").isin(DIMENSION_SINK, FACT_SINK), F.lit(False))
+    no_key = F.col("_values").isNull() | F.exists("_values", lambda v: v.isNull())
     tag = (
         F.when(~known, "unrouted")
-        .when(is_blank(F.col("sinkPk")) | F.col("pk").isNull(), "bad_key")
+        .when(no_key, "bad_key")
         .when(F.col("_sink") == DIMENSION_SINK, "dim")
         .otherwise("fact")
     )
-    filtered = keep_columns(F.col("data"), F.col("sinkColumns"))
+    filtered = keep_columns(F.col("data"), F.col("_columns"))
     return (
-        joined.withColumn("tag", tag)
+        joined.withColumns({"tag": tag, "pk": join_key(F.col("_values"))})
         .withColumn("data", F.when(F.col("tag").isin("dim", "fact"), filtered).otherwise(F.col("data")))
-        .drop("_key", "_sink", "sinkColumns", "sinkPk")
+        .drop("_key", "_sink", "_columns", "_pk", "_values")
     )
 
 

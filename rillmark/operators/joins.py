@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rillmark.functions.text import java_split
 from rillmark.functions.times import age_on, epoch_micros, micros
-from rillmark.operators.skew import fits_broadcast, hot_keys
+from rillmark.operators.skew import hot_keys, measure_dimensions
 
 SALTS = 64
 
@@ -62,12 +62,6 @@ def interval_join(
     return l.join(r, matched & (l["_bucket_l"] == r["_bucket_r"]) & in_range).drop("_bucket_l", "_bucket_r")
 
 
-def check_unique(dim: DataFrame, key: str) -> None:
-    """Fail when a dimension holds a key twice."""
-    if not dim.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
-        raise ValueError(f"duplicate {key} in dimension")
-
-
 def lookup(
     fact: DataFrame,
     dim: DataFrame,
@@ -77,15 +71,18 @@ def lookup(
     unique: bool = True,
     max_rows: int | None = None,
     max_broadcast: int | None = None,
+    measured: tuple[bool, bool] | None = None,
 ) -> DataFrame:
     """Enrich facts with the dimension row of their key; the dimension key is dropped.
 
     A dimension within the row bound is broadcast. Beyond it both sides are
     shuffled, with hot fact keys spread over ``SALTS`` copies of their row.
+    ``measured`` is the dimension's entry of ``measure_dimensions``, if known.
     """
-    if unique:
-        check_unique(dim, dim_key)
-    if fits_broadcast(dim, max_broadcast):
+    small, distinct = measured or measure_dimensions([(dim, dim_key)], max_broadcast)[0]
+    if unique and not distinct:
+        raise ValueError(f"duplicate {dim_key} in dimension")
+    if small:
         return fact.join(F.broadcast(dim), fact[fact_key] == dim[dim_key], how).drop(dim[dim_key])
     hot = None if fact.isStreaming else hot_keys(fact, [F.col(fact_key)], max_rows)
     if hot is None:
@@ -103,38 +100,31 @@ def lookup(
     return salted.join(copied, matched, how).drop(copied[dim_key]).drop("_salt", "_copy")
 
 
-def lookup_user(wide: DataFrame, users: DataFrame, asof: Column | date, how: str = "left") -> DataFrame:
+def user_dimension(users: DataFrame, asof: Column | date) -> DataFrame:
     """``pk, birthday, gender`` -> ``user_age, user_gender``."""
-    dim = users.select("pk", age_on(F.col("birthday"), asof).alias("user_age"), F.col("gender").alias("user_gender"))
-    return lookup(wide, dim, "user_id", "pk", how)
+    return users.select("pk", age_on(F.col("birthday"), asof).alias("user_age"), F.col("gender").alias("user_gender"))
 
 
-def lookup_province(wide: DataFrame, provinces: DataFrame, how: str = "left") -> DataFrame:
+def province_dimension(provinces: DataFrame) -> DataFrame:
     """``pk, name, area_code, iso_code, iso_3166_2`` -> the four province columns."""
-    dim = provinces.select(
+    return provinces.select(
         "pk",
         F.col("name").alias("province_name"),
         F.col("area_code").alias("province_area_code"),
         F.col("iso_code").alias("province_iso_code"),
         F.col("iso_3166_2").alias("province_3166_2_code"),
     )
-    return lookup(wide, dim, "province_id", "pk", how)
 
 
-def lookup_sku(wide: DataFrame, skus: DataFrame, how: str = "left") -> DataFrame:
-    """``pk, sku_name, category3_id, spu_id, tm_id``: overwrites ``sku_name``, adds the chained keys."""
-    dim = skus.select(
-        "pk",
-        F.col("sku_name").alias("_dim_name"),
-        *[F.col(c).try_cast("bigint").alias(c) for c in ("category3_id", "spu_id", "tm_id")],
-    )
-    joined = lookup(wide, dim, "sku_id", "pk", how)
-    return joined.withColumn("sku_name", F.coalesce("_dim_name", "sku_name")).drop("_dim_name")
+def sku_dimension(skus: DataFrame) -> DataFrame:
+    """``pk, sku_name, category3_id, spu_id, tm_id``: the name and the keys of the chained lookups."""
+    chained = [F.col(c).try_cast("bigint").alias(c) for c in ("category3_id", "spu_id", "tm_id")]
+    return skus.select("pk", F.col("sku_name").alias("_dim_name"), *chained)
 
 
-def lookup_name(wide: DataFrame, dim: DataFrame, key: str, name: str, output: str, how: str = "left") -> DataFrame:
+def name_dimension(dim: DataFrame, name: str, output: str) -> DataFrame:
     """One named dimension (spu, trademark, category): ``pk, name`` -> ``output``."""
-    return lookup(wide, dim.select("pk", F.col(name).alias(output)), key, "pk", how)
+    return dim.select("pk", F.col(name).alias(output))
 
 
 def enrich_order_wide(
@@ -148,13 +138,23 @@ def enrich_order_wide(
     asof: Column | date,
     how: str = "left",
 ) -> DataFrame:
-    """The six lookups; spu, trademark and category use keys that the sku lookup supplies."""
-    step = lookup_user(wide, users, asof, how)
-    step = lookup_province(step, provinces, how)
-    step = lookup_sku(step, skus, how)
-    step = lookup_name(step, spus, "spu_id", "spu_name", "spu_name", how)
-    step = lookup_name(step, trademarks, "tm_id", "tm_name", "tm_name", how)
-    return lookup_name(step, categories, "category3_id", "name", "category3_name", how)
+    """The six lookups; spu, trademark and category use keys that the sku lookup supplies.
+
+    ``sku_name`` is overwritten by the sku dimension's.
+    """
+    dims = [
+        ("user_id", user_dimension(users, asof)),
+        ("province_id", province_dimension(provinces)),
+        ("sku_id", sku_dimension(skus)),
+        ("spu_id", name_dimension(spus, "spu_name", "spu_name")),
+        ("tm_id", name_dimension(trademarks, "tm_name", "tm_name")),
+        ("category3_id", name_dimension(categories, "name", "category3_name")),
+    ]
+    keyed = [(key, dim.withColumn("pk", F.col("pk").try_cast("bigint"))) for key, dim in dims]
+    measures = measure_dimensions([(dim, "pk") for _, dim in keyed])
+    for (key, dim), measured in zip(keyed, measures):
+        wide = lookup(wide, dim, key, "pk", how, measured=measured)
+    return wide.withColumn("sku_name", F.coalesce("_dim_name", "sku_name")).drop("_dim_name")
 
 
 def split_rows(df: DataFrame, text: str, pattern: str) -> DataFrame:

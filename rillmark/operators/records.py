@@ -29,10 +29,10 @@ def parse_logs(df: DataFrame, text: str) -> DataFrame:
     ``is_new`` is a column of its own: a variant is immutable and this flag
     is repaired later.
     """
-    parsed = df.withColumn("doc", json.parse(F.col(text)))
+    parsed = json.evaluate_once(df, doc=json.parse(F.col(text)))
     reason = (
         F.when(F.col("doc").isNull(), "bad_json")
-        .when(~json.is_object(F.col("doc")), "not_an_object")
+        .when(~json.is_object(F.col(text)), "not_an_object")
         .when(json.get_string(F.col("doc"), "$.common.mid").isNull(), "no_mid")
     )
     return parsed.withColumns(
@@ -74,7 +74,7 @@ def page_displays(tagged: DataFrame, *keep: str) -> DataFrame:
 
 def typed_rows(df: DataFrame, text: str, schema: StructType, *keep: str) -> DataFrame:
     """JSON text to the columns of ``schema``; unknown fields are dropped, missing ones NULL."""
-    return df.select(*keep, F.from_json(text, schema).alias("_row")).select(*keep, "_row.*")
+    return json.evaluate_once(df.select(*keep, text), _row=F.from_json(text, schema)).select(*keep, "_row.*")
 
 
 def json_rows(df: DataFrame, *columns: str, name: str = "value") -> DataFrame:

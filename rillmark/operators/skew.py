@@ -1,8 +1,10 @@
 """Bounded checks that decide how a join or a keyed scan is laid out.
 
-A key is *hot* when it holds more than ``max_rows`` rows. There are at most
-``rows / max_rows`` hot keys, which is what makes their table safe to
-broadcast. The default can be changed with ``spark.conf``.
+A key is *hot* when it holds about ``max_rows`` rows or more. There are at
+most a little over ``rows / max_rows`` hot keys, which is what makes their
+table safe to broadcast. Results never depend on which keys were found hot,
+only the layout does, so the keys are counted on a sample. The defaults can
+be changed with ``spark.conf``.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ HOT_ROWS_CONF = "rillmark.hotRows"
 HOT_ROWS = 4_000_000
 BROADCAST_ROWS_CONF = "rillmark.broadcastRows"
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
+SAMPLED_ROWS = 400
 
 
 def hot_rows(df: DataFrame, max_rows: int | None = None) -> int:
@@ -34,17 +38,50 @@ def null_safe(left: list[Column], right: list[Column]) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: list[Column], max_rows: int | None = None) -> DataFrame | None:
-    """Checkpointed table ``(hot_0.., hot_n)`` of the hot keys, or None when there are none."""
-    named = [k.alias(f"hot_{i}") for i, k in enumerate(keys)]
-    counts = df.groupBy(*named).agg(F.count(F.lit(1)).alias("hot_n"))
-    hot = counts.filter(F.col("hot_n") > hot_rows(df, max_rows))
+    """Checkpointed table ``(hot_0.., hot_n)`` of the hot keys, or None when there are none.
+
+    A key at the limit is expected ``SAMPLED_ROWS`` times in the sample; three
+    quarters of that make it hot, five standard deviations below. Only the
+    key columns are read and almost no rows are shuffled.
+    """
+    limit = hot_rows(df, max_rows)
+    share = min(1.0, SAMPLED_ROWS / limit)
+    cut = limit if share == 1.0 else 0.75 * SAMPLED_ROWS
+    named = df.select(*[k.alias(f"hot_{i}") for i, k in enumerate(keys)])
+    sampled = named if share == 1.0 else named.filter(F.rand(23) < share)
+    counts = sampled.groupBy(*named.columns).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > cut)
+    hot = counts.select(*named.columns, F.ceil(F.col("_n") / share).alias("hot_n"))
     if hot.isEmpty():
         return None
     ensure_checkpoint_dir(df.sparkSession)
     return hot.checkpoint()
 
 
-def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when the frame has at most the allowed number of rows; reads no further than that."""
-    bound = broadcast_rows(df, max_rows)
-    return df.limit(bound + 1).count() <= bound
+def row_bytes(df: DataFrame) -> Column:
+    """Approximate width of a row: text by its length, anything else nested by its JSON, the rest 8 bytes."""
+    width = F.lit(0)
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            width = width + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
+        elif kind.startswith(("array", "map", "struct")):
+            width = width + F.coalesce(F.length(F.to_json(F.struct(name))), F.lit(0))
+        else:
+            width = width + 8
+    return width.cast("bigint")
+
+
+def measure_dimensions(dims: list[tuple[DataFrame, str]], max_rows: int | None = None) -> list[tuple[bool, bool]]:
+    """Per ``(dimension, key)``: does it fit a broadcast, and is the key unique (NULL keys ignored).
+
+    All are measured by one job, each by one aggregate.
+    """
+    totals = []
+    for i, (df, key) in enumerate(dims):
+        per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df)).alias("bytes"))
+        repeats = F.max(F.when(F.col(key).isNotNull(), F.col("n"))).alias("most")
+        totals.append(per_key.agg(F.lit(i).alias("i"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), repeats))
+    rows = sorted(reduce(DataFrame.unionByName, totals).collect())
+    return [
+        ((r.n or 0) <= broadcast_rows(df, max_rows) and (r.bytes or 0) <= BROADCAST_BYTES, (r.most or 0) <= 1)
+        for r, (df, _) in zip(rows, dims)
+    ]

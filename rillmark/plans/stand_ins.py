@@ -7,6 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillmark.functions.json import evaluate_once
 from rillmark.functions.times import DATETIME_FORMAT
 
 ASOF = date(2021, 11, 2)
@@ -74,7 +75,7 @@ def log_text_of(e: DataFrame) -> DataFrame:
         .when(n % 101 == 5, n.cast("string"))
         .otherwise(F.col("g"))
     )
-    return e.withColumn("g", good).select("event_id", value.alias("value"))
+    return evaluate_once(e, g=good).select("event_id", value.alias("value"))
 
 
 def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,7 +201,7 @@ def change_text_of(orders: DataFrame) -> DataFrame:
         F.when(op != "CREATE", image).alias("before"),
         F.when(op != "DELETE", image).alias("after"),
     )
-    return orders.select(n, F.to_json(envelope).alias("value"))
+    return evaluate_once(orders, value=F.to_json(envelope)).select(n, "value")
 
 
 ROUTES = [
