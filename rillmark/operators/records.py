@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 from rillmark.functions import json
 from rillmark.functions.text import is_blank, java_split
@@ -72,9 +72,17 @@ def page_displays(tagged: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def typed_rows(df: DataFrame, text: str, schema: StructType, *keep: str) -> DataFrame:
-    """JSON text to the columns of ``schema``; unknown fields are dropped, missing ones NULL."""
-    return json.evaluate_once(df.select(*keep, text), _row=F.from_json(text, schema)).select(*keep, "_row.*")
+def typed_rows(df: DataFrame, text: str, schema: StructType | str, *keep: str) -> DataFrame:
+    """JSON text to the columns of ``schema``; unknown fields are dropped, missing ones NULL.
+
+    Plain values are read as text and then cast, so that numbers may come quoted.
+    """
+    fields = (StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    nested = (StructType, ArrayType, MapType)
+    loose = StructType([StructField(f.name, f.dataType if isinstance(f.dataType, nested) else StringType()) for f in fields])
+    source = df.select(*dict.fromkeys([*keep, text]))
+    parsed = json.evaluate_once(source, _row=F.from_json(text, loose))
+    return parsed.select(*keep, *[F.col(f"_row.{f.name}").try_cast(f.dataType).alias(f.name) for f in fields])
 
 
 def json_rows(df: DataFrame, *columns: str, name: str = "value") -> DataFrame:

@@ -104,18 +104,21 @@ class BounceDetector(StatefulProcessor):
     for the earliest undecided row; rows settled by then leave the state.
     """
 
-    def __init__(self, ts: str, tie: str, entry: str, within: timedelta):
-        self.ts, self.tie, self.entry, self.wait = ts, tie, entry, micros(within) // 1000
+    def __init__(self, ts: str, tie: str, entry: str, value: str, within: timedelta):
+        self.ts, self.tie, self.entry, self.value, self.wait = ts, tie, entry, value, micros(within) // 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "at bigint, tie bigint, entry boolean")
+        self.waiting = handle.getListState("waiting", "at bigint, tie bigint, entry boolean, value string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         for batch in rows:
             at = batch[self.ts].astype("datetime64[us]").astype("int64")
             self.waiting.appendList(
-                [(int(a), int(t), bool(e)) for a, t, e in zip(at, batch[self.tie], batch[self.entry])]
+                [
+                    (int(a), int(t), bool(e), v)
+                    for a, t, e, v in zip(at, batch[self.tie], batch[self.entry], batch[self.value])
+                ]
             )
         yield from self._settle(key, timerValues.getCurrentWatermarkInMs())
 
@@ -124,15 +127,15 @@ class BounceDetector(StatefulProcessor):
 
     def _settle(self, key, watermark_ms: int) -> Iterator[pd.DataFrame]:
         mark, wait = watermark_ms * 1000, self.wait * 1000
-        rows = sorted(self.waiting.get())
+        rows = sorted(self.waiting.get(), key=lambda row: row[:2])
         found, kept = [], []
         for row, after in zip(rows, [*rows[1:], None]):
-            at, tie, entry = row
+            at, tie, entry, value = row
             final_next = after is not None and after[0] <= mark
             if at > mark or (entry and not final_next and mark < at + wait):
                 kept.append(row)
             elif entry and (after is None or after[0] - at >= wait or after[2]):
-                found.append(tie)
+                found.append((key[0], tie, value))
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
         if kept:
@@ -141,7 +144,7 @@ class BounceDetector(StatefulProcessor):
         else:
             self.waiting.clear()
         if found:
-            yield pd.DataFrame({"key": key[0], "tie": found})
+            yield pd.DataFrame(found, columns=["key", "tie", "value"])
 
     def close(self) -> None:
         pass
@@ -173,8 +176,10 @@ def delta_stream(df: DataFrame, key: str, value: str, threshold: float, baseline
     return run_processor(df, key, DeltaAlert(key, value, threshold, baseline), schema)
 
 
-def bounce_stream(df: DataFrame, key: str, ts: str, tie: str, entry: str, within: timedelta, delay: timedelta) -> DataFrame:
-    """``(key, tie)`` of every bounce; ``tie`` is a unique BIGINT, ``entry`` a BOOLEAN column."""
-    timed = df.select(key, ts, tie, entry).withWatermark(ts, as_interval(delay))
-    schema = f"key {df.schema[key].dataType.simpleString()}, tie bigint"
-    return run_processor(timed, key, BounceDetector(ts, tie, entry, within), schema, "EventTime")
+def bounce_stream(
+    df: DataFrame, key: str, ts: str, tie: str, entry: str, value: str, within: timedelta, delay: timedelta
+) -> DataFrame:
+    """``key, tie, value`` of every bounce: ``tie`` a unique BIGINT, ``entry`` a BOOLEAN, ``value`` the record's text."""
+    timed = df.select(key, ts, tie, entry, value).withWatermark(ts, as_interval(delay))
+    schema = f"key {df.schema[key].dataType.simpleString()}, tie bigint, value string"
+    return run_processor(timed, key, BounceDetector(ts, tie, entry, value, within), schema, "EventTime")

@@ -262,6 +262,7 @@ def test_bounce_processor(spark, tmp_path):
     src = str(tmp_path / "in")
     batches = [*chunks(rows), [(-1, -1, 10_000_000, False)]]
     stream = with_ts(feed(spark, src, batches))
-    out = processors.bounce_stream(stream, "k", "ts", "id", "entry", timedelta(seconds=10), timedelta(seconds=600))
+    stream = stream.withColumn("text", F.col("id").cast("string"))
+    out = processors.bounce_stream(stream, "k", "ts", "id", "entry", "text", timedelta(seconds=10), timedelta(seconds=600))
     got = [r.tie for r in _collect(spark, tmp_path, out)]
     assert len(got) == len(set(got)) and set(got) == brute.bounces(rows, 10)
