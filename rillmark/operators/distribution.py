@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rillmark.operators.skew import spread
+
 
 def shuffle_random(df: DataFrame, n: int) -> DataFrame:
-    """Spread rows by a hash of their content.
+    """Spread rows without regard to any key.
 
     A random partitioner draws anew when a lost task is run again and could
-    then lose or repeat rows, so the spread is drawn from the row itself.
+    then lose or repeat rows, so the draw is a function of row and task.
     """
-    return df.repartition(n, F.xxhash64(*[F.col(c).cast("string") for c in df.columns]))
+    return df.withColumn("_draw", spread(df, n)).repartitionById(n, "_draw").drop("_draw")
 
 
 def rebalance(df: DataFrame, n: int) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rillmark.functions.text import java_split
 from rillmark.functions.times import age_on, epoch_micros, micros
-from rillmark.operators.skew import hot_keys, measure_dimensions
+from rillmark.operators.skew import hot_keys, measure_dimensions, spread
 
 SALTS = 64
 
@@ -88,9 +88,9 @@ def lookup(
     if hot is None:
         return fact.join(dim, fact[fact_key] == dim[dim_key], how).drop(dim[dim_key])
     is_hot = F.col("hot_n").isNotNull()
-    spread = F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in fact.columns]), F.lit(SALTS))
-    salted = fact.join(F.broadcast(hot), fact[fact_key].eqNullSafe(hot["hot_0"]), "left").select(
-        *fact.columns, F.when(is_hot, spread).otherwise(0).alias("_salt")
+    salt = spread(fact, SALTS)
+    salted = fact.withColumn("_draw", salt).join(F.broadcast(hot), fact[fact_key].eqNullSafe(hot["hot_0"]), "left").select(
+        *fact.columns, F.when(is_hot, F.col("_draw")).otherwise(0).alias("_salt")
     )
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     copied = dim.join(F.broadcast(hot), dim[dim_key] == hot["hot_0"], "left").select(

@@ -57,6 +57,16 @@ def hot_keys(df: DataFrame, keys: list[Column], max_rows: int | None = None) ->
     return hot.checkpoint()
 
 
+def spread(df: DataFrame, parts: int) -> Column:
+    """A number below ``parts`` for every row of ``df``.
+
+    Drawn from the row and the task that reads it, so equal rows of different
+    tasks spread too, and a task that is run again draws the same numbers.
+    """
+    drawn = F.xxhash64(*[F.col(c).cast("string") for c in df.columns]) + F.spark_partition_id().cast("bigint") * 7919
+    return F.pmod(drawn, F.lit(parts)).cast("int")
+
+
 def row_bytes(df: DataFrame) -> Column:
     """Approximate width of a row: text by its length, anything else nested by its JSON, the rest 8 bytes."""
     width = F.lit(0)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillmark.functions.times import as_interval, epoch_micros, micros
+from rillmark.operators.joins import lookup
 from rillmark.operators.scan import previous, running_max, running_sum, scan
 
 
@@ -106,6 +107,6 @@ def classify_replay(
     running = scan(tops.withColumn("_all", F.lit(0)), ["_all"], ["_b"], _so_far=running_max(F.col("_top")))
     marks = scan(running, ["_all"], ["_b"], _seen=previous(F.col("_so_far")))
     marks = marks.select("_b", (F.col("_seen") - micros(bound)).alias("_mark"))
-    joined = df.join(marks, df[batch] == marks["_b"], "left")
+    joined = lookup(df, marks, batch, "_b")
     tag = lateness_tag(window_end_micros(ts, size), F.col("_mark"), lateness)
-    return joined.select(*[df[c] for c in df.columns], tag.alias("tag"))
+    return joined.select(*df.columns, tag.alias("tag"))

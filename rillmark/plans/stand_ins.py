@@ -16,6 +16,8 @@ MONEY = "decimal(18,2)"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table. Its zone-less times are read as UTC, so the session is set to UTC."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

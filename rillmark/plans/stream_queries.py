@@ -25,7 +25,7 @@ SECOND = timedelta(seconds=1)
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table as a file stream, be it one file or a folder of files."""
     path = f"{sf_dir}/{name}.parquet"
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    reader = spark.readStream.schema(sample.table(spark, sf_dir, name).schema)
     return reader.parquet(path) if is_folder(spark, path) else reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 

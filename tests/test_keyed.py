@@ -141,3 +141,37 @@ def test_empty_inputs(spark):
     empty = frame(spark, [])
     assert keyed.bounces(empty, "k", "ts", F.col("entry"), ["id"], timedelta(seconds=1)).count() == 0
     assert windows.sessions(empty, ["k"], "ts", timedelta(seconds=1), "id").count() == 0
+
+
+def test_hot_keys_are_found_on_a_sample(spark):
+    from rillmark.operators.skew import hot_keys
+
+    rows = spark.range(60_000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
+    found = hot_keys(rows, [F.col("k")], 4000).collect()
+    assert [r.hot_0 for r in found] == [0] and 15_000 < found[0].hot_n < 25_000
+    assert hot_keys(rows, [F.col("k")], 40_000) is None
+
+
+def test_hot_key_scan_on_a_sample(spark):
+    """A third of the rows on one key, cut by sampled quantiles, still sums like a plain window."""
+    from pyspark.sql import Window
+
+    from rillmark.operators.aggregates import running_total
+
+    rows = spark.range(40_000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"))
+    spark.conf.set("rillmark.hotRows", "2000")
+    try:
+        got = running_total(rows, ["k"], F.col("id"), ["id"], "total")
+        assert "_segment" in got._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("rillmark.hotRows")
+    want = rows.withColumn("total", F.sum("id").over(Window.partitionBy("k").orderBy("id")))
+    assert got.exceptAll(want).isEmpty() and got.count() == 40_000
+
+
+def test_equal_rows_spread(spark):
+    from rillmark.operators.skew import spread
+
+    copies = spark.range(0, 800, 1, 16).select(F.lit("same").alias("v"))
+    drawn = copies.select(spread(copies, 8).alias("s")).groupBy("s").count().collect()
+    assert len(drawn) > 4 and sum(r["count"] for r in drawn) == 800
