@@ -32,6 +32,17 @@ def csv_table(spark: SparkSession, path: str, schema: str, view: str | None = No
     return df
 
 
+def catalog_csv_table(spark: SparkSession, name: str, path: str, schema: str) -> DataFrame:
+    """A catalogued table over CSV files, to read by name and to insert into."""
+    spark.sql(f"create table {name} ({schema}) using csv location '{path}'")
+    return spark.table(name)
+
+
+def insert_into(df: DataFrame, name: str) -> None:
+    """Append rows to a catalogued table, columns by position."""
+    df.write.insertInto(name)
+
+
 def query_rows(spark: SparkSession, sql: str, camel: bool = False) -> DataFrame:
     """Rows of a SQL query over catalogued tables; failures are raised."""
     df = spark.sql(sql)

@@ -24,7 +24,7 @@ from rillmark.streaming.files import children, committed, exists
 from rillmark.streaming.snapshot import KeyedSnapshot
 
 CHECKPOINT_INTERVAL = "5 seconds"
-END_OF_TIME = "2999-01-01 00:00:00"
+END_OF_TIME = "2200-01-01 00:00:00"
 
 
 def start(df: DataFrame, job: str, mode: str = "append", path: str | None = None, **trigger) -> StreamingQuery:
@@ -96,10 +96,12 @@ def latest_updates(out: DataFrame, keys: list[str]) -> DataFrame:
 
 def state_before(spark: SparkSession, folder: str, batch_id: int, like: DataFrame) -> DataFrame:
     """State table left by the preceding batch, empty at the start."""
+    if batch_id == 0:
+        return spark.createDataFrame([], like.schema)
     path = f"{folder}/{batch_id - 1}"
-    if batch_id > 0 and exists(spark, f"{path}/_SUCCESS"):
-        return spark.read.schema(like.schema).parquet(path)
-    return spark.createDataFrame([], like.schema)
+    if not exists(spark, f"{path}/_SUCCESS"):
+        raise RuntimeError(f"state of batch {batch_id - 1} is missing below {folder}")
+    return spark.read.schema(like.schema).parquet(path)
 
 
 def seen_before(spark: SparkSession, folder: str, batch_id: int, like: DataFrame) -> DataFrame:
@@ -204,6 +206,13 @@ def bounce_batches(
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
+        held = df.persist()
+        try:
+            settle(held, batch_id)
+        finally:
+            held.unpersist()
+
+    def settle(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         at = epoch_micros(F.col(ts))
         marked = df.withColumn("_entry", F.coalesce(entry, F.lit(False)))

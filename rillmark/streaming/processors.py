@@ -13,10 +13,12 @@ from datetime import timedelta
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
-from rillmark.functions.times import as_interval, micros
+from rillmark.functions.times import as_interval, epoch_micros, micros
+from rillmark.session import ROCKSDB_PROVIDER
 
 
 class NewVisitorRepair(StatefulProcessor):
@@ -104,8 +106,8 @@ class BounceDetector(StatefulProcessor):
     for the earliest undecided row; rows settled by then leave the state.
     """
 
-    def __init__(self, ts: str, tie: str, entry: str, value: str, within: timedelta):
-        self.ts, self.tie, self.entry, self.value, self.wait = ts, tie, entry, value, micros(within) // 1000
+    def __init__(self, at: str, tie: str, entry: str, value: str, within: timedelta):
+        self.at, self.tie, self.entry, self.value, self.wait = at, tie, entry, value, micros(within) // 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -113,7 +115,10 @@ class BounceDetector(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         for batch in rows:
-            at = batch[self.ts].astype("datetime64[us]").astype("int64")
+            batch = batch[batch[self.tie].notna()]
+            if batch.empty:
+                continue
+            at = batch[self.at]
             self.waiting.appendList(
                 [
                     (int(a), int(t), bool(e), v)
@@ -154,6 +159,7 @@ def run_processor(
     df: DataFrame, key: str, processor: StatefulProcessor, schema: StructType | str, time_mode: str = "none"
 ) -> DataFrame:
     """Attach a processor to a stream, keyed by one column, in append mode."""
+    df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     grouped = df.groupBy(key)
     return grouped.transformWithStateInPandas(processor, schema, outputMode="append", timeMode=time_mode)
 
@@ -179,7 +185,12 @@ def delta_stream(df: DataFrame, key: str, value: str, threshold: float, baseline
 def bounce_stream(
     df: DataFrame, key: str, ts: str, tie: str, entry: str, value: str, within: timedelta, delay: timedelta
 ) -> DataFrame:
-    """``key, tie, value`` of every bounce: ``tie`` a unique BIGINT, ``entry`` a BOOLEAN, ``value`` the record's text."""
-    timed = df.select(key, ts, tie, entry, value).withWatermark(ts, as_interval(delay))
+    """``key, tie, value`` of every bounce: ``tie`` a unique BIGINT, ``entry`` a BOOLEAN, ``value`` the record's text.
+
+    Rows without a ``tie`` only move the watermark.
+    """
+    known = F.coalesce(F.col(entry), F.lit(False)).alias(entry)
+    at = epoch_micros(F.col(ts)).alias("at_us")
+    timed = df.select(key, ts, at, tie, known, value).withWatermark(ts, as_interval(delay))
     schema = f"key {df.schema[key].dataType.simpleString()}, tie bigint, value string"
-    return run_processor(timed, key, BounceDetector(ts, tie, entry, value, within), schema, "EventTime")
+    return run_processor(timed, key, BounceDetector("at_us", tie, entry, value, within), schema, "EventTime")

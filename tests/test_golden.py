@@ -243,3 +243,27 @@ def test_resource_lifecycle(spark):
     out = udfs.map_with_resource(
         spark.range(10), lambda: [1], lambda r, b: pd.DataFrame({"id": b["id"] + r[0]}), lambda r: r.clear(), "id long")
     assert sorted(r.id for r in out.collect()) == list(range(1, 11))
+
+
+def test_catalogued_table(spark, tmp_path):
+    schema = "name string, temperature double"
+    table = tables.catalog_csv_table(spark, "rillmark_output", str(tmp_path / "t"), schema)
+    try:
+        tables.insert_into(spark.createDataFrame([("a", 1.5), ("b", 2.0)], schema), "rillmark_output")
+        assert sorted(tuple(r) for r in spark.table("rillmark_output").collect()) == [("a", 1.5), ("b", 2.0)]
+        assert table.schema.simpleString() == "struct<name:string,temperature:double>"
+    finally:
+        spark.sql("drop table rillmark_output")
+
+
+def test_task_counter(spark):
+    rows = aggregates.partition_running_counter(spark.range(0, 10, 1, 2)).collect()
+    assert [r.n for r in rows] == [1, 2, 3, 4, 5] * 2
+
+
+def test_last_price_upsert(phones, tmp_path, spark):
+    from rillmark.streaming.snapshot import KeyedSnapshot
+
+    held = KeyedSnapshot(spark, str(tmp_path / "s"), ["phone"], "phone string, price double", buckets=2)
+    held.upsert(phones.withColumn("type", F.lit("update")), 0, ["seq"])
+    assert {r.phone: r.price for r in held.read().collect()} == {"mi": 7000.7, "huawei": 6000.1, "apple": 7000.2}
