@@ -22,8 +22,19 @@ NOW = {"availableNow": True}
 SECOND = timedelta(seconds=1)
 
 
+def fit_local_state(spark: SparkSession) -> None:
+    """In local mode, no more state partitions than cores; a cluster keeps its own setting.
+
+    Every partition of every stateful operator commits a store per batch.
+    """
+    cores, key = spark.sparkContext.defaultParallelism, "spark.sql.shuffle.partitions"
+    if spark.sparkContext.master.startswith("local") and int(spark.conf.get(key)) > cores:
+        spark.conf.set(key, str(cores))
+
+
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table as a file stream, be it one file or a folder of files."""
+    fit_local_state(spark)
     path = f"{sf_dir}/{name}.parquet"
     reader = spark.readStream.schema(sample.table(spark, sf_dir, name).schema)
     return reader.parquet(path) if is_folder(spark, path) else reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
