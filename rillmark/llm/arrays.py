@@ -123,6 +123,14 @@ def words_of(column: pa.Array | pa.ChunkedArray) -> Words:
     return Words(data, offsets, starts, ends, counts, codes, vocab)
 
 
+def valid_text(values: pa.Array) -> pa.Array:
+    """Binary values as strings; bytes that are no UTF-8 become the replacement character."""
+    try:
+        return values.cast(pa.large_string())
+    except pa.ArrowInvalid:
+        return pa.array([v.decode("utf-8", "replace") for v in values.to_pylist()], pa.large_string())
+
+
 def rolling(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hash of every run of ``size`` consecutive entries, texts not yet told apart."""
     n = len(hashes) - size + 1

@@ -7,18 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillmark.llm import repeats, simhash
+from rillmark.llm import piece_codec, repeats, simhash, token_archive
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document as the token files hold them, with their place in the whole sequence."""
+    rows = token_archive.round_trip(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and whether they decode to its text."""
+    coded = piece_codec.decode(piece_codec.encode(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip")
+    )
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document, how many repeat an earlier passage, and a digest of the rest."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -27,7 +41,9 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_frames": op1_token_frames,
     "op2_simhash": op2_simhash,
+    "op4_sentencepiece": op4_sentencepiece,
     "op8_substring_dedup": op8_substring_dedup,
 }
 
