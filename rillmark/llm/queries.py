@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillmark.llm import piece_codec, repeats, simhash, token_archive
+from rillmark.llm import piece_codec, repeats, simhash, token_archive, url_rules, web_archive
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, fitting rule and verdict of every page's URL."""
+    return url_rules.judge(_table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every document, and whether they decode to its text."""
     coded = piece_codec.decode(piece_codec.encode(_table(spark, sf_dir, "documents").select("doc_id", "text")))
@@ -40,11 +45,18 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op10_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of every page as the packaged archives hold them."""
+    return web_archive.round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_frames": op1_token_frames,
     "op2_simhash": op2_simhash,
+    "op3_url_filter": op3_url_filter,
     "op4_sentencepiece": op4_sentencepiece,
     "op8_substring_dedup": op8_substring_dedup,
+    "op10_web_archive": op10_web_archive,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_url_filter": url_rules.oracle(), "op10_web_archive": web_archive.oracle()}
