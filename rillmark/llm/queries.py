@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillmark.llm import piece_codec, repeats, simhash, token_archive, url_rules, web_archive
+from rillmark.llm import language, piece_codec, quality, repeats, simhash, token_archive, url_rules, web_archive
+from rillmark.llm.tables import crc_fold
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +39,13 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language and its probability of every document, learnt from four folds of five."""
+    docs, fold = _table(spark, sf_dir, "documents"), crc_fold("doc_id", 5)
+    model = language.train(docs, fold != 0)
+    return language.predict(docs.select("doc_id", (fold == 0).alias("held_out"), "text"), model).drop("text")
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document, how many repeat an earlier passage, and a digest of the rest."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -45,6 +53,14 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt from two folds of three."""
+    docs, fold = _table(spark, sf_dir, "documents"), crc_fold("doc_id", 3)
+    model = quality.train(docs, _table(spark, sf_dir, "labels"), fold != 1)
+    scored = quality.score(docs.select("doc_id", (fold == 1).alias("held_out"), "text"), model).drop("text")
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op10_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records of every page as the packaged archives hold them."""
     return web_archive.round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -55,7 +71,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_url_filter": op3_url_filter,
     "op4_sentencepiece": op4_sentencepiece,
+    "op6_language_id": op6_language_id,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_quality": op9_quality,
     "op10_web_archive": op10_web_archive,
 }
 
