@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillmark.llm import language, piece_codec, quality, repeats, simhash, token_archive, url_rules, web_archive
+from rillmark.llm import language, piece_codec, quality, repeats, simhash, templates, token_archive, url_rules, vector_links, web_archive
 from rillmark.llm.tables import crc_fold
 
 
@@ -39,6 +39,11 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and verdict of every vector."""
+    return vector_links.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language and its probability of every document, learnt from four folds of five."""
     docs, fold = _table(spark, sf_dir, "documents"), crc_fold("doc_id", 5)
@@ -46,6 +51,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.select("doc_id", (fold == 0).alias("held_out"), "text"), model).drop("text")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with every benchmark item found in it."""
+    return templates.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document, how many repeat an earlier passage, and a digest of the rest."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -71,7 +81,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_url_filter": op3_url_filter,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_vector_links": op5_vector_links,
     "op6_language_id": op6_language_id,
+    "op7_decontaminate": op7_decontaminate,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality": op9_quality,
     "op10_web_archive": op10_web_archive,
