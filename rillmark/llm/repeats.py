@@ -187,7 +187,7 @@ def _meet_prints(table: pa.Table) -> pa.Table:
     order = np.argsort(source, kind="stable")
     low, high, first, source = low[order], high[order], first[order], source[order]
     starts = _runs(source)
-    slices = list(zip(starts, [*starts[1:], len(low)], strict=True))
+    slices = list(zip(starts, np.append(starts[1:], len(low))[: len(starts)], strict=True))
     return pa.table(
         {
             "chunk": chunks[source[starts]] if len(starts) else np.empty(0, np.int64),

@@ -133,30 +133,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without those whose component has a smaller id; of rows that repeat that id, one stays.
+    """One row of each component of ``docs``: that of the smallest id; of rows that repeat that id, any one.
 
     All columns are kept. A component of null ids alone keeps one row.
     """
-    found = near_duplicates(docs, id_col, text_col).select(F.col(id_col).alias("_id"), "root", "component_id")
-    kept = found.filter(F.col("_id").eqNullSafe(F.col("component_id"))).groupBy("root", "_id").agg(F.count(F.lit(1)).alias("n"))
-    kept = kept.groupBy("_id").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"))
-    mark, many = fresh(docs, "_kept"), fresh(docs, "_texts")
-    sided = kept.select(F.col("_id").alias(mark), F.when(F.col("n") > 1, F.col("texts")).alias(many))
-    out = docs.join(sided, docs[id_col].eqNullSafe(F.col(mark)))
-    single = out.filter(F.col(many).isNull()).select(*docs.columns)
-    # An id that several kept rows carry: one row for each fingerprint among them.
-    rest = out.filter(F.col(many).isNotNull()).select(*docs.columns)
-    return single.unionByName(_first_rows(rest, id_col, text_col))
-
-
-def _first_rows(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row for each (id, fingerprint)."""
-    print_col = fresh(rows, "_fp")
-    kind = T.StructType([*rows.schema.fields, T.StructField(print_col, T.LongType())])
-
+    found = cut(near_duplicates(docs, id_col, text_col).select(F.col(id_col).alias("_id"), "fp", "root", "component_id"), "components")
+    stays = F.col("_id").eqNullSafe(F.col("component_id"))
+    per_id = found.groupBy("_id").agg(F.count(F.lit(1)).alias("n"), F.max(stays).alias("stays")).filter("stays")
+    mark, many, print_kept, root_kept = (fresh(docs, n) for n in ("_kept", "_many", "_print", "_root"))
+    marked = docs.join(per_id.select(F.col("_id").alias(mark), (F.col("n") > 1).alias(many)), docs[id_col].eqNullSafe(F.col(mark)))
+    single = marked.filter(~F.col(many)).select(*docs.columns)
+    # Rows that share their id are told apart by their fingerprints, and one row of a component is taken.
+    rest = _with_fingerprints(marked.filter(many).select(*docs.columns), text_col, many)
+    roots = found.filter(stays).select(F.col("_id").alias(mark), F.col("fp").alias(print_kept), F.col("root").alias(root_kept)).distinct()
+    met = rest.join(roots, rest[id_col].eqNullSafe(F.col(mark)) & (F.col(many) == F.col(print_kept)))
+    return single.unionByName(met.dropDuplicates([root_kept]).select(*docs.columns))
+
+
+def _with_fingerprints(rows: DataFrame, text_col: str, name: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in A.pieces(batches, text_col):
             made = pa.array(fingerprints(piece.column(piece.schema.get_field_index(text_col))).view(np.int64))
-            yield pa.RecordBatch.from_arrays([*piece.columns, made], names=[*piece.schema.names, print_col])
+            yield pa.RecordBatch.from_arrays([*piece.columns, made], names=[*piece.schema.names, name])
 
-    return rows.mapInArrow(run, kind).dropDuplicates([id_col, print_col]).drop(print_col)
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(name, T.LongType())]))
