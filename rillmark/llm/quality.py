@@ -109,7 +109,7 @@ def grow(x: np.ndarray, y: np.ndarray, weight: np.ndarray, trees: int = TREES, d
     """Boosted trees for the log loss; without rows of both classes they are a constant."""
     inner, leaves = 2**depth - 1, 2**depth
     mean = float(np.average(y, weights=weight)) if len(y) else 0.5
-    if not 0.0 < mean < 1.0:
+    if not len(y) or not 0.0 < mean < 1.0:
         base = {0.0: -6.0, 1.0: 6.0}.get(mean, 0.0)
         return Trees(base, np.zeros((0, inner), np.int64), np.zeros((0, inner)), np.zeros((0, leaves)))
     base = float(np.log(mean / (1 - mean)))

@@ -125,8 +125,8 @@ class Items:
         ends = np.cumsum(made.counts)
         doc = np.searchsorted(ends, rows[:, 0], side="right")
         rows[:, 0] -= (ends - made.counts)[doc]
-        starts = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else []
-        for a, b in zip(starts, [*starts[1:], len(doc)], strict=True):
+        edges = np.flatnonzero(np.diff(doc, prepend=-1, append=len(made.counts)))
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
             yield int(doc[a]), rows[a:b].tolist()
 
     def occurrences(self, hits: list[tuple[int, int, int]]) -> Iterator[tuple[int, list[tuple[int, int]]]]:
