@@ -38,6 +38,12 @@ def get_array(document: Column, path: str) -> Column:
     return F.try_variant_get(document, path, "array<variant>")
 
 
+def with_member(members: Column, name: str, value: Column) -> Column:
+    """A variant object from a map of members with one replaced or added; a NULL value leaves it out of the change."""
+    changed = F.map_concat(F.map_filter(members, lambda k, _: k != name), F.create_map(F.lit(name), value))
+    return F.parse_json(F.to_json(F.when(value.isNull(), members).otherwise(changed)))
+
+
 def has_value(document: Column, path: str) -> Column:
     """True when the path holds something other than a missing value, null or ``''``."""
     value = F.try_variant_get(document, path, "variant")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -142,16 +144,21 @@ def route(changes: DataFrame, config: DataFrame) -> DataFrame:
     )
 
 
-def latest_per_key(changes: DataFrame, keys: list[str], version: list[str], values: list[str]) -> DataFrame:
+def latest_per_key(
+    changes: DataFrame, keys: list[str], version: list[str], values: list[str], sets: Callable[[str], Column] | None = None
+) -> DataFrame:
     """Column-partial upsert: per key the last present value of each column, ``deleted`` if last seen deleted.
 
-    A value counts only when it is newer than the key's last delete. The
-    aggregate is mergeable, so repeated keys are folded before the shuffle.
+    ``sets(c)`` tells whether a change sets column c, be it to NULL; without
+    it a change sets what is not NULL. A value counts only when it is newer
+    than the key's last delete. ``_has_<c>`` tells whether c was set at all.
+    The aggregate is mergeable, so repeated keys are folded before the shuffle.
     """
+    sets = sets or (lambda c: F.col(c).isNotNull())
     at = F.struct(*version)
     is_delete = F.col("type") == "delete"
     last_set = [
-        F.max(F.when(~is_delete & F.col(c).isNotNull(), F.struct(at.alias("at"), F.col(c).alias("v")))).alias(f"_{c}")
+        F.max(F.when(~is_delete & sets(c), F.struct(at.alias("at"), F.col(c).alias("v")))).alias(f"_{c}")
         for c in values
     ]
     grouped = changes.groupBy(*keys).agg(
@@ -159,9 +166,11 @@ def latest_per_key(changes: DataFrame, keys: list[str], version: list[str], valu
     )
     gone = F.col("_gone")
     alive = F.col("_set").isNotNull() & (gone.isNull() | (F.col("_set") > gone))
+    newer = lambda c: gone.isNull() | (F.col(f"_{c}.at") > gone)
     return grouped.select(
         *keys,
-        *[F.when(gone.isNull() | (F.col(f"_{c}.at") > gone), F.col(f"_{c}.v")).alias(c) for c in values],
+        *[F.when(newer(c), F.col(f"_{c}.v")).alias(c) for c in values],
+        *[F.coalesce(F.col(f"_{c}").isNotNull() & newer(c), F.lit(False)).alias(f"_has_{c}") for c in values],
         (~alive).alias("deleted"),
         gone.isNotNull().alias("reset"),
     )

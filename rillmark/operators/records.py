@@ -59,13 +59,19 @@ def tag_logs(logs: DataFrame) -> DataFrame:
     return logs.withColumn("kind", F.when(start, "start").otherwise("page"))
 
 
+def repaired_common() -> Column:
+    """The record's ``common`` with ``is_new`` as the column says; all other members and their types stay."""
+    members = F.try_variant_get("doc", "$.common", "map<string,variant>")
+    return json.with_member(members, "is_new", F.variant_get(F.parse_json(F.to_json(F.struct("is_new"))), "$.is_new", "variant"))
+
+
 def page_displays(tagged: DataFrame, *keep: str) -> DataFrame:
     """One row per element of a page record's ``displays``: ``common, page, ts, display``."""
     pages = tagged.filter(F.col("kind") == "page")
     doc = F.col("doc")
     return pages.select(
         *keep,
-        F.try_variant_get(doc, "$.common", "variant").alias("common"),
+        repaired_common().alias("common"),
         F.try_variant_get(doc, "$.page", "variant").alias("page"),
         json.get_long(doc, "$.ts").alias("ts"),
         F.explode(json.get_array(doc, "$.displays")).alias("display"),
@@ -91,12 +97,8 @@ def json_rows(df: DataFrame, *columns: str, name: str = "value") -> DataFrame:
 
 
 def merged_log_text(logs: DataFrame) -> Column:
-    """Log text with the repaired flag written back into ``common.is_new``."""
-    common = F.from_json(F.to_json(F.try_variant_get("doc", "$.common", "variant")), "map<string,string>")
-    fixed = F.map_concat(F.map_filter(common, lambda k, _: k != "is_new"), F.create_map(F.lit("is_new"), F.col("is_new")))
-    parts = ["page", "start", "displays"]
-    others = [F.try_variant_get("doc", f"$.{p}", "variant").alias(p) for p in parts]
-    return F.to_json(F.struct(fixed.alias("common"), *others, F.col("ts_ms").alias("ts")))
+    """The whole record's text with the repaired flag written back into ``common.is_new``."""
+    return F.to_json(json.with_member(F.try_variant_get("doc", "$", "map<string,variant>"), "common", repaired_common()))
 
 
 def derive_create_times(df: DataFrame, create_time: str = "create_time") -> DataFrame:

@@ -40,7 +40,7 @@ def split_log_stream(lines: DataFrame) -> DataFrame:
     part = lambda name: F.try_variant_get("doc", f"$.{name}", "variant").alias(name)
     display = lambda d: F.struct(
         F.lit(topics.DISPLAY_LOG).alias("sinkTable"),
-        F.to_json(F.struct(part("common"), part("page"), F.col("ts_ms").alias("ts"), d.alias("display"))).alias("value"),
+        F.to_json(F.struct(records.repaired_common().alias("common"), part("page"), F.col("ts_ms").alias("ts"), d.alias("display"))).alias("value"),
     )
     shown = F.coalesce(F.try_variant_get("doc", "$.displays", "array<variant>"), F.array().cast("array<variant>"))
     displays = F.when(F.col("kind") == "page", F.transform(shown, display))
@@ -54,7 +54,7 @@ def base_log(bus: Bus, **trigger) -> StreamingQuery:
 
 
 def _pages(bus: Bus) -> DataFrame:
-    return records.typed_rows(bus.read(topics.PAGE_LOG, ROUTER), "value", PAGE, "value")
+    return records.typed_rows(bus.read(topics.PAGE_LOG, ROUTER), "value", PAGE, "value", "position")
 
 
 def unique_visitors(bus: Bus, ttl: timedelta | None = timedelta(days=1), **trigger) -> StreamingQuery:
@@ -68,7 +68,7 @@ def bounces(bus: Bus, within: timedelta = BOUNCE_WAIT, delay: timedelta = WATERM
     pages = _pages(bus).select(
         F.col("common.mid").alias("mid"),
         F.timestamp_millis("ts").alias("at"),
-        F.xxhash64("value").alias("tie"),
+        F.col("position").alias("tie"),
         is_blank(F.col("page.last_page_id")).alias("entry"),
         "value",
     )

@@ -74,14 +74,24 @@ def window_date_writer(out: str, date: Column) -> Callable[[DataFrame, int], Non
     return write
 
 
-def fan_out(tag: str, outputs: dict[str, Callable[[DataFrame, int], None]]) -> Callable[[DataFrame, int], None]:
-    """Several sinks fed from one pass: the batch is computed once, then filtered per tag."""
+def fan_out(
+    tag: str, outputs: dict[str, Callable[[DataFrame, int], None]], rest: Callable[[DataFrame, int], None] | None = None
+) -> Callable[[DataFrame, int], None]:
+    """Several sinks fed from one pass: the batch is computed once, then filtered per tag.
+
+    Rows of any other tag go to ``rest``; without it they are an error.
+    """
 
     def write(df: DataFrame, batch_id: int) -> None:
         held = df.persist()
         try:
             for name, sink in outputs.items():
                 sink(held.filter(F.col(tag) == name), batch_id)
+            others = held.filter(~F.coalesce(F.col(tag).isin(*outputs), F.lit(False)))
+            if rest:
+                rest(others, batch_id)
+            elif not others.isEmpty():
+                raise ValueError(f"batch {batch_id} has rows whose {tag} is none of {sorted(outputs)}")
         finally:
             held.unpersist()
 
@@ -202,7 +212,8 @@ def bounce_batches(
     The watermark is the largest event time so far minus ``delay``. A row is
     settled when its successor is at or below the watermark, or when the
     watermark has passed its waiting time. Rows at or below the watermark of
-    the preceding batch are too late and are written to ``late``.
+    the preceding batch are too late and are written to ``late``, and so are
+    rows without an event time.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
@@ -220,7 +231,8 @@ def bounce_batches(
         old_top = tops.agg(F.max("top")).first()[0]
         new_top = df.agg(F.max(at)).first()[0]
         known = [t for t in (old_top, new_top) if t is not None]
-        late = (at <= old_top - micros(delay)) if old_top is not None else F.lit(False)
+        # A row without an event time can never be settled.
+        late = F.coalesce(at <= old_top - micros(delay), F.lit(True)) if old_top is not None else at.isNull()
         mark = F.lit(max(known) - micros(delay) if known else None).cast("bigint")
 
         pending = state_before(spark, f"{job}/pending", batch_id, marked)
