@@ -6,7 +6,6 @@ expressions of ``functions.text`` and the built-in aggregates are used.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -15,7 +14,24 @@ from pyspark.sql import functions as F
 
 
 def register_string_hash(spark: SparkSession, factor: int, name: str = "hash_code") -> None:
-    """Scalar function with a constructor argument, vectorised over Arrow batches."""
+    """SQL scalar function with a constructor argument: ``functions.text.string_hash`` as SQL text."""
+    step = (
+        "(acc, c) -> (CASE WHEN ascii(c) < 65536 THEN acc * 31 + ascii(c) "
+        "ELSE (acc * 31 + 55296 + shiftright(ascii(c) - 65536, 10)) * 31 + 56320 + ((ascii(c) - 65536) & 1023) END) & 4294967295"
+    )
+    base = f"aggregate(filter(split(t, ''), c -> c <> ''), 0L, {step})"
+    times = f"(({_wrapped(base)}) * {int(factor)}L)"
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(t STRING) RETURNS INT RETURN CAST({_wrapped(times)} AS INT)")
+
+
+def _wrapped(number: str) -> str:
+    """SQL for the signed 32-bit integer with the low bits of a BIGINT."""
+    low = f"({number} & 4294967295)"
+    return f"(({low} + 2147483648) & 4294967295) - 2147483648"
+
+
+def register_string_hash_arrow(spark: SparkSession, factor: int, name: str = "hash_code_arrow") -> None:
+    """The same as a Python function over Arrow batches: the pattern for what SQL cannot express."""
 
     @F.pandas_udf("int")
     def hash_code(texts: pd.Series) -> pd.Series:
@@ -34,21 +50,16 @@ def _hash32(text: str, factor: int) -> int:
 
 
 def register_splitter(spark: SparkSession, cutter: str, name: str = "split_words") -> None:
-    """Table function ``name(text) -> (word, length)`` for LATERAL use."""
-
-    class SplitWords:
-        def eval(self, text: str):
-            if text is None:
-                return
-            parts = re.split(cutter, text)
-            while len(parts) > 1 and parts[-1] == "":
-                parts.pop()
-            if parts == [""] and text != "":
-                return
-            for word in parts:
-                yield word, len(word.encode("utf-16-be")) // 2
-
-    spark.udtf.register(name, F.udtf(SplitWords, returnType="word string, length int"))
+    """SQL table function ``name(text) -> (word, length)`` for LATERAL use; trailing empty parts go."""
+    quoted = cutter.replace("\\", "\\\\").replace("'", "\\'")
+    parts = f"split(t, '{quoted}')"
+    last = f"array_position(transform(reverse({parts}), e -> e <> ''), true)"
+    kept = f"CASE WHEN t = '' THEN array('') WHEN {last} = 0 THEN slice({parts}, 1, 0) ELSE slice({parts}, 1, CAST(size({parts}) - {last} + 1 AS INT)) END"
+    length = "CAST(length(word) + length(regexp_replace(word, '[^\\\\x{10000}-\\\\x{10FFFF}]', '')) AS INT)"
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(t STRING) RETURNS TABLE(word STRING, length INT) "
+        f"RETURN SELECT word, {length} FROM (SELECT explode({kept}) AS word)"
+    )
 
 
 def accumulate(

@@ -18,7 +18,7 @@ from rillmark.functions.times import (
     millis_to_datetime,
     parse_date_prefix,
 )
-from rillmark.functions.udfs import average, map_with_resource, register_splitter, register_string_hash
+from rillmark.functions.udfs import average, map_with_resource, register_splitter, register_string_hash, register_string_hash_arrow
 from rillmark.operators import aggregates, cdc, distribution, joins, keyed, records, windows
 from rillmark.plans import stand_ins as sample
 from rillmark.plans.stand_ins import ASOF, BOUNCE, entry_event, table
@@ -297,6 +297,37 @@ def keyed_upsert(spark: SparkSession, d: str) -> DataFrame:
     return latest.filter("not deleted").select("o_custkey", "status", "price")
 
 
+def keyed_upsert_nulls(spark: SparkSession, d: str) -> DataFrame:
+    """Every change names both columns, so a NULL in it sets NULL."""
+    changes = sample.customer_changes(spark, d)
+    latest = cdc.latest_per_key(changes, ["o_custkey"], ["version"], ["status", "price"], lambda _: F.lit(True))
+    return latest.filter("not deleted").select("o_custkey", "status", "price")
+
+
+def keyed_upsert_same_ts(spark: SparkSession, d: str) -> DataFrame:
+    """Changes of one year share their time; their position orders them, deletes included."""
+    orders = table(spark, d, "orders")
+    years = orders.select(F.col("o_orderkey").alias("position"), F.year("o_orderdate").alias("ts"))
+    changes = sample.customer_changes_of(orders).join(years, F.col("version") == F.col("position"))
+    latest = cdc.latest_per_key(changes, ["o_custkey"], ["ts", "position"], ["status", "price"])
+    return latest.filter("not deleted").select("o_custkey", "status", "price")
+
+
+def log_topics_full(spark: SparkSession, d: str) -> DataFrame:
+    """Every record of the split with its topic, repaired flag, an unknown field and the display's item."""
+    extra = F.expr("concat(substr(value, 1, length(value) - 1), ',\"actions\":[', event_id, ',\"x\"]}')")
+    text = sample.log_text(spark, d).withColumn("value", F.when(F.col("event_id") % 101 > 7, extra).otherwise(F.col("value")))
+    parsed = records.parse_logs(text, "value")
+    dirty = records.dirty_logs(parsed).select("event_id", F.lit("dirty").alias("topic"), F.lit(None).cast("string").alias("value"))
+    tagged = records.tag_logs(keyed.repair_new_visitors(records.good_logs(parsed), "mid", "is_new", ["ts_ms", "event_id"]))
+    whole = tagged.select("event_id", F.col("kind").alias("topic"), records.merged_log_text(tagged).alias("value"))
+    shown = records.page_displays(tagged, "event_id").select("event_id", F.lit("display").alias("topic"), F.to_json(F.struct("common", "page", "ts", "display")).alias("value"))
+    part = lambda path: F.get_json_object("value", path)
+    return whole.unionByName(shown).unionByName(dirty).select(
+        "event_id", "topic", part("$.common.is_new").alias("is_new"), part("$.actions[0]").cast("bigint").alias("action"),
+        part("$.display.item").cast("bigint").alias("item"))
+
+
 # --- aggregates -----------------------------------------------------------
 
 
@@ -434,6 +465,13 @@ def udf_hash_sql(spark: SparkSession, d: str) -> DataFrame:
     return spark.sql("select c_custkey, hash_code(c_name) as code from customer_names")
 
 
+def udf_hash_arrow(spark: SparkSession, d: str) -> DataFrame:
+    """The same function written in Python over Arrow batches."""
+    register_string_hash_arrow(spark, 10)
+    table(spark, d, "customer").createOrReplaceTempView("customer_names")
+    return spark.sql("select c_custkey, hash_code_arrow(c_name) as code from customer_names")
+
+
 def udaf_avg(spark: SparkSession, d: str) -> DataFrame:
     means = average(sample.events(spark, d), "user_id", "value")
     return means.select("user_id", F.round("average", 6).alias("mean"))
@@ -512,8 +550,10 @@ def redistribute(spark: SparkSession, d: str) -> DataFrame:
 
 
 def partition_counts(spark: SparkSession, d: str) -> DataFrame:
-    """Rows per task; the layout is not fixed, so only the form is checked."""
-    return aggregates.partition_counter(table(spark, d, "events").select("event_id"))
+    """Rows per task, summed up because the layout is not fixed."""
+    counts = aggregates.partition_counter(table(spark, d, "events").select("event_id"))
+    task = next(c for c in counts.columns if c != "n")
+    return counts.agg(F.sum("n").alias("n"), (F.count(F.lit(1)) == F.countDistinct(task)).alias("each_task_once"))
 
 
 BATCH = {
@@ -530,5 +570,6 @@ BATCH = {
         global_window, count_window, count_window_full, window_all, late_classify, udtf_split, udtf_split_sql, udf_hash,
         udf_hash_sql, udaf_avg, rich_map, key_list_lookup, filter_prefix, map_length, string_functions, time_functions,
         snake_to_camel, sql_view_select, redistribute, partition_counts,
+        udf_hash_arrow, keyed_upsert_nulls, keyed_upsert_same_ts, log_topics_full,
     )
 }

@@ -262,6 +262,23 @@ with {_CONFIG} select sinkTable, case when sinkTable in (select sinkTable from l
   then 'create' else 'drop' end as action
 from (select distinct sinkTable from ch where sinkType = 'hbase' and kind <> 'delete')""",
     "keyed_upsert": KEYED_UPSERT,
+    "keyed_upsert_nulls": """
+with g as (
+  select o_custkey, coalesce(max(o_orderkey) filter (where o_orderkey % 10 = 0), -1) as gone,
+         max(o_orderkey) filter (where o_orderkey % 10 <> 0) as put from orders group by o_custkey)
+select o.o_custkey, case when o_orderkey % 3 = 0 then o_orderstatus end as status,
+       case when o_orderkey % 3 <> 0 then o_totalprice end as price
+from orders o join g on g.o_custkey = o.o_custkey and o_orderkey = put where put > gone""",
+    "keyed_upsert_same_ts": KEYED_UPSERT.replace("o_orderkey as ver", "year(o_orderdate) * 1000000000000 + o_orderkey as ver"),
+    "log_topics_full": f"""
+with {_LOGS}, r as (
+  select event_id, event_type, case when event_id % 101 > 7 then event_id end as action,
+    case when is_new = '1' and row_number() over (partition by mid, is_new order by ts_ms, event_id) > 1 then '0' else is_new end as is_new
+  from g)
+select event_id, case when event_type = 'error' then 'start' else 'page' end as topic, is_new, action, cast(null as bigint) as item from r
+union all select event_id, 'display', is_new, null, event_id * 10 + i
+from r join (select unnest([1, 2, 3]) as i) on i <= event_id % 4 where event_type <> 'error'
+union all select event_id, 'dirty', null, null, null from events where event_id % 101 in (3, 4, 5, 7)""",
     "running_sum": """
 select event_id, user_id, cast(sum(cast(round(value * 100) as bigint)) over
   (partition by user_id order by ts, event_id) as bigint) as total from events""",
@@ -317,6 +334,8 @@ from j""",
     "udtf_split_sql": _SPLIT,
     "udf_hash": _HASH,
     "udf_hash_sql": _HASH,
+    "udf_hash_arrow": _HASH,
+    "partition_counts": "select count(*) as n, true as each_task_once from events",
     "udaf_avg": "select user_id, round(avg(value), 6) as mean from events group by user_id",
     "rich_map": "select c_custkey, c_acctbal * 2 as c_acctbal from customer",
     "key_list_lookup": """
@@ -353,6 +372,7 @@ from events""",
     "cdc_fan_out_stream": f"""
 with {_ROUTED} select o_orderkey, 'dim_orders_o' as target, o_custkey || '-' || o_orderkey as pk
 from r where tag = 'dim' and tab = 'orders_o'
+union all select o_orderkey, tag, null from r where tag in ('unrouted', 'bad_key')
 union all select o_orderkey, case tab when 'orders_o' then 'dwd_orders_o' else 'dwd_orders_f' end, cast(o_orderkey as varchar)
 from r where tag = 'fact'""",
     "log_topics_stream": """

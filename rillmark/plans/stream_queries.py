@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from rillmark.functions.times import as_interval
 from rillmark.operators import aggregates, cdc, joins, keyed, records, windows
@@ -15,29 +17,57 @@ from rillmark.plans.stand_ins import BOUNCE, entry_event
 from rillmark.session import scratch_dir
 from rillmark.sources.topics import routed_topic_sink
 from rillmark.streaming import jobs
-from rillmark.streaming.files import is_folder
 from rillmark.streaming.snapshot import KeyedSnapshot
 
 NOW = {"availableNow": True}
 SECOND = timedelta(seconds=1)
+DIM_SCHEMA = "pk string, o_custkey string, o_orderkey string, o_orderstatus string"
 
 
-def fit_local_state(spark: SparkSession) -> None:
-    """In local mode, no more state partitions than cores; a cluster keeps its own setting.
+BATCHES, ROWS_PER_FILE = 4, 1_000_000
+#: The column whose order a table's micro-batches follow.
+ORDERED_BY = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}
 
-    Every partition of every stateful operator commits a store per batch.
+
+def with_local_state(query):
+    """In local mode, run with no more state partitions than cores and set the number back.
+
+    Every partition of every stateful operator commits a store per batch. The
+    streams of a query have ended when it returns; a cluster keeps its setting.
     """
-    cores, key = spark.sparkContext.defaultParallelism, "spark.sql.shuffle.partitions"
-    if spark.sparkContext.master.startswith("local") and int(spark.conf.get(key)) > cores:
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        cores, key = spark.sparkContext.defaultParallelism, "spark.sql.shuffle.partitions"
+        before = spark.conf.get(key)
+        if not spark.sparkContext.master.startswith("local") or int(before) <= cores:
+            return query(spark, sf_dir)
         spark.conf.set(key, str(cores))
+        try:
+            return query(spark, sf_dir)
+        finally:
+            spark.conf.set(key, before)
 
+    return run
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table as a file stream, be it one file or a folder of files."""
-    fit_local_state(spark)
-    path = f"{sf_dir}/{name}.parquet"
-    reader = spark.readStream.schema(sample.table(spark, sf_dir, name).schema)
-    return reader.parquet(path) if is_folder(spark, path) else reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+def table_stream(spark: SparkSession, sf_dir: str, name: str, order: str | None = None) -> DataFrame:
+    """A driver table as a file stream of about ``BATCHES`` micro-batches in the order of a column.
+
+    The table is written once, slice after slice, to a scratch folder; the
+    source then takes a slice's number of files with each trigger.
+    """
+    rows, column = sample.table(spark, sf_dir, name), order or ORDERED_BY[name]
+    folder = scratch_dir(spark, f"replay-{name}")
+    is_time = isinstance(rows.schema[column].dataType, (TimestampType, TimestampNTZType, DateType))
+    number = (F.col(column).cast("timestamp") if is_time else F.col(column)).cast("double")
+    shares = [i / BATCHES for i in range(1, BATCHES)]
+    found = rows.agg(F.percentile_approx(number, shares).alias("cuts"), F.count(F.lit(1)).alias("n")).first()
+    files = max(1, -(-found.n // (BATCHES * ROWS_PER_FILE)))
+    slice_of = sum((F.coalesce(number > c, F.lit(False)).cast("int") for c in found.cuts or []), F.lit(0))
+    for i in range(BATCHES):
+        rows.filter(slice_of == i).repartition(files).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,17 +220,11 @@ def payment_wide_stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 def keyed_upsert_stream(spark: SparkSession, d: str) -> DataFrame:
-    """Changes arrive in two batches by version; the snapshot rewrites touched buckets."""
+    """Changes arrive in several batches by version; the snapshot rewrites touched buckets."""
     root = scratch_dir(spark, "upsert")
     held = KeyedSnapshot(spark, root, ["o_custkey"], "o_custkey bigint, status string, price double", buckets=16)
-    changes = sample.customer_changes_of(table_stream(spark, d, "orders"))
-    middle = sample.table(spark, d, "orders").agg(F.avg("o_orderkey")).first()[0] or 0
-
-    def write(df: DataFrame, batch_id: int) -> None:
-        for half, part in enumerate((df.filter(F.col("version") < middle), df.filter(F.col("version") >= middle))):
-            held.upsert(part, 2 * batch_id + half, ["version"])
-
-    jobs.drain(jobs.start_batches(changes, f"{root}/job", write, **NOW))
+    changes = sample.customer_changes_of(table_stream(spark, d, "orders", "o_orderkey"))
+    jobs.drain(jobs.start_batches(changes, f"{root}/job", jobs.upsert_batches(held, ["version"]), **NOW))
     return held.read()
 
 
@@ -215,25 +239,34 @@ def cdc_fan_out_stream(spark: SparkSession, d: str) -> DataFrame:
 
     def dims(df: DataFrame, batch_id: int) -> None:
         for table in [r[0] for r in sample.routes(spark).filter("lower(sinkType) = 'hbase'").select("sinkTable").distinct().collect()]:
-            held = KeyedSnapshot(spark, f"{root}/dims/{table}", ["pk"], "pk string, o_custkey string, o_orderkey string, o_orderstatus string", 8)
+            held = KeyedSnapshot(spark, f"{root}/dims/{table}", ["pk"], DIM_SCHEMA, 8)
             columns = [F.col("data")[c].alias(c) for c in ("o_custkey", "o_orderkey", "o_orderstatus")]
-            held.upsert(df.filter(F.col("sinkTable") == table).select("pk", "type", "ts", *columns), batch_id, ["ts"])
+            mine = df.filter(F.col("sinkTable") == table).select("pk", "type", "ts", "data", *columns)
+            held.upsert(mine, batch_id, ["ts"], lambda c: F.map_contains_key("data", F.lit(c)))
 
     def facts(df: DataFrame, batch_id: int) -> None:
         text = F.to_json(F.struct("pk", "type", "data")).alias("value")
         rows = df.select(F.col("sinkTable").alias("topic"), "o_orderkey", text)
         rows.write.mode("overwrite").partitionBy("topic").parquet(f"{root}/facts/batch_id={batch_id}")
 
+    def rest(df: DataFrame, batch_id: int) -> None:
+        df.select("o_orderkey", "tag").write.mode("overwrite").parquet(f"{root}/rest/batch_id={batch_id}")
+
     def write(df: DataFrame, batch_id: int) -> None:
-        jobs.fan_out("tag", {"dim": dims, "fact": facts})(cdc.route(df, sample.routes(spark)), batch_id)
+        jobs.fan_out("tag", {"dim": dims, "fact": facts}, rest)(cdc.route(df, sample.routes(spark)), batch_id)
 
     jobs.drain(jobs.start_batches(changes, f"{root}/job", write, **NOW))
-    held = KeyedSnapshot(spark, f"{root}/dims/dim_orders_o", ["pk"], "pk string, o_custkey string, o_orderkey string, o_orderstatus string", 8)
-    dim_rows = held.read().select(
-        F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.lit("dim_orders_o").alias("target"), "pk")
+
+    def rows_of(table: str) -> DataFrame:
+        held = KeyedSnapshot(spark, f"{root}/dims/{table}", ["pk"], DIM_SCHEMA, 8).read()
+        return held.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.lit(table).alias("target"), "pk")
+
+    dim_rows = reduce(DataFrame.unionByName, [rows_of(t) for t in ("dim_orders_f", "dim_orders_o", "dim_orders_p")])
+    rejected = spark.read.schema("o_orderkey bigint, tag string").parquet(f"{root}/rest").select(
+        "o_orderkey", F.col("tag").alias("target"), F.lit(None).cast("string").alias("pk"))
     fact_rows = spark.read.parquet(f"{root}/facts").select(
         "o_orderkey", F.col("topic").alias("target"), F.get_json_object("value", "$.pk").alias("pk"))
-    return dim_rows.unionByName(fact_rows)
+    return dim_rows.unionByName(fact_rows).unionByName(rejected)
 
 
 def log_topics_stream(spark: SparkSession, d: str) -> DataFrame:
@@ -249,7 +282,7 @@ def log_topics_stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 STREAM = {
-    f.__name__: f
+    f.__name__: with_local_state(f)
     for f in (
         new_visitor_repair_stream, daily_unique_visitor_stream, daily_unique_pairs_stream, delta_alert_stream,
         bounce_detection_stream, visitor_stats_stream, window_count_stream, session_window_stream,

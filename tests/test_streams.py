@@ -266,3 +266,67 @@ def test_bounce_processor(spark, tmp_path):
     out = processors.bounce_stream(stream, "k", "ts", "id", "entry", "text", timedelta(seconds=10), timedelta(seconds=600))
     got = [r.tie for r in _collect(spark, tmp_path, out)]
     assert len(got) == len(set(got)) and set(got) == brute.bounces(rows, 10)
+
+
+def test_replays_come_in_several_batches(spark, sf_dir, tmp_path):
+    from rillmark.plans.stream_queries import BATCHES, table_stream
+
+    tops = {}
+
+    def note(df, batch_id):
+        tops[batch_id] = df.agg(F.min("ts").alias("low"), F.max("ts").alias("high"), F.count(F.lit(1)).alias("n")).first()
+
+    jobs.drain(jobs.start_batches(table_stream(spark, sf_dir, "events"), str(tmp_path), note, availableNow=True))
+    seen = [tops[i] for i in sorted(tops) if tops[i].n]
+    assert len(seen) == BATCHES and sum(r.n for r in seen) == spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    assert all(a.high <= b.low for a, b in zip(seen, seen[1:]))
+
+
+def test_queries_leave_the_session_alone(spark, sf_dir):
+    from rillmark.plans.stream_queries import STREAM
+
+    spark.conf.set("spark.sql.shuffle.partitions", "33")
+    try:
+        STREAM["log_topics_stream"](spark, sf_dir)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "33"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_snapshot_keeps_its_buckets_and_columns(spark, tmp_path):
+    root = str(tmp_path / "t")
+    rows = spark.createDataFrame([(i, "a", "b", "insert", 1) for i in range(20)], "k bigint, a string, b string, type string, v int")
+    KeyedSnapshot(spark, root, ["k"], "k bigint, a string, b string", buckets=4).upsert(rows, 0, ["v"])
+    narrow = KeyedSnapshot(spark, root, ["k"], "k bigint, a string, c int", buckets=9)
+    assert narrow.buckets == 4 and narrow.schema.names == ["k", "a", "b", "c"]
+    narrow.upsert(rows.select("k", F.lit("A").alias("a"), F.lit(7).alias("c"), F.lit("update").alias("type"), F.lit(2).alias("v")), 1, ["v"])
+    assert {tuple(r) for r in narrow.read().collect()} == {(i, "A", "b", 7) for i in range(20)}
+    narrow.rebuild(2, rows_per_bucket=3)
+    again = KeyedSnapshot(spark, root, ["k"], "k bigint", buckets=1)
+    assert again.buckets == 7 and {tuple(r) for r in again.read().collect()} == {(i, "A", "b", 7) for i in range(20)}
+    with pytest.raises(ValueError):
+        KeyedSnapshot(spark, root, ["k"], "k bigint, a int")
+
+
+def test_snapshot_sets_null_and_orders_ties(spark, tmp_path):
+    held = KeyedSnapshot(spark, str(tmp_path / "t"), ["k"], "k bigint, a string, b string", buckets=2)
+    schema = "k bigint, type string, ts bigint, position bigint, data map<string,string>"
+    sets = lambda c: F.map_contains_key("data", F.lit(c))
+
+    def apply(number, *changes):
+        rows = spark.createDataFrame(list(changes), schema).withColumns({c: F.col("data")[c] for c in ("a", "b")})
+        held.upsert(rows, number, ["ts", "position"], sets)
+
+    apply(0, (1, "insert", 5, 0, {"a": "x", "b": "y"}), (2, "insert", 5, 1, {"a": "x"}), (3, "insert", 5, 2, {"a": "zz"}), (3, "update", 5, 3, {"a": "aa"}))
+    apply(1, (1, "update", 6, 4, {"a": None}), (2, "delete", 6, 5, {}), (2, "insert", 6, 6, {"b": "new"}))
+    assert sorted(tuple(r) for r in held.read().collect()) == [(1, None, "y"), (2, None, "new"), (3, "aa", None)]
+
+
+def test_fan_out_loses_no_rows(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "tag string, n int")
+    got = {}
+    keep = lambda name: lambda df, _: got.__setitem__(name, sorted(r.n for r in df.collect()))
+    jobs.fan_out("tag", {"a": keep("a")}, keep("rest"))(rows, 0)
+    assert got == {"a": [1], "rest": [2, 3]}
+    with pytest.raises(ValueError):
+        jobs.fan_out("tag", {"a": keep("a")})(rows, 0)
