@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from rillmark.functions.text import java_split
 from rillmark.functions.times import age_on, epoch_micros, micros
-from rillmark.operators.skew import hot_keys, measure_dimensions, spread
+from rillmark.operators.skew import hot_keys, hot_rows, measure_dimensions, spread
+from rillmark.session import ensure_checkpoint_dir
 
-SALTS = 64
+#: Draws that a hot key's pieces are taken from.
+DRAWS = 1 << 20
 
 
 def interval_join(
@@ -72,27 +74,31 @@ def lookup(
     max_rows: int | None = None,
     max_broadcast: int | None = None,
     measured: tuple[bool, bool] | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Enrich facts with the dimension row of their key; the dimension key is dropped.
 
     A dimension within the row bound is broadcast. Beyond it both sides are
-    shuffled, with hot fact keys spread over ``SALTS`` copies of their row.
-    ``measured`` is the dimension's entry of ``measure_dimensions``, if known.
+    shuffled, with a hot fact key spread over as many copies of its row as it
+    holds times the limit. ``measured`` is the dimension's entry of
+    ``measure_dimensions``, if known; hot keys are counted on ``counted``, a
+    cheap source of the same keys, rather than on the facts.
     """
     small, distinct = measured or measure_dimensions([(dim, dim_key)], max_broadcast)[0]
     if unique and not distinct:
         raise ValueError(f"duplicate {dim_key} in dimension")
     if small:
         return fact.join(F.broadcast(dim), fact[fact_key] == dim[dim_key], how).drop(dim[dim_key])
-    hot = None if fact.isStreaming else hot_keys(fact, [F.col(fact_key)], max_rows)
+    hot = None if fact.isStreaming else hot_keys(fact if counted is None else counted, [F.col(fact_key)], max_rows)
     if hot is None:
         return fact.join(dim, fact[fact_key] == dim[dim_key], how).drop(dim[dim_key])
     is_hot = F.col("hot_n").isNotNull()
-    salt = spread(fact, SALTS)
+    pieces = F.greatest(F.ceil(F.col("hot_n") / hot_rows(fact, max_rows)), F.lit(2)).cast("int")
+    salt = spread(fact, DRAWS)
     salted = fact.withColumn("_draw", salt).join(F.broadcast(hot), fact[fact_key].eqNullSafe(hot["hot_0"]), "left").select(
-        *fact.columns, F.when(is_hot, F.col("_draw")).otherwise(0).alias("_salt")
+        *fact.columns, F.when(is_hot, F.pmod("_draw", pieces)).otherwise(0).alias("_salt")
     )
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    copies = F.when(is_hot, F.sequence(F.lit(0), pieces - 1)).otherwise(F.array(F.lit(0)))
     copied = dim.join(F.broadcast(hot), dim[dim_key] == hot["hot_0"], "left").select(
         *dim.columns, F.explode(copies).alias("_copy")
     )
@@ -140,7 +146,10 @@ def enrich_order_wide(
 ) -> DataFrame:
     """The six lookups; spu, trademark and category use keys that the sku lookup supplies.
 
-    ``sku_name`` is overwritten by the sku dimension's.
+    ``sku_name`` is overwritten by the sku dimension's. Where a dimension is
+    too large to broadcast, the rows are written once before the lookups and
+    once after the sku lookup, and hot keys are counted on these copies: the
+    input is computed once, however many dimensions are large.
     """
     dims = [
         ("user_id", user_dimension(users, asof)),
@@ -152,8 +161,13 @@ def enrich_order_wide(
     ]
     keyed = [(key, dim.withColumn("pk", F.col("pk").try_cast("bigint"))) for key, dim in dims]
     measures = measure_dimensions([(dim, "pk") for _, dim in keyed])
-    for (key, dim), measured in zip(keyed, measures):
-        wide = lookup(wide, dim, key, "pk", how, measured=measured)
+    for part in (slice(0, 3), slice(3, 6)):
+        if not all(small for small, _ in measures[part]) and not wide.isStreaming:
+            ensure_checkpoint_dir(wide.sparkSession)
+            wide = wide.checkpoint()
+        counted = wide
+        for (key, dim), measured in zip(keyed[part], measures[part]):
+            wide = lookup(wide, dim, key, "pk", how, measured=measured, counted=counted)
     return wide.withColumn("sku_name", F.coalesce("_dim_name", "sku_name")).drop("_dim_name")
 
 

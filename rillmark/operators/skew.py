@@ -44,17 +44,15 @@ def hot_keys(df: DataFrame, keys: list[Column], max_rows: int | None = None) ->
     quarters of that make it hot, five standard deviations below. Only the
     key columns are read and almost no rows are shuffled.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     limit = hot_rows(df, max_rows)
     share = min(1.0, SAMPLED_ROWS / limit)
     cut = limit if share == 1.0 else 0.75 * SAMPLED_ROWS
     named = df.select(*[k.alias(f"hot_{i}") for i, k in enumerate(keys)])
     sampled = named if share == 1.0 else named.filter(F.rand(23) < share)
     counts = sampled.groupBy(*named.columns).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > cut)
-    hot = counts.select(*named.columns, F.ceil(F.col("_n") / share).alias("hot_n"))
-    if hot.isEmpty():
-        return None
-    ensure_checkpoint_dir(df.sparkSession)
-    return hot.checkpoint()
+    hot = counts.select(*named.columns, F.ceil(F.col("_n") / share).alias("hot_n")).checkpoint()
+    return None if hot.isEmpty() else hot
 
 
 def spread(df: DataFrame, parts: int) -> Column:
