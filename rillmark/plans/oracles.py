@@ -375,6 +375,10 @@ from r where tag = 'dim' and tab = 'orders_o'
 union all select o_orderkey, tag, null from r where tag in ('unrouted', 'bad_key')
 union all select o_orderkey, case tab when 'orders_o' then 'dwd_orders_o' else 'dwd_orders_f' end, cast(o_orderkey as varchar)
 from r where tag = 'fact'""",
+    "repair_processor": """
+select user_id, count(*) as n, cast(max(case when event_type = 'signup' then 1 else 0 end) as bigint) as claims from events group by user_id""",
+    "daily_processor": "select distinct user_id, strftime(ts, '%Y-%m-%d') as day from events",
+    "bounce_processor": BOUNCE,
     "log_topics_stream": """
 select event_id, case when event_id % 101 in (3, 4, 5, 7) then 'dirty_log' when event_type = 'error' then 'start_log'
   else 'page_log' end as topic from events""",

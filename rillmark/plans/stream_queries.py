@@ -14,9 +14,9 @@ from rillmark.operators import aggregates, cdc, joins, keyed, records, windows
 from rillmark.plans import stand_ins as sample
 from rillmark.plans.batch_queries import DAY, EVENT_ORDER, HOUR, STAT_DIMS
 from rillmark.plans.stand_ins import BOUNCE, entry_event
-from rillmark.session import scratch_dir
+from rillmark.session import PROVIDER_CONF, ROCKSDB_PROVIDER, scratch_dir
 from rillmark.sources.topics import routed_topic_sink
-from rillmark.streaming import jobs
+from rillmark.streaming import jobs, processors
 from rillmark.streaming.snapshot import KeyedSnapshot
 
 NOW = {"availableNow": True}
@@ -30,23 +30,24 @@ ORDERED_BY = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}
 
 
 def with_local_state(query):
-    """In local mode, run with no more state partitions than cores and set the number back.
+    """Run with the RocksDB store and, in local mode, no more state partitions than cores; set both back.
 
     Every partition of every stateful operator commits a store per batch. The
-    streams of a query have ended when it returns; a cluster keeps its setting.
+    streams of a query have ended when it returns.
     """
 
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        cores, key = spark.sparkContext.defaultParallelism, "spark.sql.shuffle.partitions"
-        before = spark.conf.get(key)
-        if not spark.sparkContext.master.startswith("local") or int(before) <= cores:
-            return query(spark, sf_dir)
-        spark.conf.set(key, str(cores))
+        key = "spark.sql.shuffle.partitions"
+        before = {k: spark.conf.get(k) for k in (key, PROVIDER_CONF)}
+        if spark.sparkContext.master.startswith("local"):
+            spark.conf.set(key, str(min(int(before[key]), spark.sparkContext.defaultParallelism)))
+        spark.conf.set(PROVIDER_CONF, ROCKSDB_PROVIDER)
         try:
             return query(spark, sf_dir)
         finally:
-            spark.conf.set(key, before)
+            for k, v in before.items():
+                spark.conf.set(k, v)
 
     return run
 
@@ -281,11 +282,42 @@ def log_topics_stream(spark: SparkSession, d: str) -> DataFrame:
         "topic", F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"))
 
 
+def repair_processor(spark: SparkSession, d: str) -> DataFrame:
+    """New-visitor repair in arrival order: each user keeps one claim; which one depends on arrival."""
+    rows = sample.as_visits(event_stream(spark, d)).select("event_id", "user_id", "is_new")
+    job = scratch_dir(spark, "repair-processor")
+    jobs.drain(jobs.start(processors.repair_stream(rows, "user_id", "is_new"), job, **NOW))
+    kept = F.count_if(F.col("is_new") == "1")
+    return spark.read.parquet(f"{job}/out").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), kept.alias("claims"))
+
+
+def daily_processor(spark: SparkSession, d: str) -> DataFrame:
+    """Days of each user by state; only the pairs are read, as arrival order inside a batch is open."""
+    rows = event_stream(spark, d).select("event_id", "user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    job = scratch_dir(spark, "daily-processor")
+    jobs.drain(jobs.start(processors.daily_visit_stream(rows, "user_id", "day", None), job, **NOW))
+    return spark.read.parquet(f"{job}/out").select("user_id", "day").distinct()
+
+
+def bounce_processor(spark: SparkSession, d: str) -> DataFrame:
+    """Bounces by event-time timers; an end marker lets the last entries run out of time."""
+    rows = event_stream(spark, d).select("event_id", "user_id", "ts", "event_type")
+    delay = replay_delay(spark, d)
+
+    def build(stream: DataFrame) -> DataFrame:
+        marked = stream.withColumn("entry", entry_event())
+        return processors.bounce_stream(marked, "user_id", "ts", "event_id", "entry", "event_type", BOUNCE, delay)
+
+    out = _append_to_end(spark, rows, scratch_dir(spark, "bounce-processor"), "ts", build)
+    return out.select(F.col("tie").alias("event_id"), F.col("key").alias("user_id"))
+
+
 STREAM = {
     f.__name__: with_local_state(f)
     for f in (
         new_visitor_repair_stream, daily_unique_visitor_stream, daily_unique_pairs_stream, delta_alert_stream,
         bounce_detection_stream, visitor_stats_stream, window_count_stream, session_window_stream,
         order_wide_interval_stream, payment_wide_stream, keyed_upsert_stream, cdc_fan_out_stream, log_topics_stream,
+        repair_processor, daily_processor, bounce_processor,
     )
 }

@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -21,7 +22,7 @@ def build_session(app_name: str = "rillmark", master: str | None = None, **conf:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+        PROVIDER_CONF: ROCKSDB_PROVIDER,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     for key, value in {**defaults, **conf}.items():

@@ -1,9 +1,9 @@
 """Keyed state processors for ``transformWithStateInPandas`` in arrival order.
 
-State per key is one value (F: seen flag, day, last reading) or the short
-list of undecided entries. A dominant key streams through in Arrow batches;
-no processor holds a key's rows. The table-backed writers of ``jobs`` give
-event-time order inside a batch instead. The RocksDB state store is needed.
+State per key is one value (seen flag, day, last reading) and a dominant key
+streams through in Arrow batches. The bounce detector alone keeps a key's
+undecided rows, those of its waiting time, and sorts them in each batch. The
+table-backed writers of ``jobs`` give event-time order inside a batch instead. The RocksDB state store is needed.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
 from rillmark.functions.times import as_interval, epoch_micros, micros
-from rillmark.session import ROCKSDB_PROVIDER
+from rillmark.session import PROVIDER_CONF, ROCKSDB_PROVIDER
 
 
 class NewVisitorRepair(StatefulProcessor):
@@ -159,7 +159,8 @@ def run_processor(
     df: DataFrame, key: str, processor: StatefulProcessor, schema: StructType | str, time_mode: str = "none"
 ) -> DataFrame:
     """Attach a processor to a stream, keyed by one column, in append mode."""
-    df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    if df.sparkSession.conf.get(PROVIDER_CONF) != ROCKSDB_PROVIDER:
+        raise ValueError(f"set {PROVIDER_CONF} to {ROCKSDB_PROVIDER}, as build_session does")
     grouped = df.groupBy(key)
     return grouped.transformWithStateInPandas(processor, schema, outputMode="append", timeMode=time_mode)
 
