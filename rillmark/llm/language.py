@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from rillmark.llm import arrays as A
 from rillmark.llm.tables import balanced_sample
@@ -217,8 +218,6 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", lang_
     are ``und`` with score 0. Ties go to the first language by name. Nothing
     is shuffled; only the text is read for the decision.
     """
-    from pyspark.sql import types as T
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in A.pieces(batches, text_col):
             column = piece.column(piece.schema.get_field_index(text_col))
@@ -232,5 +231,5 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", lang_
             made = [pa.array(names, pa.string()), pa.array(np.where(known, top, 0.0))]
             yield pa.RecordBatch.from_arrays([*piece.columns, *made], names=[*piece.schema.names, lang_pred, score])
 
-    kind = T.StructType([*docs.schema.fields, T.StructField(lang_pred, T.StringType()), T.StructField(score, T.DoubleType())])
+    kind = StructType([*docs.schema.fields, StructField(lang_pred, StringType()), StructField(score, DoubleType())])
     return docs.mapInArrow(run, kind)

@@ -25,6 +25,7 @@ import public_tokenizers
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 from rillmark.llm import arrays as A
 
@@ -271,12 +272,10 @@ def decode(rows: DataFrame, path: str | None = None, ids_col: str = "ids", text_
     return rows.mapInArrow(run, _with(rows, text_col, "string"))
 
 
-def _with(df: DataFrame, name: str, kind: str):
-    from pyspark.sql import types as T
-
+def _with(df: DataFrame, name: str, kind: str) -> StructType:
     if name.lower() in (c.lower() for c in df.columns):
         raise ValueError(f"there is a column {name} already")
-    return T.StructType([*df.schema.fields, T.StructField(name, T._parse_datatype_string(kind))])
+    return StructType([*df.schema.fields, *StructType.fromDDL(f"`{name}` {kind}").fields])
 
 
 def library(path: str | None = None) -> sentencepiece.SentencePieceProcessor:

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from rillmark.llm import arrays as A
 from rillmark.llm.tables import balanced_sample
@@ -177,11 +178,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
 
 def score(docs: DataFrame, model: Trees, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """``docs`` with the probability of label 1, from the text alone. Null and empty texts get the score of zeros. Nothing is shuffled."""
-    from pyspark.sql import types as T
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in A.pieces(batches, text_col):
             made = pa.array(model.scores(statistics(piece.column(piece.schema.get_field_index(text_col)))))
             yield pa.RecordBatch.from_arrays([*piece.columns, made], names=[*piece.schema.names, score_col])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(score_col, DoubleType())]))

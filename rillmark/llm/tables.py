@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +24,11 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def open_store(uri: str) -> tuple[FileSystem, str]:
+    """File system and path of a folder or file that tasks write or read by themselves."""
+    return FileSystem.from_uri(uri) if ":/" in uri else (LocalFileSystem(), uri)
+
+
 def crc_fold(column: str, folds: int):
     """crc32 of the id as text, modulo ``folds``; null for a null id."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(folds))

@@ -24,6 +24,8 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType, StructField, StructType
 
 from rillmark.llm import arrays as A
 from rillmark.llm.tables import cut, fresh
@@ -166,13 +168,13 @@ class Items:
         return len(counted), changed, changed == 0
 
 
-FOUND = "item_no int, n_windows int, matched int, coverage double, kind string"
+FOUND = "n_windows int, matched int, coverage double, kind string"
 
 
-def _search(docs: DataFrame, items: Items, coverage: float) -> DataFrame:
-    from pyspark.sql import types as T
-
-    kind = T.StructType([T.StructField("doc_id", docs.schema["id"].dataType), *T._parse_datatype_string(FOUND).fields])
+def _search(docs: DataFrame, items: Items, item_type: DataType, coverage: float) -> DataFrame:
+    head = [StructField("doc_id", docs.schema["id"].dataType), StructField("item_id", item_type)]
+    kind = StructType([*head, *StructType.fromDDL(FOUND).fields])
+    arrow_item = to_arrow_type(item_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in A.pieces(batches, "text"):
@@ -192,7 +194,7 @@ def _search(docs: DataFrame, items: Items, coverage: float) -> DataFrame:
                         rows[doc, item] = max(rows.get((doc, item), row), row, key=lambda r: (r[1], r[3]))
             if rows:
                 ids = piece.column(0).take(pa.array([doc for doc, _ in rows]))
-                columns = [ids, pa.array([item for _, item in rows], pa.int32())]
+                columns = [ids, pa.array([items.ids[item] for _, item in rows], arrow_item)]
                 kinds = (pa.int32(), pa.int32(), pa.float64(), pa.string())
                 columns += [pa.array(c, k) for c, k in zip(zip(*rows.values(), strict=True), kinds, strict=True)]
                 yield pa.record_batch(columns, names=kind.names)
@@ -221,9 +223,7 @@ def contaminated(
     for block in range(blocks):
         rows = listed.filter(F.col("block") == block).select("item", "text").collect()  # about block_bytes
         items = Items([r.item for r in rows], [r.text for r in rows])
-        hits = _search(named, items, coverage)
-        ids = F.array(*[F.lit(i) for i in items.ids]).cast(f"array<{benchmark.schema[item_col].dataType.simpleString()}>")
-        hits = hits.withColumn("item_id", F.get(ids, F.col("item_no"))) if items.ids else hits.withColumn("item_id", F.lit(None).cast(benchmark.schema[item_col].dataType))
+        hits = _search(named, items, benchmark.schema[item_col].dataType, coverage)
         found.append(hits if blocks == 1 else cut(hits, "contaminated"))
     return reduce(DataFrame.unionByName, found).select("doc_id", "item_id", "n_windows", "matched", "coverage", "kind")
 

@@ -21,7 +21,6 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.fs as pafs
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -30,6 +29,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rillmark.llm import arrays as A
+from rillmark.llm.tables import open_store
 from rillmark.session import scratch_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -123,10 +123,6 @@ def encode(column: pa.Array, path: str, end_id: int = END_ID) -> tuple[np.ndarra
     return ids, offsets
 
 
-def _open(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pafs.LocalFileSystem(), uri)
-
-
 class ArchiveWriter:
     """Writes one file; ``close`` adds the directory and the seek table."""
 
@@ -208,7 +204,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, id_col: str
         name = f"part-{context.partitionId():06d}"
         for piece in A.pieces(batches, "text"):
             if sink is None:
-                store, root = _open(folder)
+                store, root = open_store(folder)
                 store.create_dir(root, recursive=True)
                 draft = f"{root}/.{name}-{context.taskAttemptId()}"
                 sink = store.open_output_stream(draft)
@@ -241,7 +237,7 @@ def read_tokens(files: DataFrame, ids: set[int] | None = None) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                store, name = _open(path)
+                store, name = open_store(path)
                 with store.open_input_file(name) as source:
                     reader = ArchiveReader(source)
                     wanted = range(len(reader.ids)) if ids is None else np.flatnonzero(reader.named & np.isin(reader.ids, list(ids))).tolist()

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillmark.llm.token_archive import _open
+from rillmark.llm.tables import open_store
 from rillmark.session import scratch_dir
 
 LEAST_BYTES = 1000
@@ -196,7 +196,7 @@ def write_pages(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
         if first is None:
             return
         name = f"part-{context.partitionId():06d}"
-        store, root = _open(folder)
+        store, root = open_store(folder)
         store.create_dir(root, recursive=True)
         draft = f"{root}/.{name}-{context.taskAttemptId()}"
         with store.open_output_stream(draft) as sink:
@@ -228,7 +228,7 @@ def read_pages(files: DataFrame, with_payload: bool = True) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                store, name = _open(path)
+                store, name = open_store(path)
                 with store.open_input_file(name) as source:
                     reader, rows, size = ArchiveReader(source), [], 0
                     for entry in reader.entries:
