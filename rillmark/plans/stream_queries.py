@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from rillmark.functions.times import as_interval
-from rillmark.operators import aggregates, cdc, joins, keyed, records, windows
+from rillmark.operators import aggregates, cdc, joins, records, windows
 from rillmark.plans import stand_ins as sample
 from rillmark.plans.batch_queries import DAY, EVENT_ORDER, HOUR, STAT_DIMS
 from rillmark.plans.stand_ins import BOUNCE, entry_event
