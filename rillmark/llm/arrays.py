@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 #: The bytes of the class [\x20\x09-\x0D] that separates words.
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True

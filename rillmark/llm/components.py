@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,10 +32,10 @@ def forest(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return nodes[keep], nodes[label[keep]]
 
 
-def _local_forests(frames):
-    for frame in frames:
-        node, root = forest(frame["a"].to_numpy(), frame["b"].to_numpy())
-        yield pd.DataFrame({"a": node, "b": root})
+def _local_forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        node, root = forest(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+        yield pa.record_batch([pa.array(node), pa.array(root)], names=["a", "b"])
 
 
 def _stars(links: DataFrame, large: bool) -> DataFrame:
@@ -57,7 +59,7 @@ def components(links: DataFrame) -> DataFrame:
     the logarithm of the number of nodes. Batches are first reduced to forests
     inside their tasks, so that a dense group sends about one row a node.
     """
-    edges = cut(links.select("a", "b").filter("a <> b").mapInPandas(_local_forests, "a long, b long").distinct(), "links")
+    edges = cut(links.select("a", "b").filter("a <> b").mapInArrow(_local_forests, "a long, b long").distinct(), "links")
     known = None
     while True:
         edges = cut(_stars(_stars(edges, large=True), large=False), "links")

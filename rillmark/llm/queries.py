@@ -89,4 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_web_archive": op10_web_archive,
 }
 
-ORACLES: dict[str, str] = {"op3_url_filter": url_rules.oracle(), "op10_web_archive": web_archive.oracle()}
+ORACLES: dict[str, str] = {
+    "op3_url_filter": url_rules.oracle(),
+    "op5_vector_links": vector_links.oracle(),
+    "op8_substring_dedup": repeats.oracle(),
+    "op10_web_archive": web_archive.oracle(),
+}

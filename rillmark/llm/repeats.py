@@ -28,12 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from rillmark.llm import arrays as A
 from rillmark.llm.tables import fresh
 
 WINDOW = 13
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
+#: Chunks' bytes to a hash range.
+PART_BYTES = 8 << 20
 LEAST_CHUNKS = 64
 ANCHOR_BITS = 48
 LAST = np.iinfo(np.int64).max
@@ -291,14 +294,12 @@ def drop_repeats(
     the largest. No rows: no rows. A text is held whole, so its length is
     bounded by a task's memory.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     size = docs.select(F.sum(F.octet_length(text_col)).alias("n")).first().n or 0
-    parts = max(LEAST_CHUNKS, -(-size // chunk_bytes))
-    layout = Layout(window, parts)
+    chunks = max(LEAST_CHUNKS, -(-size // chunk_bytes))
+    layout = Layout(window, max(LEAST_CHUNKS, -(-size // PART_BYTES)))
     others = [c for c in docs.columns if c not in (id_col, text_col)]
     row = F.xxhash64(F.col(id_col), F.octet_length(text_col))
-    named = docs.select(F.pmod(row, F.lit(parts)).alias("_chunk"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(others)])
+    named = docs.select(F.pmod(row, F.lit(chunks)).alias("_chunk"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(others)])
     kept = docs.select(id_col, *others).schema
     result = T.StructType([T.StructField(f.name, f.dataType) for f in kept])
     for name, kind in (("kept_text", T.StringType()), ("n_words", T.LongType()), ("n_removed", T.LongType())):
@@ -316,3 +317,20 @@ def drop_repeats(
     prints = beside_texts(anchors).applyInArrow(lambda t, r: _extend(t, r, layout), PRINTS)
     firsts = by_part(prints).applyInArrow(_meet_prints, "chunk long, low binary, high binary, doc binary")
     return beside_texts(firsts).applyInArrow(lambda t, r: _rewrite(t, r, layout, joined, arrow), result)
+
+
+def oracle(window: int = WINDOW) -> str:
+    """Words, removed words and a digest of the rest in DuckDB's SQL."""
+    return f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM d),
+k AS (
+  SELECT *, string_agg(word, ' ') OVER ahead AS run, count(*) OVER ahead AS size FROM w
+  WINDOW ahead AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {window - 1} FOLLOWING)),
+h AS (SELECT doc_id, pos, word, size = {window} AND min(doc_id) OVER (PARTITION BY run, size) < doc_id AS hit FROM k),
+g AS (
+  SELECT doc_id, pos, word, bool_or(hit) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW) AS gone FROM h),
+s AS (SELECT doc_id, count(*) FILTER (gone) AS n, string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone) AS kept FROM g GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(s.n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN s ON d.doc_id = s.doc_id
+"""

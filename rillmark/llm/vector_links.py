@@ -180,3 +180,19 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     component = F.when(linked, F.col("component")).otherwise(F.col("id"))
     joined = rows.join(full, F.col("v") == F.col("class_v"), "left")
     return joined.select(F.col("id").alias(id_col), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+
+
+def oracle() -> str:
+    """All pairs and their closure in DuckDB's SQL; for small tables."""
+    return f"""
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+u AS (
+  SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS norm FROM v
+  WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= {COSINE}),
+reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT a AS vec_id, (SELECT count(*) FROM links WHERE links.a = reach.a) AS n_links, min(b) AS component_id, a = min(b) AS kept
+FROM reach GROUP BY a
+"""
