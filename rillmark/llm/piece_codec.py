@@ -23,7 +23,7 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import sentencepiece
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
@@ -33,7 +33,9 @@ MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 MARK_BYTES = np.frombuffer(MARK.encode(), np.uint8)
 #: Words a worker remembers between slices of texts.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 200_000
+#: Pairs of pieces whose merging a worker remembers.
+MEMO_PAIRS = 200_000
 
 
 class PieceModel:
@@ -66,8 +68,10 @@ class PieceModel:
         scores = [self.score[i] for i in self.ids.values()]
         self.unknown = min(scores, default=0.0) - 10.0
         self.longest = max(map(len, self.ids), default=1)
-        self.prefixes = {p[:n] for p in self.ids for n in range(1, len(p) + 1)}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        #: Ends of pieces: the id of a piece, -1 for what is only the end of one.
+        self.tails = {p[n:]: -1 for p in self.ids for n in range(1, len(p))} | self.ids
+        self.start = len(self.surface)
+        self.pairs: dict[int, bool] = {}
 
     def merged(self, text: str) -> list[str]:
         """Merges from single characters on: always the best-scored adjacent pair, the left one of equals."""
@@ -83,13 +87,14 @@ class PieceModel:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def stays(self, left: str, right: str) -> bool:
-        """Whether merging leaves these two neighbours as they are."""
-        known = self.pairs.get((left, right))
+    def stays(self, left: str, left_id: int, right: str, right_id: int) -> bool:
+        """Whether merging leaves these two neighbours as they are; ids are -1 for characters without a piece."""
+        key = left_id << 20 | right_id if left_id >= 0 and right_id >= 0 else -1
+        known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) > 500_000:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self.merged(left + right) == ([left, right] if left else [right])
+            known = self.merged(left + right) == ([left, right] if left else [right])
+            if key >= 0 and len(self.pairs) < MEMO_PAIRS:
+                self.pairs[key] = known
         return known
 
 
@@ -99,8 +104,8 @@ class TrieWalk:
     def __init__(self, model: PieceModel):
         self.model = model
         self.word = ""
-        #: For each prefix length: score, start and text of the last piece.
-        self.states: list[tuple[float, int, str]] = [(0.0, 0, "")]
+        #: For each prefix length: score, start, text and id of the last piece; the id is -1 for a bare character.
+        self.states: list[tuple[float, int, str, int]] = [(0.0, 0, "", model.start)]
         self.steps = 0
 
     def go(self, word: str) -> None:
@@ -116,43 +121,72 @@ class TrieWalk:
         self.steps += len(word) - common
         self.word = word
 
-    def _best(self, word: str, end: int) -> tuple[float, int, str]:
-        model, states = self.model, self.states
-        best = None
-        for start in range(max(0, end - model.longest), end):
+    def _pieces_ending(self, word: str, end: int) -> list[tuple[int, str, int]]:
+        """Start, text and id of the pieces that end here, the longest first; without any the bare character."""
+        tails, found = self.model.tails, []
+        for start in range(end - 1, max(-1, end - 1 - self.model.longest), -1):
             piece = word[start:end]
-            i = model.ids.get(piece)
+            i = tails.get(piece)
             if i is None:
-                if start < end - 1:
-                    continue
-                score = states[start][0] + model.unknown
-            else:
-                score = states[start][0] + model.score[i]
+                break
+            if i >= 0:
+                found.append((start, piece, i))
+        if not found or found[0][0] != end - 1:
+            found.insert(0, (end - 1, word[end - 1], -1))
+        found.reverse()
+        return found
+
+    def _best(self, word: str, end: int) -> tuple[float, int, str, int]:
+        model, states = self.model, self.states
+        best = None
+        for start, piece, i in self._pieces_ending(word, end):
+            score = states[start][0] + (model.score[i] if i >= 0 else model.unknown)
             if best is None or score > best[0]:
-                best = score, start, piece
+                best = score, start, piece, i
         return best
 
-    def _last(self, word: str, end: int) -> tuple[float, int, str]:
+    def _last(self, word: str, end: int) -> tuple[float, int, str, int]:
         model, states = self.model, self.states
-        for start in range(max(0, end - model.longest), end):
-            piece = word[start:end]
-            if (piece in model.ids or start == end - 1) and model.stays(states[start][2], piece):
-                return 0.0, start, piece
+        for start, piece, i in self._pieces_ending(word, end):
+            if model.stays(states[start][2], states[start][3], piece, i):
+                return 0.0, start, piece, i
         raise AssertionError(f"no encoding of {word[:end]!r} ends here")
 
     def spell(self) -> list[int]:
         out, end = [], len(self.word)
         while end:
-            _, start, piece = self.states[end]
-            i = self.model.ids.get(piece)
-            out.extend([i] if i is not None else [self.model.bytes[b] for b in reversed(piece.encode("utf-8"))])
+            _, start, piece, i = self.states[end]
+            out.extend([i] if i >= 0 else [self.model.bytes[b] for b in reversed(piece.encode("utf-8"))])
             end = start
         return out[::-1]
 
 
+class Memo:
+    """Ids of the first ``MEMO_WORDS`` words a worker met, back to back in one array."""
+
+    def __init__(self):
+        self.at: dict[bytes, int] = {}
+        self.sizes, self.ids = np.empty(0, np.int64), np.empty(0, np.int32)
+
+    def look_up(self, words: list[bytes], model: PieceModel) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of ids and first id of each word, and the ids."""
+        known = np.fromiter((self.at.get(w, -1) for w in words), np.int64, len(words))
+        missing = np.flatnonzero(known < 0)
+        made = encode_words([words[i].decode("utf-8", "replace") for i in missing.tolist()], model)
+        sizes = np.concatenate([self.sizes, np.fromiter(map(len, made), np.int64, len(made))])
+        ids = np.concatenate([self.ids, np.fromiter((i for word in made for i in word), np.int32)])
+        known[missing] = len(self.sizes) + np.arange(len(missing))
+        spare = min(max(0, MEMO_WORDS - len(self.at)), len(missing))
+        if spare:
+            self.at.update((words[i], len(self.sizes) + k) for k, i in enumerate(missing[:spare].tolist()))
+            self.sizes = sizes[: len(self.sizes) + spare]
+            self.ids = ids[: self.sizes.sum()]
+        return sizes[known], (np.cumsum(sizes) - sizes)[known], ids
+
+
 @lru_cache(maxsize=2)
-def _worker_model(path: str) -> tuple[PieceModel, dict[bytes, np.ndarray]]:
-    return PieceModel(path), {}
+def _worker_model(path: str) -> tuple[PieceModel, Memo]:
+    return PieceModel(path), Memo()
 
 
 def encode_words(words: list[str], model: PieceModel) -> list[list[int]]:
@@ -201,19 +235,12 @@ def encode_texts(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     ends = np.append(starts[1:], len(data))
     array = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(data)])
     encoded = array.dictionary_encode()
-    codes, distinct = encoded.indices.to_numpy(), encoded.dictionary.to_pylist()
-    found = [memo.get(w) for w in distinct]
-    unknown = [i for i, ids in enumerate(found) if ids is None]
-    for i, ids in zip(unknown, encode_words([distinct[i].decode("utf-8", "replace") for i in unknown], model), strict=True):
-        found[i] = np.array(ids, np.int32)
-        if len(memo) < MEMO_WORDS:
-            memo[distinct[i]] = found[i]
-    sizes = np.fromiter(map(len, found), np.int64, len(found))
-    begins = np.cumsum(sizes) - sizes
+    codes = encoded.indices.to_numpy()
+    sizes, begins, flat = memo.look_up(encoded.dictionary.to_pylist(), model)
     lengths = sizes[codes]
     last = np.cumsum(counts)
     before = np.concatenate([[0], np.cumsum(lengths)])
-    return np.concatenate(found)[A.ragged(begins[codes], lengths)], np.concatenate([[0], before[last]])
+    return flat[A.ragged(begins[codes], lengths)], np.concatenate([[0], before[last]])
 
 
 def decode_ids(ids: np.ndarray, offsets: np.ndarray, model: PieceModel) -> pa.Array:
@@ -234,11 +261,12 @@ def decode_ids(ids: np.ndarray, offsets: np.ndarray, model: PieceModel) -> pa.Ar
     return A.valid_text(made).cast(pa.string())
 
 
-def encode(docs: DataFrame, path: str | None = None, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, path: str | None = None, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
     """``docs`` with the piece ids of each text as ``ids_col`` (array of int).
 
     Null texts have null ids and empty texts an empty list; whole texts are
-    encoded. Nothing is shuffled, rows stay in their partitions.
+    encoded. Nothing is shuffled, rows stay in their partitions. With
+    ``decoded_col`` the ids are decoded in the same pass, as ``decode`` does.
     """
     path = path or public_tokenizers.path(MODEL)
 
@@ -247,9 +275,20 @@ def encode(docs: DataFrame, path: str | None = None, text_col: str = "text", ids
             column = piece.column(piece.schema.get_field_index(text_col))
             ids, offsets = encode_texts(column, path)
             made = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32)), mask=column.is_null())
-            yield pa.RecordBatch.from_arrays([*piece.columns, made], names=[*piece.schema.names, ids_col])
+            columns, names = [*piece.columns, made], [*piece.schema.names, ids_col]
+            if decoded_col:
+                columns.append(_decoded(made, _worker_model(path)[0]))
+                names.append(decoded_col)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.mapInArrow(run, _with(docs, ids_col, "array<int>"))
+    kind = _with(docs, ids_col, "array<int>")
+    return docs.mapInArrow(run, kind.add(decoded_col, "string") if decoded_col else kind)
+
+
+def _decoded(column: pa.ListArray, model: PieceModel) -> pa.Array:
+    sizes = column.value_lengths().fill_null(0).to_numpy()
+    made = decode_ids(column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)]), model)
+    return pc.if_else(column.is_valid(), made, pa.scalar(None, pa.string()))
 
 
 def decode(rows: DataFrame, path: str | None = None, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -261,12 +300,7 @@ def decode(rows: DataFrame, path: str | None = None, ids_col: str = "ids", text_
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 part = batch.slice(lo, 1000)
-                column = part.column(part.schema.get_field_index(ids_col))
-                sizes = column.value_lengths().fill_null(0).to_numpy()
-                made = decode_ids(column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)]), model)
-                nulls = column.is_null()
-                if nulls.true_count:
-                    made = pa.array([None if gone else text for gone, text in zip(nulls.to_pylist(), made.to_pylist(), strict=True)], pa.string())
+                made = _decoded(part.column(part.schema.get_field_index(ids_col)), model)
                 yield pa.RecordBatch.from_arrays([*part.columns, made], names=[*part.schema.names, text_col])
 
     return rows.mapInArrow(run, _with(rows, text_col, "string"))
@@ -278,6 +312,8 @@ def _with(df: DataFrame, name: str, kind: str) -> StructType:
     return StructType([*df.schema.fields, *StructType.fromDDL(f"`{name}` {kind}").fields])
 
 
-def library(path: str | None = None) -> sentencepiece.SentencePieceProcessor:
+def library(path: str | None = None):
     """The library's own processor for the model, to compare with."""
+    import sentencepiece
+
     return sentencepiece.SentencePieceProcessor(model_file=path or public_tokenizers.path(MODEL))

@@ -33,7 +33,7 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every document, and whether they decode to its text."""
-    coded = piece_codec.decode(piece_codec.encode(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    coded = piece_codec.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), decoded_col="decoded")
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip")
     )
