@@ -17,7 +17,7 @@ with 41 rows for a fingerprint instead of a square.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillmark.llm import arrays as A
+from rillmark.llm import jaccard
 from rillmark.llm.components import components
 from rillmark.llm.tables import cut, fresh
 
@@ -67,12 +68,12 @@ def fingerprints(column: pa.Array, size: int = SHINGLE) -> np.ndarray:
     return np.packbits(made, axis=1).view(">u8").ravel().astype(np.uint64)
 
 
-def fingerprint_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def fingerprint_rows(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE) -> DataFrame:
     """``(id, fp)``, one row for each document; ``fp`` is the signed reading of the 64 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in A.pieces(batches, "text"):
-            yield pa.record_batch([piece.column(0), pa.array(fingerprints(piece.column(1)).view(np.int64))], names=["id", "fp"])
+            yield pa.record_batch([piece.column(0), pa.array(fingerprints(piece.column(1), size).view(np.int64))], names=["id", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, fp long")
@@ -115,45 +116,49 @@ def links(distinct: DataFrame) -> DataFrame:
     return pairs.union(stars)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, similarity: float | None = None) -> DataFrame:
     """``(id, fingerprint, component_id)``, one row for each row of ``docs``.
 
     ``component_id`` is the smallest id reachable over links of at most two
-    differing bits. Null, empty and blank texts have fingerprint zero and link
+    differing bits between fingerprints of shingles of ``size`` words. With a
+    ``similarity``, links are instead those of :mod:`jaccard`: an exact Jaccard
+    similarity of the shingle sets of at least so much; ``fp`` is then a digest
+    of the set. Null, empty and blank texts have fingerprint zero and link
     like any other; rows of one id keep a row each; null ids are members but
     never name a component that has another id. No rows: no rows.
     """
-    rows = cut(fingerprint_rows(docs, id_col, text_col), "fingerprints")
+    made = fingerprint_rows(docs, id_col, text_col, size) if similarity is None else jaccard.set_rows(docs, id_col, text_col, size)
+    rows = cut(made, "fingerprints")
     distinct = rows.groupBy("fp").agg(F.min("id").alias("least"))
-    joined = components(links(distinct.select("fp")))
+    joined = components(links(distinct.select("fp")) if similarity is None else jaccard.links(docs, rows, id_col, text_col, size, similarity))
     labels = distinct.join(joined, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = labels.groupBy("root").agg(F.min("least").alias("component_id"))
     named = labels.select("fp", "root").join(least, "root").select("fp", "component_id", "root")
     return rows.join(named, "fp").select(F.col("id").alias(id_col), "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "root")
 
 
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, similarity: float | None = None) -> DataFrame:
     """One row of each component of ``docs``: that of the smallest id; of rows that repeat that id, any one.
 
     All columns are kept. A component of null ids alone keeps one row.
     """
-    found = cut(near_duplicates(docs, id_col, text_col).select(F.col(id_col).alias("_id"), "fp", "root", "component_id"), "components")
+    found = cut(near_duplicates(docs, id_col, text_col, size, similarity).select(F.col(id_col).alias("_id"), "fp", "root", "component_id"), "components")
     stays = F.col("_id").eqNullSafe(F.col("component_id"))
     per_id = found.groupBy("_id").agg(F.count(F.lit(1)).alias("n"), F.max(stays).alias("stays")).filter("stays")
     mark, many, print_kept, root_kept = (fresh(docs, n) for n in ("_kept", "_many", "_print", "_root"))
     marked = docs.join(per_id.select(F.col("_id").alias(mark), (F.col("n") > 1).alias(many)), docs[id_col].eqNullSafe(F.col(mark)))
     single = marked.filter(~F.col(many)).select(*docs.columns)
     # Rows that share their id are told apart by their fingerprints, and one row of a component is taken.
-    rest = _with_fingerprints(marked.filter(many).select(*docs.columns), text_col, many)
+    rest = _with_fingerprints(marked.filter(many).select(*docs.columns), text_col, many, size, fingerprints if similarity is None else jaccard.prints)
     roots = found.filter(stays).select(F.col("_id").alias(mark), F.col("fp").alias(print_kept), F.col("root").alias(root_kept)).distinct()
     met = rest.join(roots, rest[id_col].eqNullSafe(F.col(mark)) & (F.col(many) == F.col(print_kept)))
     return single.unionByName(met.dropDuplicates([root_kept]).select(*docs.columns))
 
 
-def _with_fingerprints(rows: DataFrame, text_col: str, name: str) -> DataFrame:
+def _with_fingerprints(rows: DataFrame, text_col: str, name: str, size: int, prints: Callable[[pa.Array, int], np.ndarray]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in A.pieces(batches, text_col):
-            made = pa.array(fingerprints(piece.column(piece.schema.get_field_index(text_col))).view(np.int64))
+            made = pa.array(prints(piece.column(piece.schema.get_field_index(text_col)), size).view(np.int64))
             yield pa.RecordBatch.from_arrays([*piece.columns, made], names=[*piece.schema.names, name])
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(name, T.LongType())]))
