@@ -3,7 +3,9 @@
 Words are reduced to templates: numbers, names (capitalised words) and units
 after a number become typed placeholders, other words lose case and outer
 punctuation. Windows of ``WINDOW`` template words of the benchmark items are
-looked up by hash in all windows of all documents. Hits of one item near each
+looked up by hash in all windows of all documents, once with placeholders for
+names and once with the names as caseless words, since text in other case
+doesn't show its names. Hits of one item near each
 other in a document are one occurrence. In it, every slot value of the item
 must stand for one value of the document; windows that contradict the usual
 value of a slot don't count. An item is found when the windows that count
@@ -17,6 +19,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -50,22 +53,24 @@ EDGES = r"^[^\p{L}\p{N}$€£+\-]+|[^\p{L}\p{N}%]+$"
 
 @dataclass
 class Templates:
-    """Template words of some texts: exact and placeholder hashes, slot types and the text each word belongs to."""
+    """Template words of some texts: exact and placeholder hashes, the latter with and without names as slots, slot types and the text each word belongs to."""
 
     exact: np.ndarray
     slotted: np.ndarray
+    worded: np.ndarray
     kind: np.ndarray
     codes: np.ndarray
     cores: list[str]
     counts: np.ndarray
 
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hash of each window of ``size`` words and whether it lies in one text."""
-        literals = np.concatenate([[0], np.cumsum(self.kind == LITERAL)])
+    def windows(self, size: int, names: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Hash of each window of ``size`` words, with names as slots or as words, and whether it lies in one text."""
+        literal = self.kind == LITERAL if names else (self.kind == LITERAL) | (self.kind == NAME)
+        literals = np.concatenate([[0], np.cumsum(literal)])
         n = max(0, len(self.exact) - size + 1)
         few = literals[size : size + n] - literals[:n] < min(LEAST_LITERALS, size)
         room = np.repeat(np.cumsum(self.counts), self.counts) - np.arange(len(self.exact))
-        return np.where(few, A.rolling(self.exact, size), A.rolling(self.slotted, size)), room[:n] >= size
+        return np.where(few, A.rolling(self.exact, size), A.rolling(self.slotted if names else self.worded, size)), room[:n] >= size
 
 
 def canonical(column: pa.Array) -> Templates:
@@ -77,7 +82,7 @@ def canonical(column: pa.Array) -> Templates:
     real = pc.match_substring_regex(cores, r"[\p{L}\p{N}]").to_numpy(zero_copy_only=False)
     lower = pc.utf8_lower(cores)
     unit = pc.is_in(lower, pa.array(UNITS, pa.large_string())).to_numpy(zero_copy_only=False)
-    texts = lower.to_pylist()
+    texts = [t.casefold() for t in cores.to_pylist()]
     exact = np.fromiter((xxhash.xxh64_intdigest(t, 7) for t in texts), np.uint64, len(texts))
     keep = real[words.codes] if words.size else np.empty(0, bool)
     codes = words.codes[keep]
@@ -90,7 +95,8 @@ def canonical(column: pa.Array) -> Templates:
         kind[after_number & unit[codes]] = UNIT
     exact = exact[codes] if len(codes) else np.empty(0, np.uint64)
     marks = np.array([0, *(xxhash.xxh64_intdigest(t, 11) for t in ("number", "name", "unit"))], np.uint64)
-    return Templates(exact, np.where(kind == LITERAL, exact, marks[kind]), kind, codes, texts, counts)
+    slotted = np.where(kind == LITERAL, exact, marks[kind])
+    return Templates(exact, slotted, np.where(kind == NAME, exact, slotted), kind, codes, texts, counts)
 
 
 class Items:
@@ -105,25 +111,25 @@ class Items:
         self.size = np.minimum(made.counts, WINDOW)
         self.total = np.where(made.counts > 0, made.counts - self.size + 1, 0)
         self.index = {}
-        for size in sorted(set(self.size.tolist()) - {0}):
-            hashes, whole = made.windows(size)
+        for size, names in product(sorted(set(self.size.tolist()) - {0}), (True, False)):
+            hashes, whole = made.windows(size, names)
             owner = np.repeat(np.arange(len(ids)), made.counts)[: len(hashes)]
             at = np.flatnonzero(whole & (self.size[owner] == size))
             at = at[np.argsort(hashes[at], kind="stable")]
             keys, first, n = np.unique(hashes[at], return_index=True, return_counts=True)
-            self.index[size] = keys, first, n, owner[at], at - begins[owner[at]]
+            self.index[size, names] = keys, first, n, owner[at], at - begins[owner[at]]
 
     def hits(self, made: Templates) -> Iterator[tuple[int, list[tuple[int, int, int]]]]:
         """For each text with a hit: its number and (word, item, item's word) of the hits, words counted from its start."""
         found = []
-        for size, (keys, first, n, owner, place) in self.index.items():
-            hashes, whole = made.windows(size)
+        for (size, names), (keys, first, n, owner, place) in self.index.items():
+            hashes, whole = made.windows(size, names)
             hit, at = A.member(hashes, keys)
             words = np.flatnonzero(hit & whole)
             each = A.ragged(first[at[words]], n[at[words]])
             found.append(np.column_stack([np.repeat(words, n[at[words]]), owner[each], place[each]]))
         rows = np.concatenate(found) if found else np.empty((0, 3), np.int64)
-        rows = rows[np.argsort(rows[:, 0], kind="stable")]
+        rows = np.unique(rows, axis=0)
         ends = np.cumsum(made.counts)
         doc = np.searchsorted(ends, rows[:, 0], side="right")
         rows[:, 0] -= (ends - made.counts)[doc]
