@@ -6,7 +6,7 @@ punctuation. Windows of ``WINDOW`` template words of the benchmark items are
 looked up by hash in all windows of all documents, once with placeholders for
 names and once with the names as caseless words, since text in other case
 doesn't show its names. Hits of one item near each
-other in a document are one occurrence. In it, every slot value of the item
+other in a document, within twice the item's length, are one occurrence. In it, every slot value of the item
 must stand for one value of the document; windows that contradict the usual
 value of a slot don't count. An item is found when the windows that count
 cover at least ``COVERAGE`` of its windows: verbatim if every slot has the
@@ -15,6 +15,7 @@ item's own value, otherwise re-parameterised.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -138,7 +139,12 @@ class Items:
             yield int(doc[a]), rows[a:b].tolist()
 
     def occurrences(self, hits: list[tuple[int, int, int]]) -> Iterator[tuple[int, list[tuple[int, int]]]]:
-        """Hits of an item that start close enough to be one occurrence: (item, [(word, item's word)])."""
+        """Hits of an item that may be one occurrence: (item, [(word, item's word)]).
+
+        First the runs whose words shift by a few places at most, then, where
+        there are several runs, from the start of each all hits within twice
+        the item's length: as many words as it has may stand in between.
+        """
         by_item = defaultdict(list)
         for word, item, place in hits:
             by_item[item].append((word, place))
@@ -146,13 +152,21 @@ class Items:
             reach = len(self.words[item])
             pairs.sort(key=lambda p: (p[0] - p[1], p[0]))
             group: list[tuple[int, int]] = []
+            starts = []
             for pair in pairs:
                 # Inserted or lost words shift the rest by a few places.
                 if group and pair[0] - pair[1] - (group[-1][0] - group[-1][1]) > max(2, reach // 8):
                     yield item, group
+                    starts.append(min(group)[0])
                     group = []
                 group.append(pair)
             yield item, group
+            if starts:
+                starts.append(min(group)[0])
+                pairs.sort()
+                words = [word for word, _ in pairs]
+                for start in sorted(set(starts)):
+                    yield item, pairs[bisect_left(words, start) : bisect_left(words, start + 2 * reach)]
 
     def judge(self, item: int, pairs: list[tuple[int, int]], words: list[str]) -> tuple[int, int, bool]:
         """Windows that count, changed slots, and whether the occurrence is verbatim in them."""

@@ -27,3 +27,15 @@ def test_items_in_other_case_are_found(spark, sf_dir, case):
     bench = spark.createDataFrame(items, "item_id long, text string")
     found = {(r.doc_id, r.item_id) for r in templates.contaminated(docs, bench).collect()}
     assert {i for i, t in items if t.split()} == {d for d, i in found if d == i}
+
+
+@pytest.mark.parametrize("between", [0, 5, 8, 30])
+def test_inserted_words_do_not_hide_items(spark, between):
+    words = [f"{w}{i}" for i in range(10) for w in ("plain", "text", "with", "words")]
+    line = [f"page{i}" for i in range(between)]
+    far = [f"far{i}" for i in range(60)]
+    texts = {1: words[:20] + line + words[20:], 2: words[:20] + far + words[20:], 3: [*words[:20], *line, *far]}
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    rows = templates.contaminated(docs, bench).collect()
+    assert [(r.doc_id, r.kind, r.matched) for r in rows] == [(1, "verbatim", 36 if not between else 32)]
