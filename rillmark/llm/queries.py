@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillmark.llm import language, piece_codec, quality, repeats, simhash, templates, token_archive, url_rules, vector_links, web_archive
+from rillmark.llm import filter_audit, language, piece_codec, quality, repeats, simhash, templates, token_archive, url_rules, vector_links, web_archive
 from rillmark.llm.tables import crc_fold
 
 
@@ -76,6 +76,11 @@ def op10_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return web_archive.round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each step of every order of the five filters keeps and removes, by language."""
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_frames": op1_token_frames,
     "op2_simhash": op2_simhash,
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality": op9_quality,
     "op10_web_archive": op10_web_archive,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 ORACLES: dict[str, str] = {
@@ -94,4 +100,5 @@ ORACLES: dict[str, str] = {
     "op5_vector_links": vector_links.oracle(),
     "op8_substring_dedup": repeats.oracle(),
     "op10_web_archive": web_archive.oracle(),
+    "op11_filter_audit": filter_audit.oracle(),
 }
