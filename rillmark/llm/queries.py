@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillmark.llm import filter_audit, language, piece_codec, quality, repeats, simhash, templates, token_archive, url_rules, vector_links, web_archive
+from rillmark.llm import conversation_trie, filter_audit, language, piece_codec, quality, repeats, simhash, templates, token_archive, url_rules, vector_links, web_archive
 from rillmark.llm.tables import crc_fold
 
 
@@ -81,6 +81,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return conversation_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_frames": op1_token_frames,
     "op2_simhash": op2_simhash,
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_web_archive": op10_web_archive,
     "op11_filter_audit": op11_filter_audit,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 ORACLES: dict[str, str] = {
@@ -101,4 +107,5 @@ ORACLES: dict[str, str] = {
     "op8_substring_dedup": repeats.oracle(),
     "op10_web_archive": web_archive.oracle(),
     "op11_filter_audit": filter_audit.oracle(),
+    "op13_conversation_trie": conversation_trie.oracle(),
 }
