@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillmark.llm import conversation_trie, filter_audit, language, piece_codec, quality, repeats, simhash, templates, token_archive, url_rules, vector_links, web_archive
+from rillmark.llm import conversation_trie, filter_audit, language, pair_bpe, piece_codec, quality, repeats, simhash, templates, token_archive, url_rules, vector_links, web_archive
 from rillmark.llm.tables import crc_fold
 
 
@@ -81,6 +81,15 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_pair_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the text they decode to."""
+    coded = pair_bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), decoded_col="decoded")
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the prefix trie of the rebuilt conversations."""
     return conversation_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
@@ -98,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_web_archive": op10_web_archive,
     "op11_filter_audit": op11_filter_audit,
+    "op12_pair_bpe": op12_pair_bpe,
     "op13_conversation_trie": op13_conversation_trie,
 }
 
