@@ -5,14 +5,17 @@ vectors. Pivots cut the vectors into cells, each vector in the cell of its
 nearest pivot. By the triangle inequality, a vector x can only be within r of
 a vector of cell j if d(x, p_j) <= d(x, p_home) + 2r; in Euclidean space the
 plane between two pivots gives the sharper (d(x, p_j)^2 - d(x, p_home)^2) / (2
-d(p_j, p_home)) <= r. Vectors are copied to the cells where both hold, and
-each cell finds all neighbours of its own vectors without the others.
-
-Cells are cut into blocks of about ``BLOCK`` vectors; a task works on one
-block of a cell's own vectors and one of its candidates, so a cell that holds
-a third of all vectors becomes many tasks. Equal vectors are one weighted
-vector. A block pair sends the number of links of each vector and a spanning
-forest of the links, never the pairs.
+d(p_j, p_home)) <= r. The number of pivots is the cheapest of a few on a
+sample; where no bound separates anything that is one.
+
+A cell is cut into blocks of up to ``BLOCK`` vectors, rings around its pivot.
+A block, not a vector, is replicated to a cell that one of its vectors must
+reach, and keeps its least and largest distance to every pivot: only blocks
+whose distances to every pivot come within r of each other meet. Pairs of
+blocks are dealt in tiles, so that a blob is sent once for many pairs, and a
+cell that holds a third of all vectors becomes many tiles. Equal vectors are
+one weighted vector. A pair of blocks sends the number of links of each vector
+and a spanning forest of the links, never the pairs.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,9 +33,16 @@ from rillmark.llm.components import components, forest
 from rillmark.llm.tables import cut
 
 COSINE = 0.9
-BLOCK = 2048
-#: Pivots are sent to every task: so many at most.
-MOST_PIVOTS = 256
+#: Vectors of a block, and bytes of them in double precision.
+BLOCK, BLOCK_BYTES = 4096, 8 << 20
+#: Numbers of pivots that are tried; pivots are sent to every task.
+PIVOTS = (1, 4, 16, 64, 256)
+#: Vectors on which the numbers of pivots are compared, and from which pivots come.
+SAMPLE = 2048
+#: Blocks along a tile's side at most; a task holds one side.
+TILE = 16
+#: Blocks of a cell that one task pairs with another cell's.
+PAIR_BLOCKS = 512
 SLACK = 1e-9
 #: Single precision screens products; what comes this close is computed again in double precision.
 SCREEN = 1e-4
@@ -69,30 +80,107 @@ def _home_and_cells(u: np.ndarray, pivots: np.ndarray, radius: float) -> tuple[n
     return home, inside
 
 
-def _dealt(classes: DataFrame, pivots: np.ndarray, radius: float) -> DataFrame:
-    """``(cell, own, cid, n, v)``: each vector once as its home cell's own and once as a candidate of each of its cells."""
+def _far_apart(u: np.ndarray, wanted: int) -> np.ndarray:
+    """Rows of u, each the farthest from those before it; fewer than wanted where all others are equal to one."""
+    chosen, gap = [0], 2.0 - 2.0 * (u @ u[0])
+    while len(chosen) < wanted and gap.max() > SLACK:
+        chosen.append(int(gap.argmax()))
+        gap = np.minimum(gap, 2.0 - 2.0 * (u @ u[chosen[-1]]))
+    return u[chosen]
+
+
+def choose_pivots(sample: np.ndarray, total: int, radius: float, block: int) -> np.ndarray:
+    """The pivots with the least work for ``total`` vectors, judged on a sample of unit vectors.
+
+    Work is the number of compared pairs, a vector's own cell against what is
+    copied to it, and the copies themselves. More pivots must save a tenth.
+    """
+    best, least = sample[:1], float("inf")
+    for wanted in PIVOTS:
+        if wanted > 1 and wanted > total / block * 4:
+            break
+        pivots = _far_apart(sample, wanted)
+        home, inside = _home_and_cells(sample, pivots, radius)
+        own, met = np.bincount(home, minlength=len(pivots)) / len(sample), inside.mean(axis=0)
+        work = total * float(own @ met) + block * float(inside.sum(axis=1).mean())
+        if work < 0.9 * least:
+            best, least = pivots, work
+    return best
+
+
+def _measured(classes: DataFrame, pivots: np.ndarray, radius: float) -> DataFrame:
+    """``(home, ring, cid, n, v)``: the cell of each vector and its distance to the cell's pivot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, STEP):
                 part = batch.slice(lo, STEP)
-                home, inside = _home_and_cells(units(_matrix(part.column(2))), pivots, radius)
-                row, cell = np.nonzero(inside)
-                own = np.concatenate([np.ones(len(home), bool), np.zeros(len(row), bool)])
-                rows = pa.array(np.concatenate([np.arange(len(home)), row]))
-                cells = pa.array(np.concatenate([home, cell]).astype(np.int32))
-                yield pa.record_batch([cells, pa.array(own), *[c.take(rows) for c in part.columns]], names=["cell", "own", "cid", "n", "v"])
+                square = 2.0 - 2.0 * (units(_matrix(part.column(2))) @ pivots.T)
+                home = square.argmin(axis=1)
+                yield pa.record_batch([pa.array(home.astype(np.int32)), pa.array(square[np.arange(len(home)), home]), *part.columns], names=["home", "ring", "cid", "n", "v"])
+
+    return classes.mapInArrow(run, f"home int, ring double, cid long, n long, v {classes.schema['v'].dataType.simpleString()}")
+
 
-    return classes.mapInArrow(run, f"cell int, own boolean, cid long, n long, v {classes.schema['v'].dataType.simpleString()}")
+BLOCK_COLUMNS = "block long, home int, cells array<int>, low binary, high binary, cid binary, n binary, v binary"
+
+
+def _blocks(measured: DataFrame, pivots: np.ndarray, radius: float, size: int, parts: int) -> DataFrame:
+    """Blocks as rows of blobs: the cells it reaches, its distances to all pivots from ``low`` to ``high``, its vectors."""
+
+    def pack(rows: list[pa.RecordBatch], home: int, number: int) -> pa.RecordBatch:
+        table = pa.Table.from_batches(rows)
+        raw = _matrix(table.column("v").combine_chunks())
+        u = units(raw)
+        reached = _home_and_cells(u, pivots, radius)[1].any(axis=0)
+        apart = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (u @ pivots.T)))
+        blobs = [apart.min(axis=0).tobytes(), apart.max(axis=0).tobytes(), *[table.column(c).to_numpy().astype(np.int64).tobytes() for c in ("cid", "n")], raw.tobytes()]
+        kinds = [pa.int64(), pa.int32(), pa.list_(pa.int32()), *[pa.binary()] * 5]
+        values = [number, home, np.flatnonzero(reached).astype(np.int32).tolist(), *blobs]
+        return pa.record_batch([pa.array([x], k) for x, k in zip(values, kinds, strict=True)], names=["block", "home", "cells", "low", "high", "cid", "n", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, count, cell = TaskContext.get().partitionId() << 32, [], 0, None
+        for batch in batches:
+            homes = batch.column(0).to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(homes)) + 1).tolist(), len(homes)]
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                while lo < hi:
+                    if held and (homes[lo] != cell or count == size):
+                        yield pack(held, cell, number)
+                        number, held, count = number + 1, [], 0
+                    cell, take = int(homes[lo]), min(hi - lo, size - count)
+                    held.append(batch.slice(lo, take))
+                    lo, count = lo + take, count + take
+        if held:
+            yield pack(held, cell, number)
+
+    return measured.repartitionByRange(parts, "home", "ring", "cid").sortWithinPartitions("home", "ring", "cid").mapInArrow(run, BLOCK_COLUMNS)
+
+
+def _meeting(blocks: DataFrame, radius: float) -> DataFrame:
+    """``(a, b)``: blocks a <= b that each reach the other's cell and whose distances to no pivot are more than r apart.
+
+    A cell of many blocks is paired in slices, each with a copy of the others' small rows.
+    """
+    slim = blocks.select("block", "home", "cells", "low", "high")
+    many = slim.groupBy("home").agg(F.count(F.lit(1)).alias("n"))
+    slices = many.select(F.col("home").alias("cell"), F.greatest(F.lit(1), F.ceil(F.col("n") / PAIR_BLOCKS)).cast("int").alias("slices"))
+    # One small row for each pivot.
+    own = slim.join(F.broadcast(slices), F.col("home") == F.col("cell")).withColumn("slice", F.pmod(F.xxhash64("block"), F.col("slices")).cast("int"))
+    other = slim.withColumn("cell", F.explode("cells")).join(F.broadcast(slices), "cell")
+    other = other.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    x = own.select("cell", "slice", F.col("block").alias("a"), F.col("home").alias("xh"), F.col("cells").alias("xc"), F.col("low").alias("xl"), F.col("high").alias("xu"))
+    y = other.select("cell", "slice", F.col("block").alias("b"), F.col("home").alias("yh"), F.col("low").alias("yl"), F.col("high").alias("yu"))
+    found = x.join(y, ["cell", "slice"]).filter("a <= b and array_contains(xc, yh)")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            xl, xu, yl, yu = (np.frombuffer(b"".join(batch.column(i).to_pylist())).reshape(batch.num_rows, -1) for i in range(2, 6))
+            near = (np.maximum(xl - yu, yl - xu) <= radius + SLACK).all(axis=1)
+            yield pa.record_batch([batch.column(0).filter(pa.array(near)), batch.column(1).filter(pa.array(near))], names=["a", "b"])
 
-def _pack(key: tuple, table: pa.Table) -> pa.Table:
-    """A block as three blobs."""
-    column = table.column("v").combine_chunks()
-    values = [table.column(c).to_numpy().astype(np.int64).tobytes() for c in ("cid", "n")]
-    columns = [[k.as_py()] for k in key] + [[v] for v in values] + [[_matrix(column).tobytes()]]
-    kinds = (pa.int32(), pa.bool_(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["cell", "own", "block", "cid", "n", "v"])
+    return found.select("a", "b", "xl", "xu", "yl", "yu").mapInArrow(run, "a long, b long")
 
 
 def block_links(x: np.ndarray, y: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
@@ -111,46 +199,75 @@ def block_links(x: np.ndarray, y: np.ndarray, cosine: float) -> tuple[np.ndarray
     return np.concatenate(out_a or empty), np.concatenate(out_b or empty)
 
 
-def _join_blocks(pairs: DataFrame, dim: int, dtype: str, cosine: float) -> DataFrame:
-    """``(a, b, n)``: with b null, n links of class a found in a block pair; otherwise a link of the forest."""
+def _rows(x_id: np.ndarray, counts: np.ndarray, node: np.ndarray, root: np.ndarray) -> pa.RecordBatch:
+    some = np.flatnonzero(counts)
+    a = pa.array(np.concatenate([x_id[some], node]), pa.int64())
+    b = pa.array([None] * len(some) + root.tolist(), pa.int64())
+    n = pa.array(counts[some].tolist() + [None] * len(node), pa.int64())
+    return pa.record_batch([a, b, n], names=["a", "b", "n"])
+
+
+def _links_of(x: tuple, y: tuple, same: bool, cosine: float) -> Iterator[pa.RecordBatch]:
+    """Links between two blocks ``(ids, weights, vectors)``, counted on both sides."""
+    i, j = block_links(x[2], y[2], cosine)
+    if same:
+        i, j = i[i != j], j[i != j]
+    if len(i):
+        yield _rows(x[0], np.bincount(i, weights=y[1][j], minlength=len(x[0])).astype(np.int64), *forest(x[0][i], y[0][j]))
+        if not same:
+            yield _rows(y[0], np.bincount(j, weights=x[1][i], minlength=len(y[0])).astype(np.int64), i[:0], i[:0])
+
+
+def _join_blocks(tiles: DataFrame, dim: int, dtype: str, cosine: float) -> DataFrame:
+    """``(a, b, n)``: with b null, n links of class a found in a pair of blocks; otherwise a link of the forest.
+
+    Rows ``(tile, block, partners, cid, n, v)`` come by tile. Blocks without
+    ``partners`` are the tile's left side and are held; each of the others
+    that follow meets those it names.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, left = None, {}
         for batch in batches:
-            for row in batch.to_pylist():
-                x_id, y_id, y_n = (np.frombuffer(row[k], np.int64) for k in ("x_id", "y_id", "y_n"))
-                x, y = (units(np.frombuffer(row[k], dtype).reshape(-1, dim)) for k in ("x", "y"))
-                i, j = block_links(x, y, cosine)
-                other = x_id[i] != y_id[j]
-                i, j = i[other], j[other]
-                counts = np.bincount(i, weights=y_n[j], minlength=len(x_id)).astype(np.int64)
-                some = np.flatnonzero(counts)
-                node, root = forest(x_id[i], y_id[j]) if len(i) else (i, j)
-                a = pa.array(np.concatenate([x_id[some], node]), pa.int64())
-                b = pa.array([None] * len(some) + root.tolist(), pa.int64())
-                n = pa.array(counts[some].tolist() + [None] * len(node), pa.int64())
-                yield pa.record_batch([a, b, n], names=["a", "b", "n"])
-
-    return pairs.mapInArrow(run, "a long, b long, n long")
+            for k in range(batch.num_rows):
+                row = {c: batch.column(i)[k].as_py() for i, c in enumerate(batch.schema.names)}
+                if row["tile"] != tile:
+                    tile, left = row["tile"], {}
+                held = (np.frombuffer(row["cid"], np.int64), np.frombuffer(row["n"], np.int64), units(np.frombuffer(row["v"], dtype).reshape(-1, dim)))
+                if row["partners"] is None:
+                    left[row["block"]] = held
+                    continue
+                for other in row["partners"]:
+                    yield from _links_of(left[other], held, other == row["block"], cosine)
+
+    return tiles.mapInArrow(run, "a long, b long, n long")
 
 
 def class_links(classes: DataFrame, dim: int, cosine: float = COSINE, block: int = BLOCK) -> DataFrame:
     """Link counts and a connecting forest of the classes ``(cid, n, v)`` of one vector length."""
     radius = float(np.sqrt(2.0 - 2.0 * cosine))
-    total = classes.count()
-    wanted = int(min(MOST_PIVOTS, max(1, total // block)))
-    rows = classes.orderBy(F.xxhash64(F.lit(3), "cid")).limit(wanted).select("v").collect()
-    pivots = units(np.array([r.v for r in rows], np.float64))
-    dealt = cut(_dealt(classes, pivots, radius), "cells")
-    sizes = {(r.cell, r.own): -(-r.n // block) for r in dealt.groupBy("cell", "own").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows a pivot
-    blocks_of = reduce(lambda c, k: c.when((F.col("cell") == k[0]) & (F.col("own") == k[1]), F.lit(sizes[k])), sizes, F.when(F.lit(False), F.lit(1)))
-    numbered = dealt.withColumn("block", F.pmod(F.xxhash64(F.lit(9), "cid"), blocks_of).cast("int"))
-    kind = "cell int, own boolean, block int, cid binary, n binary, v binary"
-    packed = cut(numbered.groupBy("cell", "own", "block").applyInArrow(_pack, kind), "blocks")
-    own = packed.filter("own").select("cell", F.col("block").alias("at"), F.col("cid").alias("x_id"), F.col("v").alias("x"))
-    own_blocks = reduce(lambda c, k: c.when(F.col("cell") == k[0], F.lit(sizes[k])), [k for k in sizes if k[1]], F.when(F.lit(False), F.lit(1)))
-    other = packed.filter("not own").select("cell", F.explode(F.sequence(F.lit(0), own_blocks - 1)).alias("at"), F.col("cid").alias("y_id"), F.col("n").alias("y_n"), F.col("v").alias("y"))
+    total, cores = classes.count(), classes.sparkSession.sparkContext.defaultParallelism
+    size = max(1, min(block, BLOCK_BYTES // (8 * dim)))
+    rows = classes.orderBy(F.xxhash64(F.lit(3), "cid")).limit(SAMPLE).select("v").collect()
+    pivots = choose_pivots(units(np.array([r.v for r in rows], np.float64)), total, radius, size)
+    measured = _measured(classes, pivots, radius)
+    # Ranges of rather less than a block each leave few blocks half empty; a range may hold several.
+    parts = int(max(1, min(-(-total // max(1, int(0.8 * size))), 64 * cores)))
+    blocks = cut(_blocks(measured, pivots, radius, size, parts), "blocks")
+    pairs = cut(_meeting(blocks, radius), "block-pairs")
+    side = int(max(1, min(TILE, (total / size) // (8 * cores) ** 0.5)))
+    # A tile's side is a run of blocks of one range, or that of several ranges where these hold few blocks.
+    each = max(1, round(total / size / parts))
+    ranges, runs = max(1, side // each), max(side, 1) if each > side else 1 << 31
+    tile = F.struct(*[F.struct(F.floor(F.shiftright(c, 32) / ranges), F.floor(F.pmod(c, F.lit(1 << 32)) / runs)) for c in ("a", "b")])
+    dealt = pairs.select(F.xxhash64(tile).alias("tile"), "a", "b")
+    right = dealt.groupBy("tile", F.col("b").alias("at")).agg(F.collect_list("a").alias("partners"))
+    left = dealt.select("tile", F.col("a").alias("at"), F.lit(None).cast("array<bigint>").alias("partners")).distinct()
+    wanted = int(max(1, min(dealt.select("tile").distinct().count(), 64 * cores)))
+    sent = left.unionByName(right).join(blocks.select("block", "cid", "n", "v"), F.col("at") == F.col("block"))
+    ordered = sent.select("tile", "block", "partners", "cid", "n", "v").repartition(wanted, "tile").sortWithinPartitions("tile", F.col("partners").isNotNull(), "block")
     dtype = "<f8" if "double" in classes.schema["v"].dataType.simpleString() else "<f4"
-    return _join_blocks(own.join(other, ["cell", "at"]).select("x_id", "x", "y_id", "y_n", "y"), dim, dtype, cosine)
+    return _join_blocks(ordered, dim, dtype, cosine)
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE, block: int = BLOCK) -> DataFrame:
