@@ -179,8 +179,12 @@ def crowd_links(members: DataFrame, sets: DataFrame, similarity: float) -> DataF
     row = F.struct("fp", "root", "hashes")
     chunks = dealt.join(sets, "fp").groupBy("crowd", "step", "part").agg(F.collect_list(row).alias("rows"), F.max("apart").alias("apart"))
     chunks = cut(chunks, "chunks")
+    # The wanted pairs of chunks first, as small rows keyed by the chunk they need: no key holds a whole crowd.
+    names = chunks.select("crowd", "step", "part", "apart", F.explode(F.array(F.col("step"), F.col("step") + 1)).alias("step2"))
+    many = shares.select("crowd", F.col("step").alias("step2"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("part2"))
+    wanted = names.join(many, ["crowd", "step2"]).filter("step2 > step or part <= part2")
     other = chunks.select("crowd", F.col("step").alias("step2"), F.col("part").alias("part2"), F.col("rows").alias("rows2"), F.col("apart").alias("apart2"))
-    met = chunks.join(other, "crowd").filter("apart + apart2 > 0 and (step2 = step + 1 or (step2 = step and part <= part2))")
+    met = wanted.join(other, ["crowd", "step2", "part2"]).filter("apart + apart2 > 0").drop("apart", "apart2").join(chunks.drop("apart"), ["crowd", "step", "part"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from rillmark.llm import arrays as A
-from rillmark.llm.tables import balanced_sample
+from rillmark.llm.tables import balanced_sample, fresh
 
 FEATURES = 1 << 14
 #: Documents of each language in the training sample at most.
@@ -216,8 +216,11 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", lang_
 
     A null text, a text without a letter and every text under an empty model
     are ``und`` with score 0. Ties go to the first language by name. Nothing
-    is shuffled; only the text is read for the decision.
+    is shuffled; only the text is read for the decision. An output whose name
+    ``docs`` has gets underscores.
     """
+    lang_pred, score = fresh(docs, lang_pred), fresh(docs, score)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in A.pieces(batches, text_col):
             column = piece.column(piece.schema.get_field_index(text_col))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from rillmark.llm import arrays as A
-from rillmark.llm.tables import balanced_sample
+from rillmark.llm.tables import balanced_sample, fresh
 
 #: Labelled documents of each class in the training sample at most.
 PER_CLASS = 2048
@@ -177,7 +177,13 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
 
 
 def score(docs: DataFrame, model: Trees, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """``docs`` with the probability of label 1, from the text alone. Null and empty texts get the score of zeros. Nothing is shuffled."""
+    """``docs`` with the probability of label 1, from the text alone.
+
+    Null and empty texts get the score of zeros. Nothing is shuffled. A name
+    that ``docs`` has gets underscores.
+    """
+    score_col = fresh(docs, score_col)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in A.pieces(batches, text_col):
             made = pa.array(model.scores(statistics(piece.column(piece.schema.get_field_index(text_col)))))

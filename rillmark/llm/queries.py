@@ -48,7 +48,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language and its probability of every document, learnt from four folds of five."""
     docs, fold = _table(spark, sf_dir, "documents"), crc_fold("doc_id", 5)
     model = language.train(docs, fold != 0)
-    return language.predict(docs.select("doc_id", (fold == 0).alias("held_out"), "text"), model).drop("text")
+    return language.predict(docs.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "text"), model).drop("text")
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +67,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learnt from two folds of three."""
     docs, fold = _table(spark, sf_dir, "documents"), crc_fold("doc_id", 3)
     model = quality.train(docs, _table(spark, sf_dir, "labels"), fold != 1)
-    scored = quality.score(docs.select("doc_id", (fold == 1).alias("held_out"), "text"), model).drop("text")
+    scored = quality.score(docs.select("doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "text"), model).drop("text")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

@@ -31,13 +31,15 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from rillmark.llm import arrays as A
-from rillmark.llm.tables import fresh
+from rillmark.llm.tables import cut, fresh
 
 WINDOW = 13
 CHUNK_BYTES = 4 << 20
 #: Chunks' bytes to a hash range.
 PART_BYTES = 8 << 20
 LEAST_CHUNKS = 64
+#: What a row counts for besides its text.
+ROW_BYTES = 64
 ANCHOR_BITS = 48
 LAST = np.iinfo(np.int64).max
 PROBES = "part long, chunk long, hashes binary, flags binary"
@@ -294,12 +296,21 @@ def drop_repeats(
     the largest. No rows: no rows. A text is held whole, so its length is
     bounded by a task's memory.
     """
-    size = docs.select(F.sum(F.octet_length(text_col)).alias("n")).first().n or 0
+    length = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long")
+    alike = docs.groupBy(F.col(id_col), length.alias("length")).agg(F.count(F.lit(1)).alias("n"))
+    held = F.when(F.col("n") > 1, F.col("n") * (F.col("length") + ROW_BYTES))
+    found = alike.agg(F.sum(F.col("n") * F.col("length")).alias("size"), F.max(held).alias("most")).first()
+    size, tie = found.size or 0, fresh(docs, "_row")
+    docs = docs.withColumn(tie, F.lit(0).cast("long"))
+    if (found.most or 0) > chunk_bytes:
+        # Rows of one id and length that fill a chunk are told apart by their place in a written copy.
+        docs = cut(docs.withColumn(tie, F.monotonically_increasing_id()), "rows")
     chunks = max(LEAST_CHUNKS, -(-size // chunk_bytes))
     layout = Layout(window, max(LEAST_CHUNKS, -(-size // PART_BYTES)))
-    others = [c for c in docs.columns if c not in (id_col, text_col)]
-    row = F.xxhash64(F.col(id_col), F.octet_length(text_col))
+    others = [c for c in docs.columns if c not in (id_col, text_col, tie)]
+    row = F.xxhash64(F.col(id_col), F.octet_length(text_col), F.col(tie))
     named = docs.select(F.pmod(row, F.lit(chunks)).alias("_chunk"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(others)])
+    docs = docs.drop(tie)
     kept = docs.select(id_col, *others).schema
     result = T.StructType([T.StructField(f.name, f.dataType) for f in kept])
     for name, kind in (("kept_text", T.StringType()), ("n_words", T.LongType()), ("n_removed", T.LongType())):
