@@ -126,7 +126,17 @@ def route(changes: DataFrame, config: DataFrame) -> DataFrame:
         F.when(~is_blank(F.col("sinkPk")), listed_names(F.col("sinkPk"))).alias("_pk"),
     )
     keyed = changes.withColumn("_key", F.concat_ws("\u0001", "table", "type"))
-    matched = lookup(keyed, live, "_key", "_route")
+    return _tagged(lookup(keyed, live, "_key", "_route")).drop("_key")
+
+
+def route_matched(changes: DataFrame) -> DataFrame:
+    """As :func:`route`, for changes that carry their own configuration row (NULLs where there is none)."""
+    listed = F.when(~is_blank(F.col("sinkPk")), listed_names(F.col("sinkPk")))
+    known = {"_sink": F.lower("sinkType"), "_columns": listed_names(F.col("sinkColumns")), "_pk": listed}
+    return _tagged(changes.withColumns(known).drop("sinkType", "sinkColumns", "sinkPk"))
+
+
+def _tagged(matched: DataFrame) -> DataFrame:
     joined = json.evaluate_once(matched, _values=key_values(F.col("data"), F.col("_pk")))
     known = F.coalesce(F.col("_sink").isin(DIMENSION_SINK, FACT_SINK), F.lit(False))
     no_key = F.col("_values").isNull() | F.exists("_values", lambda v: v.isNull())
@@ -140,7 +150,7 @@ def route(changes: DataFrame, config: DataFrame) -> DataFrame:
     return (
         joined.withColumns({"tag": tag, "pk": join_key(F.col("_values"))})
         .withColumn("data", F.when(F.col("tag").isin("dim", "fact"), filtered).otherwise(F.col("data")))
-        .drop("_key", "_sink", "_columns", "_pk", "_values")
+        .drop("_sink", "_columns", "_pk", "_values")
     )
 
 

@@ -223,6 +223,27 @@ def routes(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(ROUTES, ", ".join(f"{c} string" for c in CONFIG_FIELDS))
 
 
+def yearly_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Configuration that changes while orders arrive: one record per table, operation and year of its orders.
+
+    It is created in the first year, updated in most others and deleted in
+    every fourth, in the middle of a month that depends on the year.
+    """
+    years = table(spark, sf_dir, "orders").select(F.lower("o_orderstatus").alias("s"), F.year("o_orderdate").alias("y")).distinct()
+    rows = years.select("*", F.explode(F.array(*[F.lit(o) for o in ("insert", "update", "delete")])).alias("operateType"))
+    target = F.concat_ws("_", F.lit("t"), "s", "operateType", "y")
+    return rows.select(
+        F.concat(F.lit("orders_"), "s").alias("sourceTable"),
+        "operateType",
+        F.when(F.col("y") % 2 == 0, "HBASE").otherwise("kafka").alias("sinkType"),
+        target.alias("sinkTable"),
+        F.lit("o_orderkey,O_CUSTKEY").alias("sinkColumns"),
+        F.when(F.col("y") % 5 == 0, "o_custkey,o_orderkey").otherwise("o_orderkey").alias("sinkPk"),
+        F.when(F.col("y") % 4 == 3, "delete").otherwise("update").alias("type"),
+        F.make_date("y", F.col("y") % 12 + 1, F.lit(15)).cast("timestamp").alias("ts"),
+    )
+
+
 def config_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Configuration change feed: one record per part, keyed by brand and type."""
     n = F.col("p_partkey")

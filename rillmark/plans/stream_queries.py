@@ -58,7 +58,11 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, order: str | None
     The table is written once, slice after slice, to a scratch folder; the
     source then takes a slice's number of files with each trigger.
     """
-    rows, column = sample.table(spark, sf_dir, name), order or ORDERED_BY[name]
+    return replay(spark, sample.table(spark, sf_dir, name), order or ORDERED_BY[name], name)
+
+
+def replay(spark: SparkSession, rows: DataFrame, column: str, name: str) -> DataFrame:
+    """Any table as a stream, as :func:`table_stream`."""
     folder = scratch_dir(spark, f"replay-{name}")
     is_time = isinstance(rows.schema[column].dataType, (TimestampType, TimestampNTZType, DateType))
     number = (F.col(column).cast("timestamp") if is_time else F.col(column)).cast("double")
@@ -86,12 +90,22 @@ def _run(spark: SparkSession, df: DataFrame, job: str, write) -> DataFrame:
     return spark.read.parquet(f"{job}/out").drop("batch_id")
 
 
-def _append_to_end(spark: SparkSession, df: DataFrame, job: str, ts: str, build) -> DataFrame:
-    """Run ``build(stream)`` in append mode, then let an end marker close what is open."""
-    marked = jobs.with_end_marker(df, f"{job}/marker")
-    jobs.drain(jobs.start(build(marked), job, **NOW))
-    jobs.write_end_marker(spark, f"{job}/marker", df.schema, ts)
-    jobs.drain(jobs.start(build(marked), job, **NOW))
+def run_to_end(spark: SparkSession, df: DataFrame | list[DataFrame], job: str, ts: str | list[str], build, progress: list | None = None) -> DataFrame:
+    """Run ``build(*streams)`` in append mode, then let end markers in all of them close what is open.
+
+    ``progress`` collects what the query reports of its micro-batches.
+    """
+    streams = df if isinstance(df, list) else [df]
+    times = ts if isinstance(ts, list) else [ts] * len(streams)
+    marked = [jobs.with_end_marker(s, f"{job}/marker{i}") for i, s in enumerate(streams)]
+    first = jobs.start(build(*marked), job, **NOW)
+    jobs.drain(first)
+    for i, (stream, column) in enumerate(zip(streams, times, strict=True)):
+        jobs.write_end_marker(spark, f"{job}/marker{i}", stream.schema, column)
+    query = jobs.start(build(*marked), job, **NOW)
+    jobs.drain(query)
+    if progress is not None:
+        progress += [*first.recentProgress, *query.recentProgress]
     return spark.read.parquet(f"{job}/out")
 
 
@@ -158,7 +172,7 @@ def visitor_stats_stream(spark: SparkSession, d: str) -> DataFrame:
         timed = windows.with_event_time(stream, "ts", delay + BOUNCE)
         return aggregates.visitor_statistics(timed, STAT_DIMS, windows.tumbling("ts", DAY))
 
-    return _append_to_end(spark, feed, f"{job}/stats", "ts", build)
+    return run_to_end(spark, feed, f"{job}/stats", "ts", build)
 
 
 def window_count_stream(spark: SparkSession, d: str) -> DataFrame:
@@ -181,7 +195,7 @@ def session_window_stream(spark: SparkSession, d: str) -> DataFrame:
         grouped = timed.groupBy("user_id", F.session_window("ts", as_interval(HOUR)).alias("w"))
         return grouped.agg(F.count(F.lit(1)).alias("n"), F.sum("cents").alias("total"))
 
-    out = _append_to_end(spark, rows, scratch_dir(spark, "session"), "ts", build)
+    out = run_to_end(spark, rows, scratch_dir(spark, "session"), "ts", build)
     return out.select(
         "user_id", F.unix_micros("w.start").alias("session_start"), F.unix_micros("w.end").alias("session_end"), "n", "total")
 
@@ -308,7 +322,7 @@ def bounce_processor(spark: SparkSession, d: str) -> DataFrame:
         marked = stream.withColumn("entry", entry_event())
         return processors.bounce_stream(marked, "user_id", "ts", "event_id", "entry", "event_type", BOUNCE, delay)
 
-    out = _append_to_end(spark, rows, scratch_dir(spark, "bounce-processor"), "ts", build)
+    out = run_to_end(spark, rows, scratch_dir(spark, "bounce-processor"), "ts", build)
     return out.select(F.col("tie").alias("event_id"), F.col("key").alias("user_id"))
 
 

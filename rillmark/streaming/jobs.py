@@ -7,6 +7,7 @@ own, so a batch that is run again after a failure gives the same result.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from datetime import timedelta
 
@@ -45,6 +46,58 @@ def drain(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
+def replay_batches(rows: DataFrame, batch: str, folder: str, rows_per_file: int = 1_000_000) -> DataFrame:
+    """A table as a file stream with one micro-batch for each number in the column ``batch``, which is dropped."""
+    spark, slim = rows.sparkSession, rows.drop(batch)
+    sizes = {r[0]: r[1] for r in rows.groupBy(batch).agg(F.count(F.lit(1))).collect()}  # one row a micro-batch
+    files = max([1, *[-(-n // rows_per_file) for n in sizes.values()]])
+    if not sizes:
+        slim.write.parquet(folder)
+    for number in sorted(sizes):
+        rows.filter(F.col(batch) == number).drop(batch).repartition(files).write.mode("append").parquet(folder)
+    return spark.readStream.schema(slim.schema).option("maxFilesPerTrigger", files).parquet(folder)
+
+
+def run_until(spark: SparkSession, df: DataFrame, job: str, done: Callable[[DataFrame], bool], seconds: float = 600) -> DataFrame:
+    """Run a stream with processing-time timers until ``done`` holds for its output, then stop it.
+
+    Such a stream never runs out of work, so ``availableNow`` would not fire its timers.
+    """
+    query = start(df, job, processingTime="1 second")
+    end = time.monotonic() + seconds
+    try:
+        while True:
+            if query.exception():
+                raise query.exception()
+            found = spark.read.schema(df.schema).parquet(f"{job}/out") if exists(spark, f"{job}/out/_spark_metadata") else None
+            if found is not None and done(found):
+                return found
+            if time.monotonic() > end:
+                raise TimeoutError(f"the stream of {job} did not finish")
+            time.sleep(0.5)
+    finally:
+        query.stop()
+
+
+def run_batches(df: DataFrame, job: str, batches: int, seconds: float = 600) -> None:
+    """Run a stream until it has committed so many micro-batches, then stop it; a later start goes on from there."""
+    query = start(df, job, processingTime="0 seconds")
+    end = time.monotonic() + seconds
+    try:
+        while len(committed_batches(df.sparkSession, job)) < batches:
+            if query.exception():
+                raise query.exception()
+            if time.monotonic() > end:
+                raise TimeoutError(f"the stream of {job} did not commit {batches} batches")
+            time.sleep(0.2)
+    finally:
+        query.stop()
+
+
+def committed_batches(spark: SparkSession, job: str) -> list[str]:
+    return [name for name in children(spark, f"{job}/checkpoint/commits") if name.isdigit()]
+
+
 def with_end_marker(df: DataFrame, folder: str) -> DataFrame:
     """Unite a stream with a marker folder, empty until ``write_end_marker``."""
     spark = df.sparkSession

@@ -156,13 +156,18 @@ class BounceDetector(StatefulProcessor):
 
 
 def run_processor(
-    df: DataFrame, key: str, processor: StatefulProcessor, schema: StructType | str, time_mode: str = "none"
+    df: DataFrame, key: str | list[str], processor: StatefulProcessor, schema: StructType | str, time_mode: str = "none", initial: DataFrame | None = None
 ) -> DataFrame:
-    """Attach a processor to a stream, keyed by one column, in append mode."""
+    """Attach a processor to a stream, keyed by one column or several, in append mode.
+
+    ``initial`` is a table whose rows the processor gets as each key's state
+    before the first batch.
+    """
     if df.sparkSession.conf.get(PROVIDER_CONF) != ROCKSDB_PROVIDER:
         raise ValueError(f"set {PROVIDER_CONF} to {ROCKSDB_PROVIDER}, as build_session does")
-    grouped = df.groupBy(key)
-    return grouped.transformWithStateInPandas(processor, schema, outputMode="append", timeMode=time_mode)
+    keys = [key] if isinstance(key, str) else key
+    start = None if initial is None else initial.groupBy(*keys)
+    return df.groupBy(*keys).transformWithStateInPandas(processor, schema, outputMode="append", timeMode=time_mode, initialState=start)
 
 
 def repair_stream(df: DataFrame, key: str, flag: str) -> DataFrame:
