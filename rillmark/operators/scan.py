@@ -72,6 +72,16 @@ def running_max(value: Column) -> Scan:
     )
 
 
+def max_before(value: Column) -> Scan:
+    """Largest value of the rows before, NULL on a key's first row."""
+    return Scan(
+        local=lambda w: F.max(value).over(_before(w)),
+        total=lambda order: F.max(value),
+        carry=lambda total, w: F.max(total).over(_before(w)),
+        merge=lambda carry, local, first, last: F.greatest(carry, local),
+    )
+
+
 def running_max_row(row: Column, by: Column, order: list[str]) -> Scan:
     """The row holding the largest numeric ``by`` so far; the earliest of equals stays."""
     ranked = F.struct((-by).alias("rank"), *[F.col(c) for c in order], row.alias("row"))
@@ -115,11 +125,22 @@ def first_of_key(value: Column) -> Scan:
     )
 
 
+@dataclass(frozen=True)
+class Layout:
+    """Where the histories of hot keys are cut, for several scans of rows with the same keys and order."""
+
+    cuts: DataFrame | None
+
+
+def layout_of(df: DataFrame, keys: list[str], order: list[str], max_rows: int | None = None) -> Layout:
+    return Layout(_cut_points(df, keys, order, max_rows))
+
+
 def scan(
-    df: DataFrame, keys: list[str], order: list[str], max_rows: int | None = None, **outputs: Scan
+    df: DataFrame, keys: list[str], order: list[str], max_rows: int | None = None, layout: Layout | None = None, **outputs: Scan
 ) -> DataFrame:
     """Add one column per output, scanning each key in ``order`` (unique within a key)."""
-    cuts = _cut_points(df, keys, order, max_rows)
+    cuts = (layout or layout_of(df, keys, order, max_rows)).cuts
     if cuts is None:
         window = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({name: s.done(s.local(window)) for name, s in outputs.items()})

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rillmark.functions.times import as_interval, epoch_micros, micros
 from rillmark.operators.joins import lookup
-from rillmark.operators.scan import previous, running_max, running_sum, scan
+from rillmark.operators.scan import layout_of, max_before, previous, running_sum, scan
 
 
 def with_event_time(df: DataFrame, ts: str, bound: timedelta) -> DataFrame:
@@ -59,9 +59,10 @@ def sessions(df: DataFrame, keys: list[str], ts: str, gap: timedelta, value: str
             F.sum(value).alias("_total"),
         )
     )
-    linked = scan(cells, keys, ["_cell"], _prev=previous(F.col("_hi")))
+    layout = layout_of(cells, keys, ["_cell"])
+    linked = scan(cells, keys, ["_cell"], layout=layout, _prev=previous(F.col("_hi")))
     opens = F.col("_prev").isNull() | (F.col("_lo") - F.col("_prev") > width)
-    numbered = scan(linked.withColumn("_opens", opens.cast("bigint")), keys, ["_cell"], _session=running_sum(F.col("_opens")))
+    numbered = scan(linked.withColumn("_opens", opens.cast("bigint")), keys, ["_cell"], layout=layout, _session=running_sum(F.col("_opens")))
     return (
         numbered.groupBy(*keys, "_session")
         .agg(
@@ -104,8 +105,7 @@ def classify_replay(
     Only one row per batch takes part in the ordered scan.
     """
     tops = df.groupBy(F.col(batch).alias("_b")).agg(F.max(epoch_micros(F.col(ts))).alias("_top"))
-    running = scan(tops.withColumn("_all", F.lit(0)), ["_all"], ["_b"], _so_far=running_max(F.col("_top")))
-    marks = scan(running, ["_all"], ["_b"], _seen=previous(F.col("_so_far")))
+    marks = scan(tops.withColumn("_all", F.lit(0)), ["_all"], ["_b"], _seen=max_before(F.col("_top")))
     marks = marks.select("_b", (F.col("_seen") - micros(bound)).alias("_mark"))
     joined = lookup(df, marks, batch, "_b")
     tag = lateness_tag(window_end_micros(ts, size), F.col("_mark"), lateness)

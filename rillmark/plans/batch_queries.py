@@ -17,6 +17,7 @@ from rillmark.functions.times import (
     millis_to_date,
     millis_to_datetime,
     parse_date_prefix,
+    parse_datetime,
 )
 from rillmark.functions.udfs import average, map_with_resource, register_splitter, register_string_hash, register_string_hash_arrow
 from rillmark.operators import aggregates, cdc, distribution, joins, keyed, records, windows
@@ -175,6 +176,27 @@ def order_wide_dims(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _as_double(df: DataFrame) -> DataFrame:
+    """Amounts as doubles, all other columns as they are."""
+    return df.select(*[F.col(n).cast("double").alias(n) if kind.startswith("decimal") else F.col(n) for n, kind in df.dtypes])
+
+
+def order_wide_full(spark: SparkSession, d: str) -> DataFrame:
+    """All 35 columns of the wide order row."""
+    wide = joins.enrich_order_wide(_order_wide(spark, d), asof=ASOF, **sample.dimensions(spark, d))
+    return _as_double(wide)
+
+
+def payment_wide_full(spark: SparkSession, d: str) -> DataFrame:
+    """All 36 columns of the wide payment row, and the amount of its order; the orders are enriched wide rows, one for each detail."""
+    wide = joins.enrich_order_wide(_order_wide(spark, d), asof=ASOF, **sample.dimensions(spark, d))
+    timed = wide.withColumn("ts", parse_datetime(F.col("create_time")))
+    joined = joins.interval_join(
+        records.prefixed(sample.payment_info(spark, d), "p_"), records.prefixed(timed, "w_"), [("p_order_id", "w_order_id")],
+        "p_ts", "w_ts", -timedelta(minutes=15), timedelta(0))
+    return _as_double(records.payment_wide_columns(joined.drop("w_ts")))
+
+
 def _rich_customers(spark: SparkSession, d: str, how: str) -> DataFrame:
     dim = table(spark, d, "customer").filter("c_acctbal > 0").select("c_custkey", "c_name")
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey")
@@ -571,5 +593,6 @@ BATCH = {
         udf_hash_sql, udaf_avg, rich_map, key_list_lookup, filter_prefix, map_length, string_functions, time_functions,
         snake_to_camel, sql_view_select, redistribute, partition_counts,
         udf_hash_arrow, keyed_upsert_nulls, keyed_upsert_same_ts, log_topics_full,
+        order_wide_full, payment_wide_full,
     )
 }

@@ -66,6 +66,23 @@ w as (
    and l_shipdate between o_orderdate - interval 90 days and o_orderdate + interval 90 days)
 """
 
+#: All columns of the wide order row.
+_SPLIT = "cast(l_extendedprice as double) as split_total_amount,"
+_FULL = f"""
+{_WIDE.replace(_SPLIT, _SPLIT + " cast(l_discount as double) as split_activity_amount, cast(l_tax as double) as split_coupon_amount,")},
+u as (select c_custkey, c_custkey % 2 = 0 as f, date '1960-01-01' + cast(c_custkey % 15000 as integer) as b from customer),
+x as (
+  select w.*, p_name as sku_name, total_amount as original_total_amount, 0.0::double as activity_reduce_amount, 0.0::double as coupon_reduce_amount,
+    0.0::double as feight_fee, cast(null as double) as split_feight_fee, cast(null as varchar) as expire_time, create_time as operate_time,
+    cast(2021 - year(b) - case when dayofyear(date '2021-11-02') < dayofyear(b) then 1 else 0 end as integer) as user_age,
+    case when f then 'F' else 'M' end as user_gender, n_name as province_name, cast(n_regionkey as varchar) as province_area_code,
+    'N' || n_nationkey as province_iso_code, r_name as province_3166_2_code, p_partkey % 100 as spu_id, s_name as spu_name,
+    cast(split_part(p_brand, '#', 2) as bigint) as tm_id, p_brand as tm_name, cast(p_size as bigint) as category3_id, 'Size ' || p_size as category3_name
+  from w
+  left join u on user_id = c_custkey left join nation on province_id = n_nationkey left join region on n_regionkey = r_regionkey
+  left join part on sku_id = p_partkey left join supplier on s_suppkey = p_partkey % 100)
+"""
+
 ORDER_WIDE = f"with {_WIDE} select * from w"
 
 _PAYMENT = """
@@ -203,6 +220,15 @@ from events""",
     "typed_json": """
 select o_orderkey as id, cast(o_totalprice as double) as total_amount, cast(null as varchar) as absent from orders""",
     "order_wide_interval": ORDER_WIDE,
+    "order_wide_full": f"with {_FULL} select * from x",
+    "payment_wide_full": f"""
+with {_FULL}
+select o_orderkey as payment_id, order_id, user_id, cast(o_totalprice as double) as total_amount, o_orderpriority as subject, 'card' as payment_type,
+  strftime(o_orderdate + to_minutes(o_orderkey % 30), '%Y-%m-%d %H:%M:%S') as callback_time,
+  strftime(o_orderdate + to_minutes(o_orderkey % 30), '%Y-%m-%d %H:%M:%S') as payment_create_time,
+  create_time as order_create_time, total_amount as order_total_amount,
+  x.* exclude (order_id, user_id, total_amount, expire_time, create_time, operate_time, create_date, create_hour)
+from x join orders on o_orderkey = order_id where o_orderstatus = 'F' and o_orderkey % 30 <= 15""",
     "order_wide_dims": f"""
 with {_WIDE},
 u as (select c_custkey, c_custkey % 2 = 0 as f, date '1960-01-01' + cast(c_custkey % 15000 as integer) as b from customer)
@@ -378,8 +404,15 @@ from r where tag = 'fact'""",
     "repair_processor": """
 select user_id, count(*) as n, cast(max(case when event_type = 'signup' then 1 else 0 end) as bigint) as claims from events group by user_id""",
     "daily_processor": "select distinct user_id, strftime(ts, '%Y-%m-%d') as day from events",
+    "delta_processor": f"select user_id, last_value as last, value as current from ({DELTA_PREVIOUS})",
     "bounce_processor": BOUNCE,
-    "log_topics_stream": """
-select event_id, case when event_id % 101 in (3, 4, 5, 7) then 'dirty_log' when event_type = 'error' then 'start_log'
-  else 'page_log' end as topic from events""",
+    "log_topics_stream": f"""
+with {_LOGS}, r as (
+  select event_id, event_type, mid, ts_ms, case when event_id % 101 > 7 then event_id end as action,
+    case when is_new = '1' and row_number() over (partition by mid, is_new order by ts_ms, event_id) > 1 then '0' else is_new end as is_new
+  from g)
+select case when event_type = 'error' then 'dwd_start_log' else 'dwd_page_log' end as topic, mid, is_new, ts_ms, action, cast(null as bigint) as item from r
+union all select 'dwd_display_log', mid, is_new, ts_ms, null, event_id * 10 + i
+from r join (select unnest([1, 2, 3]) as i) on i <= event_id % 4 where event_type <> 'error'
+union all select 'dirty_log', null, null, null, null, null from events where event_id % 101 in (3, 4, 5, 7)""",
 }

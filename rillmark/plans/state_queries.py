@@ -155,15 +155,8 @@ def chained_payment_stream(spark: SparkSession, d: str) -> DataFrame:
                       F.col("p_create_time").alias("payment_create_time"), F.col("d_split_total_amount").cast("double").alias("split_total_amount"))
 
 
-def daily_first_stream(spark: SparkSession, d: str) -> DataFrame:
-    """Whole first row of each user and day, in time order, with marks that expire by event time."""
-    rows = event_stream(spark, d).select("event_id", "user_id", "ts")
-    out = _drained(spark, stateful.daily_first_rows(rows, ["user_id"], "ts", ["event_id"], timedelta(seconds=1)), "daily-first")
-    return out.select("event_id", "user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"))
-
-
 def expired_state_stream(spark: SparkSession, d: str) -> DataFrame:
-    """The marks that :func:`daily_first_stream` still holds, read from its state store after a stop and a restart.
+    """The marks that :func:`stateful.daily_first_rows` still holds, read from its state store after a stop and a restart.
 
     The stream is stopped between its second and third batch. Only days the
     watermark has not passed are left.
@@ -234,7 +227,7 @@ STATE = {
     for f in (
         late_refire_stream, running_reduce_stream, running_best_stream, count_window_stream, count_trigger_stream, session_average_stream,
         retract_counts_stream, arrival_window_stream, config_as_of_routing, snapshot_handover_stream, payment_match_processor,
-        chained_payment_stream, daily_first_stream, expired_state_stream,
+        chained_payment_stream, expired_state_stream,
     )
 }
 
@@ -245,8 +238,6 @@ select o_orderkey as payment_id, l_orderkey * 10 + l_linenumber as detail_id, l_
   strftime(o_orderdate + to_minutes(cast(o_orderkey % 30 as integer)), '%Y-%m-%d %H:%M:%S') as payment_create_time, cast(l_extendedprice as double) as split_total_amount
 from orders join lineitem on o_orderkey = l_orderkey
 where o_orderstatus = 'F' and o_orderkey % 30 <= 15 and l_shipdate between o_orderdate and o_orderdate + interval 90 day""",
-    "daily_first_stream": """
-select arg_min(event_id, (ts, event_id)) as event_id, user_id, strftime(ts, '%Y-%m-%d') as day from events group by user_id, strftime(ts, '%Y-%m-%d')""",
     "expired_state_stream": """
 with d as (select user_id, cast(ts as date) + interval 1 day as day_end from events group by all),
 n as (select user_id, count(*) as days_seen from d group by user_id)

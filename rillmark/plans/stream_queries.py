@@ -15,8 +15,9 @@ from rillmark.plans import stand_ins as sample
 from rillmark.plans.batch_queries import DAY, EVENT_ORDER, HOUR, STAT_DIMS
 from rillmark.plans.stand_ins import BOUNCE, entry_event
 from rillmark.session import PROVIDER_CONF, ROCKSDB_PROVIDER, scratch_dir
-from rillmark.sources.topics import routed_topic_sink
-from rillmark.streaming import jobs, processors
+from rillmark.plans.visitor_layer import split_log_stream
+from rillmark.sources.topics import DIRTY_LOG, routed_topic_sink
+from rillmark.streaming import jobs, processors, stateful
 from rillmark.streaming.snapshot import KeyedSnapshot
 
 NOW = {"availableNow": True}
@@ -85,11 +86,6 @@ def replay_delay(spark: SparkSession, sf_dir: str) -> timedelta:
     return (last - first) + SECOND if first else SECOND
 
 
-def _run(spark: SparkSession, df: DataFrame, job: str, write) -> DataFrame:
-    jobs.drain(jobs.start_batches(df, job, write, **NOW))
-    return spark.read.parquet(f"{job}/out").drop("batch_id")
-
-
 def run_to_end(spark: SparkSession, df: DataFrame | list[DataFrame], job: str, ts: str | list[str], build, progress: list | None = None) -> DataFrame:
     """Run ``build(*streams)`` in append mode, then let end markers in all of them close what is open.
 
@@ -109,16 +105,27 @@ def run_to_end(spark: SparkSession, df: DataFrame | list[DataFrame], job: str, t
     return spark.read.parquet(f"{job}/out")
 
 
+def _appended(spark: SparkSession, df: DataFrame, job: str) -> DataFrame:
+    jobs.drain(jobs.start(df, job, **NOW))
+    return spark.read.schema(df.schema).parquet(f"{job}/out")
+
+
 def new_visitor_repair_stream(spark: SparkSession, d: str) -> DataFrame:
+    """A claim after an earlier one of the same user, in this batch or any before, turns to '0'."""
     rows = sample.as_visits(event_stream(spark, d)).select("event_id", "user_id", "ts", "is_new")
-    job = scratch_dir(spark, "repair")
-    return _run(spark, rows, job, jobs.repair_batches(job, "user_id", "is_new", EVENT_ORDER)).drop("ts")
+    marked = stateful.running_reduce(rows, ["user_id"], EVENT_ORDER, ["event_id", "is_new"], stateful.SeenBefore("is_new", "1"))
+    out = _appended(spark, marked, scratch_dir(spark, "repair"))
+    repaired = F.when((F.col("is_new") == "1") & F.col("seen_before"), "0").otherwise(F.col("is_new"))
+    return out.select("event_id", "user_id", repaired.alias("is_new"))
+
+
+def _first_visits(spark: SparkSession, rows: DataFrame, job: str) -> DataFrame:
+    return _appended(spark, stateful.daily_first_rows(rows, ["user_id"], "ts", ["event_id"], SECOND), job)
 
 
 def daily_unique_visitor_stream(spark: SparkSession, d: str) -> DataFrame:
-    rows = event_stream(spark, d).select("event_id", "user_id", "ts")
-    job = scratch_dir(spark, "daily")
-    out = _run(spark, rows, job, jobs.first_visit_batches(job, "user_id", "ts", EVENT_ORDER))
+    """Whole first row of each user and day, in time order, with marks that expire by event time."""
+    out = _first_visits(spark, event_stream(spark, d).select("event_id", "user_id", "ts"), scratch_dir(spark, "daily"))
     return out.select("event_id", "user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"))
 
 
@@ -132,44 +139,55 @@ def daily_unique_pairs_stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 def delta_alert_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Readings that differ from the user's one before by the threshold or more."""
     rows = event_stream(spark, d).select("event_id", "user_id", "ts", "value")
-    job = scratch_dir(spark, "delta")
-    out = _run(spark, rows, job, jobs.delta_batches(job, "user_id", "value", 100.0, EVENT_ORDER))
-    return out.select("event_id", "user_id", "last_value", "value")
+    compared = stateful.running_reduce(rows, ["user_id"], EVENT_ORDER, ["event_id", "value"], stateful.Previous("value"))
+    out = _appended(spark, compared, scratch_dir(spark, "delta"))
+    return out.filter(F.abs(F.col("value") - F.col("last_value")) >= 100.0).select("event_id", "user_id", "last_value", "value")
 
 
-def _bounce_job(spark: SparkSession, rows: DataFrame, job: str, delay: timedelta) -> DataFrame:
-    write = jobs.bounce_batches(job, "user_id", "ts", ["event_id"], entry_event(), BOUNCE, delay)
-    settled = _run(spark, rows, job, write)
-    return settled.unionByName(jobs.flush_bounces(spark, job, "user_id", "ts", ["event_id"], BOUNCE))
+def _bounces(spark: SparkSession, rows: DataFrame, job: str) -> DataFrame:
+    """Bounces by event-time timers; an end marker lets the last entries run out of time. ``value`` is the whole row."""
+    whole = F.to_json(F.struct(*[c for c in rows.columns if c not in ("user_id", "ts")])).alias("value")
+
+    def build(stream: DataFrame) -> DataFrame:
+        marked = stream.select("user_id", "ts", "event_id", entry_event().alias("entry"), whole)
+        return processors.bounce_stream(marked, "user_id", "ts", "event_id", "entry", "value", BOUNCE, SECOND)
+
+    out = run_to_end(spark, rows, job, "ts", build)
+    return out.select(F.col("tie").alias("event_id"), F.col("key").alias("user_id"), "value")
 
 
 def bounce_detection_stream(spark: SparkSession, d: str) -> DataFrame:
     rows = event_stream(spark, d).select("event_id", "user_id", "ts", "event_type")
-    found = _bounce_job(spark, rows, scratch_dir(spark, "bounce"), replay_delay(spark, d))
-    return found.select("event_id", "user_id")
+    return _bounces(spark, rows, scratch_dir(spark, "bounce")).select("event_id", "user_id")
 
 
 def visitor_stats_stream(spark: SparkSession, d: str) -> DataFrame:
     """The whole visitor layer: two keyed jobs write their feeds, a third unites and sums them."""
-    job, delay = scratch_dir(spark, "visitors"), replay_delay(spark, d)
+    job = scratch_dir(spark, "visitors")
     kind = F.col("event_type")
     pages = sample.as_visits(event_stream(spark, d)).withColumns(
         {"vc": kind, "ch": kind, "ar": kind, "last_page_id": F.when(~entry_event(), F.lit("home"))}
     )
-    _run(spark, pages, f"{job}/uv", jobs.first_visit_batches(f"{job}/uv", "user_id", "ts", EVENT_ORDER))
-    _bounce_job(spark, pages, f"{job}/uj", delay).write.parquet(f"{job}/bounces")
-    schema = spark.read.parquet(f"{job}/uv/out").drop("batch_id").schema
-    uv = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{job}/uv/out")
-    uj = spark.readStream.schema(spark.read.parquet(f"{job}/bounces").schema).parquet(f"{job}/bounces")
+    slim = pages.select("event_id", "user_id", "ts", "event_type", *STAT_DIMS, "last_page_id", "during_time")
+    uv = _first_visits(spark, slim.select("event_id", "user_id", "ts", *STAT_DIMS), f"{job}/uv")
+    shape = "struct<" + ", ".join(f"{c}: {slim.schema[c].dataType.simpleString()}" for c in STAT_DIMS) + ">"
+    dims = F.to_json(F.struct(F.unix_micros("ts").alias("at"), *STAT_DIMS)).alias("dims")
+    found = _bounces(spark, slim.select("event_id", "user_id", "ts", "event_type", dims), f"{job}/uj")
+    bounced = F.from_json(F.get_json_object("value", "$.dims"), shape.replace("struct<", "struct<at: bigint, ", 1)).alias("b")
+    found.select(bounced).select(F.timestamp_micros("b.at").alias("ts"), *[f"b.{c}" for c in STAT_DIMS]).write.parquet(f"{job}/bounces")
+    uv_stream = spark.readStream.schema(uv.schema).parquet(f"{job}/uv/out")
+    uj_stream = spark.readStream.schema(spark.read.parquet(f"{job}/bounces").schema).parquet(f"{job}/bounces")
     feed = records.union_feeds(
-        records.visitor_feed(pages, "page", STAT_DIMS, "ts", "last_page_id", "during_time"),
-        records.visitor_feed(uv, "uv", STAT_DIMS, "ts"),
-        records.visitor_feed(uj, "bounce", STAT_DIMS, "ts"),
+        records.visitor_feed(slim, "page", STAT_DIMS, "ts", "last_page_id", "during_time"),
+        records.visitor_feed(uv_stream, "uv", STAT_DIMS, "ts"),
+        records.visitor_feed(uj_stream, "bounce", STAT_DIMS, "ts"),
     )
 
     def build(stream: DataFrame) -> DataFrame:
-        timed = windows.with_event_time(stream, "ts", delay + BOUNCE)
+        # The feeds are read whole here while the pages come batch by batch, so the disorder is that of the table.
+        timed = windows.with_event_time(stream, "ts", replay_delay(spark, d) + BOUNCE)
         return aggregates.visitor_statistics(timed, STAT_DIMS, windows.tumbling("ts", DAY))
 
     return run_to_end(spark, feed, f"{job}/stats", "ts", build)
@@ -207,7 +225,8 @@ def _prefixed_stream(df: DataFrame, prefix: str, ts: str, bound: timedelta) -> D
 def order_wide_interval_stream(spark: SparkSession, d: str) -> DataFrame:
     orders = records.derive_create_times(sample.order_info_of(table_stream(spark, d, "orders")))
     details = sample.order_detail_of(table_stream(spark, d, "lineitem"))
-    bound, delay = timedelta(days=90), timedelta(days=3650)
+    # Slices come in the order of each side's own time, so a second of disorder is the feeds' true delay.
+    bound, delay = timedelta(days=90), SECOND
     joined = joins.interval_join(
         _prefixed_stream(orders, "o_", "ts", delay), _prefixed_stream(details, "d_", "ts", delay),
         [("o_id", "d_order_id")], "o_ts", "d_ts", -bound, bound)
@@ -222,7 +241,7 @@ def order_wide_interval_stream(spark: SparkSession, d: str) -> DataFrame:
 def payment_wide_stream(spark: SparkSession, d: str) -> DataFrame:
     orders = table_stream(spark, d, "orders")
     wide = sample.order_info_of(orders).withColumnRenamed("id", "order_id")
-    delay = timedelta(days=3650)
+    delay = SECOND
     joined = joins.interval_join(
         _prefixed_stream(sample.payment_info_of(orders), "p_", "ts", delay), _prefixed_stream(wide, "w_", "ts", delay),
         [("p_order_id", "w_order_id")], "p_ts", "w_ts", -timedelta(minutes=15), timedelta(0))
@@ -235,9 +254,9 @@ def payment_wide_stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 def keyed_upsert_stream(spark: SparkSession, d: str) -> DataFrame:
-    """Changes arrive in several batches by version; the snapshot rewrites touched buckets."""
+    """Changes arrive in several batches by version; each writes the next version of the snapshot."""
     root = scratch_dir(spark, "upsert")
-    held = KeyedSnapshot(spark, root, ["o_custkey"], "o_custkey bigint, status string, price double", buckets=16)
+    held = KeyedSnapshot(spark, root, ["o_custkey"], "o_custkey bigint, status string, price double")
     changes = sample.customer_changes_of(table_stream(spark, d, "orders", "o_orderkey"))
     jobs.drain(jobs.start_batches(changes, f"{root}/job", jobs.upsert_batches(held, ["version"]), **NOW))
     return held.read()
@@ -254,7 +273,7 @@ def cdc_fan_out_stream(spark: SparkSession, d: str) -> DataFrame:
 
     def dims(df: DataFrame, batch_id: int) -> None:
         for table in [r[0] for r in sample.routes(spark).filter("lower(sinkType) = 'hbase'").select("sinkTable").distinct().collect()]:
-            held = KeyedSnapshot(spark, f"{root}/dims/{table}", ["pk"], DIM_SCHEMA, 8)
+            held = KeyedSnapshot(spark, f"{root}/dims/{table}", ["pk"], DIM_SCHEMA)
             columns = [F.col("data")[c].alias(c) for c in ("o_custkey", "o_orderkey", "o_orderstatus")]
             mine = df.filter(F.col("sinkTable") == table).select("pk", "type", "ts", "data", *columns)
             held.upsert(mine, batch_id, ["ts"], lambda c: F.map_contains_key("data", F.lit(c)))
@@ -273,7 +292,7 @@ def cdc_fan_out_stream(spark: SparkSession, d: str) -> DataFrame:
     jobs.drain(jobs.start_batches(changes, f"{root}/job", write, **NOW))
 
     def rows_of(table: str) -> DataFrame:
-        held = KeyedSnapshot(spark, f"{root}/dims/{table}", ["pk"], DIM_SCHEMA, 8).read()
+        held = KeyedSnapshot(spark, f"{root}/dims/{table}", ["pk"], DIM_SCHEMA).read()
         return held.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.lit(table).alias("target"), "pk")
 
     dim_rows = reduce(DataFrame.unionByName, [rows_of(t) for t in ("dim_orders_f", "dim_orders_o", "dim_orders_p")])
@@ -285,15 +304,17 @@ def cdc_fan_out_stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 def log_topics_stream(spark: SparkSession, d: str) -> DataFrame:
-    """Raw log lines split to the start, page and dirty topics, each record choosing its topic."""
-    lines = sample.log_text_of(event_stream(spark, d))
-    tagged = records.tag_logs(records.parse_logs(lines, "value"))
-    topic = F.when(F.col("reason").isNotNull(), "dirty_log").otherwise(F.concat("kind", F.lit("_log")))
+    """Raw log lines split to the start, page, display and dirty topics as whole records, each choosing its topic."""
+    extra = F.expr("concat(substr(value, 1, length(value) - 1), ',\"actions\":[', event_id, ',\"x\"]}')")
+    lines = sample.log_text_of(event_stream(spark, d)).select(F.when(F.col("event_id") % 101 > 7, extra).otherwise(F.col("value")).alias("value"))
     job = scratch_dir(spark, "topics")
-    text = F.to_json(F.struct("event_id", "mid")).alias("value")
-    jobs.drain(routed_topic_sink(tagged.select(topic.alias("sinkTable"), text), "other_log", f"{job}/checkpoint", f"{job}/topics", **NOW))
-    return spark.read.parquet(f"{job}/topics").select(
-        "topic", F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"))
+    jobs.drain(routed_topic_sink(split_log_stream(lines), DIRTY_LOG, f"{job}/checkpoint", f"{job}/topics", **NOW))
+    part = lambda path: F.get_json_object("value", path)
+    good = F.col("topic") != DIRTY_LOG
+    fields = {
+        "mid": part("$.common.mid"), "is_new": part("$.common.is_new"), "ts_ms": part("$.ts").cast("bigint"),
+        "action": part("$.actions[0]").cast("bigint"), "item": part("$.display.item").cast("bigint")}
+    return spark.read.parquet(f"{job}/topics").select("topic", *[F.when(good, c).alias(n) for n, c in fields.items()])
 
 
 def repair_processor(spark: SparkSession, d: str) -> DataFrame:
@@ -306,21 +327,25 @@ def repair_processor(spark: SparkSession, d: str) -> DataFrame:
 
 
 def daily_processor(spark: SparkSession, d: str) -> DataFrame:
-    """Days of each user by state; only the pairs are read, as arrival order inside a batch is open."""
-    rows = event_stream(spark, d).select("event_id", "user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"))
-    job = scratch_dir(spark, "daily-processor")
-    jobs.drain(jobs.start(processors.daily_visit_stream(rows, "user_id", "day", None), job, **NOW))
-    return spark.read.parquet(f"{job}/out").select("user_id", "day").distinct()
+    """Days of each user by the stored last day, rows of a batch in time order."""
+    rows = event_stream(spark, d).select("event_id", "user_id", "ts", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    kept = processors.daily_visit_stream(rows, "user_id", "day", None, EVENT_ORDER)
+    return _appended(spark, kept, scratch_dir(spark, "daily-processor")).select("user_id", "day")
+
+
+def delta_processor(spark: SparkSession, d: str) -> DataFrame:
+    """Delta alerts by the stored last reading, rows of a batch in time order."""
+    rows = event_stream(spark, d).select("event_id", "user_id", "ts", "value")
+    return _appended(spark, processors.delta_stream(rows, "user_id", "value", 100.0, order=EVENT_ORDER), scratch_dir(spark, "delta-processor"))
 
 
 def bounce_processor(spark: SparkSession, d: str) -> DataFrame:
-    """Bounces by event-time timers; an end marker lets the last entries run out of time."""
+    """Bounces over the page type alone."""
     rows = event_stream(spark, d).select("event_id", "user_id", "ts", "event_type")
-    delay = replay_delay(spark, d)
 
     def build(stream: DataFrame) -> DataFrame:
         marked = stream.withColumn("entry", entry_event())
-        return processors.bounce_stream(marked, "user_id", "ts", "event_id", "entry", "event_type", BOUNCE, delay)
+        return processors.bounce_stream(marked, "user_id", "ts", "event_id", "entry", "event_type", BOUNCE, SECOND)
 
     out = run_to_end(spark, rows, scratch_dir(spark, "bounce-processor"), "ts", build)
     return out.select(F.col("tie").alias("event_id"), F.col("key").alias("user_id"))
@@ -332,6 +357,6 @@ STREAM = {
         new_visitor_repair_stream, daily_unique_visitor_stream, daily_unique_pairs_stream, delta_alert_stream,
         bounce_detection_stream, visitor_stats_stream, window_count_stream, session_window_stream,
         order_wide_interval_stream, payment_wide_stream, keyed_upsert_stream, cdc_fan_out_stream, log_topics_stream,
-        repair_processor, daily_processor, bounce_processor,
+        repair_processor, daily_processor, delta_processor, bounce_processor,
     )
 }

@@ -13,7 +13,7 @@ from rillmark.functions.times import millis_to_date
 from rillmark.operators import aggregates, records, windows
 from rillmark.sources import topics
 from rillmark.sources.topics import Bus
-from rillmark.streaming import jobs, processors
+from rillmark.streaming import jobs, processors, stateful
 
 DIMS = ["vc", "ch", "ar", "is_new"]
 PAGE = (
@@ -26,12 +26,16 @@ WATERMARK = timedelta(seconds=1)
 
 
 def split_log_stream(lines: DataFrame) -> DataFrame:
-    """Raw lines to ``sinkTable, value``: repaired start, page and display records, and dirty lines."""
+    """Raw lines to ``sinkTable, value``: repaired start, page and display records, and dirty lines.
+
+    A device's records of one micro-batch are repaired in the order of their time.
+    """
     parsed = records.parse_logs(lines.select("value"), "value")
     dirty = records.dirty_logs(parsed).select(F.lit(topics.DIRTY_LOG).alias("sinkTable"), "value")
-    slim = records.good_logs(parsed).select("mid", "is_new", "value")
-    repaired = processors.repair_stream(slim, "mid", "is_new")
-    logs = records.parse_logs(repaired.select(F.col("is_new").alias("flag"), "value"), "value")
+    slim = records.good_logs(parsed).select("mid", "is_new", "ts_ms", "value")
+    marked = stateful.running_reduce(slim, ["mid"], ["ts_ms", "value"], ["is_new", "value"], stateful.SeenBefore("is_new", "1"))
+    flag = F.when((F.col("is_new") == "1") & F.col("seen_before"), "0").otherwise(F.col("is_new")).alias("flag")
+    logs = records.parse_logs(marked.select(flag, "value"), "value")
     tagged = records.tag_logs(logs.withColumn("is_new", F.col("flag")))
     text = records.merged_log_text(tagged)
     whole = F.struct(

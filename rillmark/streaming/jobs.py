@@ -1,8 +1,8 @@
-"""Running streams: replays to completion, per-batch sinks and carried state tables.
+"""Running streams: replays to completion and per-batch sinks.
 
-State that must survive between micro-batches is a table per batch id in the
-job's folder. A batch reads the table of its predecessor and overwrites its
-own, so a batch that is run again after a failure gives the same result.
+State that must survive between micro-batches is in Spark's state store (see
+``processors``, ``stateful`` and ``temporal``). A sink writes a folder per
+batch id, so a batch that is run again after a failure gives the same result.
 """
 
 from __future__ import annotations
@@ -14,14 +14,10 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
-
-from rillmark.functions.times import as_interval, epoch_micros, micros
-from rillmark.operators.aggregates import first_row_per_group
-from rillmark.operators.keyed import bounces, delta_alerts, is_bounce, repair_new_visitors
-from rillmark.operators.scan import following, scan
-from rillmark.operators.windows import lateness_tag, window_end_micros
-from rillmark.streaming.files import children, committed, exists
+from pyspark.sql.types import StructType
+
+from rillmark.functions.times import as_interval
+from rillmark.streaming.files import children, exists
 from rillmark.streaming.snapshot import KeyedSnapshot
 
 CHECKPOINT_INTERVAL = "5 seconds"
@@ -157,189 +153,6 @@ def latest_updates(out: DataFrame, keys: list[str]) -> DataFrame:
     return out.groupBy(*keys).agg(newest).select(*keys, "_n.*").drop("batch_id")
 
 
-def state_before(spark: SparkSession, folder: str, batch_id: int, like: DataFrame) -> DataFrame:
-    """State table left by the preceding batch, empty at the start."""
-    if batch_id == 0:
-        return spark.createDataFrame([], like.schema)
-    path = f"{folder}/{batch_id - 1}"
-    if not exists(spark, f"{path}/_SUCCESS"):
-        raise RuntimeError(f"state of batch {batch_id - 1} is missing below {folder}")
-    return spark.read.schema(like.schema).parquet(path)
-
-
-def seen_before(spark: SparkSession, folder: str, batch_id: int, like: DataFrame) -> DataFrame:
-    """Rows that batches before this one remembered; partition columns prune the read."""
-    if not children(spark, folder):
-        return spark.createDataFrame([], like.schema)
-    stamped = StructType([*like.schema.fields, StructField("_batch", LongType())])
-    return spark.read.schema(stamped).parquet(folder).filter(F.col("_batch") < batch_id).drop("_batch")
-
-
-def remember(df: DataFrame, folder: str, batch_id: int, *partitions: str) -> None:
-    """Append to a seen table; running a batch again replaces its own part only."""
-    stamped = df.withColumn("_batch", F.lit(batch_id).cast("bigint"))
-    writer = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*partitions, "_batch").parquet(folder)
-
-
-def repair_batches(job: str, key: str, flag: str, order: list[str]) -> Callable[[DataFrame, int], None]:
-    """New-visitor repair: repair inside the batch, then against devices seen in earlier batches.
-
-    Only devices new to the seen table are added to it.
-    """
-
-    def write(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        seen = seen_before(spark, f"{job}/seen", batch_id, df.select(F.col(key).alias("_known")))
-        fresh = repair_new_visitors(df, key, flag, order).persist()
-        try:
-            claims = fresh.filter(F.col(flag) == "1")
-            same = claims[key].eqNullSafe(seen["_known"])
-            known = claims.join(seen, same, "left_semi").withColumn(flag, F.lit("0"))
-            firsts = claims.join(seen, same, "left_anti")
-            others = fresh.filter(~F.col(flag).eqNullSafe("1"))
-            batch_writer(f"{job}/out")(firsts.unionByName(known).unionByName(others), batch_id)
-            remember(firsts.select(F.col(key).alias("_known")), f"{job}/seen", batch_id)
-        finally:
-            fresh.unpersist()
-
-    return write
-
-
-def first_visit_batches(job: str, key: str, ts: str, order: list[str]) -> Callable[[DataFrame, int], None]:
-    """Daily unique visitors: the earliest row per key and day of a batch, unless an earlier batch had one.
-
-    The seen table is laid out by day; the join prunes it to the days of the batch.
-    """
-
-    def write(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        dated = df.withColumn("_day", F.to_date(ts))
-        pairs = dated.select(F.col(key).alias("_known"), F.col("_day").alias("_on"))
-        firsts = first_row_per_group(dated, [key, "_day"], [F.col(c) for c in order])
-        span = dated.agg(F.min("_day"), F.max("_day")).first()
-        seen = seen_before(spark, f"{job}/seen", batch_id, pairs).filter(F.col("_on").between(*span))
-        same = firsts[key].eqNullSafe(seen["_known"]) & (firsts["_day"] == seen["_on"])
-        fresh = firsts.join(seen, same, "left_anti").persist()
-        try:
-            batch_writer(f"{job}/out")(fresh.drop("_day"), batch_id)
-            marks = fresh.select(F.col(key).alias("_known"), F.col("_day").alias("_on"))
-            remember(marks, f"{job}/seen", batch_id, "_on")
-        finally:
-            fresh.unpersist()
-
-    return write
-
-
-def delta_batches(
-    job: str, key: str, value: str, threshold: float, order: list[str], baseline: str = "previous", buckets: int = 16
-) -> Callable[[DataFrame, int], None]:
-    """Delta alerts: one remembered row per key joins the batch as its earliest row."""
-
-    def write(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        memory = KeyedSnapshot(spark, f"{job}/memory", [key], df.select(key, value, *order).schema, buckets)
-        remembered = memory.read(below=batch_id)
-        keys = df.select(F.col(key).alias("_in_batch")).distinct()
-        held = remembered.join(keys, remembered[key].eqNullSafe(keys["_in_batch"]), "left_semi")
-        rows = df.withColumn("_new", F.lit(1)).unionByName(held.withColumn("_new", F.lit(0)), allowMissingColumns=True)
-        alerts = delta_alerts(rows, key, value, threshold, ["_new", *order], baseline)
-        batch_writer(f"{job}/out")(alerts.filter("_new = 1").drop("_new"), batch_id)
-        if baseline == "first":
-            known = held.select(F.col(key).alias("_known"))
-            unseen = df.join(known, df[key].eqNullSafe(known["_known"]), "left_anti")
-            changes = first_row_per_group(unseen, [key], [F.col(c) for c in order])
-        else:
-            changes = first_row_per_group(df, [key], [F.col(c).desc() for c in order])
-        stamped = changes.withColumns({"type": F.lit("update"), "_version": F.lit(batch_id)})
-        memory.upsert(stamped, batch_id, ["_version"])
-
-    return write
-
-
-def bounce_batches(
-    job: str, key: str, ts: str, tie: list[str], entry: Column, within: timedelta, delay: timedelta
-) -> Callable[[DataFrame, int], None]:
-    """Bounce detection: rows not settled yet are kept in a pending table until the watermark decides.
-
-    The watermark is the largest event time so far minus ``delay``. A row is
-    settled when its successor is at or below the watermark, or when the
-    watermark has passed its waiting time. Rows at or below the watermark of
-    the preceding batch are too late and are written to ``late``, and so are
-    rows without an event time.
-    """
-
-    def write(df: DataFrame, batch_id: int) -> None:
-        held = df.persist()
-        try:
-            settle(held, batch_id)
-        finally:
-            held.unpersist()
-
-    def settle(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        at = epoch_micros(F.col(ts))
-        marked = df.withColumn("_entry", F.coalesce(entry, F.lit(False)))
-        tops = state_before(spark, f"{job}/top", batch_id, spark.createDataFrame([], "top bigint"))
-        old_top = tops.agg(F.max("top")).first()[0]
-        new_top = df.agg(F.max(at)).first()[0]
-        known = [t for t in (old_top, new_top) if t is not None]
-        # A row without an event time can never be settled.
-        late = F.coalesce(at <= old_top - micros(delay), F.lit(True)) if old_top is not None else at.isNull()
-        mark = F.lit(max(known) - micros(delay) if known else None).cast("bigint")
-
-        pending = state_before(spark, f"{job}/pending", batch_id, marked)
-        rows = pending.unionByName(marked.filter(~late))
-        looked = scan(rows, [key], [ts, *tie], _next=following(F.struct(F.col(ts), F.col("_entry")))).persist()
-        try:
-            waited = mark >= at + micros(within)
-            settled = (at <= mark) & (F.coalesce(epoch_micros(F.col("_next")[ts]) <= mark, F.lit(False)) | waited)
-            done = looked.withColumn("_settled", F.coalesce(settled, F.lit(False)))
-            found = done.filter("_settled").filter(is_bounce(F.col("_entry"), F.col(ts), F.col("_next"), ts, within))
-            keep = ~F.col("_settled") & (F.col("_entry") | (at > mark))
-            batch_writer(f"{job}/out")(found.select(*df.columns), batch_id)
-            batch_writer(f"{job}/late")(df.filter(late), batch_id)
-            done.filter(keep).select(*marked.columns).write.mode("overwrite").parquet(f"{job}/pending/{batch_id}")
-        finally:
-            looked.unpersist()
-        top = spark.createDataFrame([(max(known) if known else None,)], "top bigint").coalesce(1)
-        top.write.mode("overwrite").parquet(f"{job}/top/{batch_id}")
-
-    return write
-
-
-def flush_bounces(spark: SparkSession, job: str, key: str, ts: str, tie: list[str], within: timedelta) -> DataFrame:
-    """End of input: what is still pending after the last batch runs out of time."""
-    last = committed(spark, f"{job}/pending")[-1]
-    pending = spark.read.parquet(f"{job}/pending/{last}")
-    return bounces(pending, key, ts, F.col("_entry"), tie, within).drop("_entry")
-
-
-def lateness_batches(job: str, ts: str, size: timedelta, bound: timedelta, lateness: timedelta):
-    """Tag rows ``on_time / late_accepted / too_late`` before any stateful operator can drop them.
-
-    Accepted rows go to ``out``, too-late rows to ``late``.
-    """
-
-    def write(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        tops = state_before(spark, f"{job}/top", batch_id, spark.createDataFrame([], "top bigint"))
-        old_top = tops.agg(F.max("top")).first()[0]
-        mark = F.lit(None if old_top is None else old_top - micros(bound)).cast("bigint")
-        tagged = df.withColumn("tag", lateness_tag(window_end_micros(ts, size), mark, lateness)).persist()
-        try:
-            new_top = tagged.agg(F.max(epoch_micros(F.col(ts)))).first()[0]
-            batch_writer(f"{job}/out")(tagged.filter("tag <> 'too_late'"), batch_id)
-            batch_writer(f"{job}/late")(tagged.filter("tag = 'too_late'"), batch_id)
-        finally:
-            tagged.unpersist()
-        known = [t for t in (old_top, new_top) if t is not None]
-        top = spark.createDataFrame([(max(known) if known else None,)], "top bigint").coalesce(1)
-        top.write.mode("overwrite").parquet(f"{job}/top/{batch_id}")
-
-    return write
-
-
 def daily_first_visit_stream(df: DataFrame, key: str, ts: str, lateness: timedelta) -> DataFrame:
     """First arrival per key and day; the watermark delay covers the whole day plus disorder."""
     delay = as_interval(timedelta(days=1) + lateness)

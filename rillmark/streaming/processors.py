@@ -21,6 +21,14 @@ from rillmark.functions.times import as_interval, epoch_micros, micros
 from rillmark.session import PROVIDER_CONF, ROCKSDB_PROVIDER
 
 
+def in_order(rows: Iterator[pd.DataFrame], order: list[str] | None) -> Iterator[pd.DataFrame]:
+    """A key's rows of one micro-batch as they arrive, or put in order, which holds them."""
+    if order is None:
+        yield from rows
+    else:
+        yield pd.concat(list(rows), ignore_index=True).sort_values(order, kind="stable", na_position="first", ignore_index=True)
+
+
 class NewVisitorRepair(StatefulProcessor):
     """The first claim of a key keeps ``'1'``; later claims turn to ``'0'``. No expiry."""
 
@@ -47,15 +55,15 @@ class NewVisitorRepair(StatefulProcessor):
 class DailyFirstVisit(StatefulProcessor):
     """A row passes when its day differs from the stored day; the state may expire."""
 
-    def __init__(self, day: str, ttl: timedelta | None):
-        self.day, self.ttl = day, ttl
+    def __init__(self, day: str, ttl: timedelta | None, order: list[str] | None = None):
+        self.day, self.ttl, self.order = day, ttl, order
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         expiry = None if self.ttl is None else micros(self.ttl) // 1000
         self.last = handle.getValueState("last", "day string", expiry)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for batch in rows:
+        for batch in in_order(rows, self.order):
             before = self.last.get()[0] if self.last.exists() else None
             shifted = batch[self.day].shift(1)
             shifted.iloc[0] = before
@@ -71,14 +79,14 @@ class DailyFirstVisit(StatefulProcessor):
 class DeltaAlert(StatefulProcessor):
     """``(key, last, current)`` whenever two readings in a row differ by the threshold or more."""
 
-    def __init__(self, key: str, value: str, threshold: float, baseline: str = "previous"):
-        self.key, self.value, self.threshold, self.baseline = key, value, threshold, baseline
+    def __init__(self, key: str, value: str, threshold: float, baseline: str = "previous", order: list[str] | None = None):
+        self.key, self.value, self.threshold, self.baseline, self.order = key, value, threshold, baseline, order
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "value double")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for batch in rows:
+        for batch in in_order(rows, self.order):
             current = batch[self.value].reset_index(drop=True)
             held = self.last.get()[0] if self.last.exists() else None
             if self.baseline == "first":
@@ -106,12 +114,13 @@ class BounceDetector(StatefulProcessor):
     for the earliest undecided row; rows settled by then leave the state.
     """
 
-    def __init__(self, at: str, tie: str, entry: str, value: str, within: timedelta):
+    def __init__(self, at: str, tie: str, entry: str, value: str, within: timedelta, tie_type: str = "bigint"):
         self.at, self.tie, self.entry, self.value, self.wait = at, tie, entry, value, micros(within) // 1000
+        self.tie_type, self.read_tie = tie_type, int if tie_type == "bigint" else str
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "at bigint, tie bigint, entry boolean, value string")
+        self.waiting = handle.getListState("waiting", f"at bigint, tie {self.tie_type}, entry boolean, value string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         for batch in rows:
@@ -121,7 +130,7 @@ class BounceDetector(StatefulProcessor):
             at = batch[self.at]
             self.waiting.appendList(
                 [
-                    (int(a), int(t), bool(e), v)
+                    (int(a), self.read_tie(t), bool(e), v)
                     for a, t, e, v in zip(at, batch[self.tie], batch[self.entry], batch[self.value])
                 ]
             )
@@ -174,29 +183,30 @@ def repair_stream(df: DataFrame, key: str, flag: str) -> DataFrame:
     return run_processor(df, key, NewVisitorRepair(flag), df.schema)
 
 
-def daily_visit_stream(df: DataFrame, key: str, day: str, ttl: timedelta | None = timedelta(days=1)) -> DataFrame:
-    """``day`` is a date text column; the state lives ``ttl`` of processing time.
+def daily_visit_stream(df: DataFrame, key: str, day: str, ttl: timedelta | None = timedelta(days=1), order: list[str] | None = None) -> DataFrame:
+    """``day`` is a date text column; the state lives ``ttl`` of processing time. A key's rows of a batch come in ``order``, if given.
 
     With an expiry the query never runs out of work, so ``availableNow``
     does not end: use a processing-time trigger, or ``ttl=None`` to replay.
     """
-    return run_processor(df, key, DailyFirstVisit(day, ttl), df.schema, "none" if ttl is None else "ProcessingTime")
+    return run_processor(df, key, DailyFirstVisit(day, ttl, order), df.schema, "none" if ttl is None else "ProcessingTime")
 
 
-def delta_stream(df: DataFrame, key: str, value: str, threshold: float, baseline: str = "previous") -> DataFrame:
+def delta_stream(df: DataFrame, key: str, value: str, threshold: float, baseline: str = "previous", order: list[str] | None = None) -> DataFrame:
     schema = f"{key} {df.schema[key].dataType.simpleString()}, last double, current double"
-    return run_processor(df, key, DeltaAlert(key, value, threshold, baseline), schema)
+    return run_processor(df, key, DeltaAlert(key, value, threshold, baseline, order), schema)
 
 
 def bounce_stream(
     df: DataFrame, key: str, ts: str, tie: str, entry: str, value: str, within: timedelta, delay: timedelta
 ) -> DataFrame:
-    """``key, tie, value`` of every bounce: ``tie`` a unique BIGINT, ``entry`` a BOOLEAN, ``value`` the record's text.
+    """``key, tie, value`` of every bounce: ``tie`` a unique BIGINT or STRING, ``entry`` a BOOLEAN, ``value`` the record's text.
 
     Rows without a ``tie`` only move the watermark.
     """
     known = F.coalesce(F.col(entry), F.lit(False)).alias(entry)
     at = epoch_micros(F.col(ts)).alias("at_us")
     timed = df.select(key, ts, at, tie, known, value).withWatermark(ts, as_interval(delay))
-    schema = f"key {df.schema[key].dataType.simpleString()}, tie bigint, value string"
-    return run_processor(timed, key, BounceDetector("at_us", tie, entry, value, within), schema, "EventTime")
+    kind = df.schema[tie].dataType.simpleString()
+    schema = f"key {df.schema[key].dataType.simpleString()}, tie {kind}, value string"
+    return run_processor(timed, key, BounceDetector("at_us", tie, entry, value, within, kind), schema, "EventTime")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from rillmark.functions.times import as_interval, epoch_micros, micros
-from rillmark.streaming.processors import run_processor
+from rillmark.streaming.processors import in_order, run_processor
 
 #: How far behind the newest row a row may be and still reach the processor, to be accepted or sent to the too-late output.
 HORIZON = timedelta(days=7300)
@@ -170,9 +170,8 @@ def _names(ddl: str) -> list[str]:
     return [part.split()[0] for part in ddl.split(",")]
 
 
-def _in_order(rows: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
-    held = pd.concat(list(rows), ignore_index=True)
-    return held.sort_values(order, kind="stable", na_position="first", ignore_index=True)
+def _sorted(rows: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
+    return next(in_order(rows, order))
 
 
 def _frame(key: tuple, keys: list[str], rows: list[tuple], names: list[str]) -> pd.DataFrame:
@@ -197,7 +196,7 @@ class RunningReduce(_Processor):
         self.held = handle.getValueState("held", self.accumulator.state)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = _in_order(rows, self.order)
+        batch = _sorted(rows, self.order)
         held = tuple(self.held.get()) if self.held.exists() else self.accumulator.zero()
         results, held = self.accumulator.scan(held, batch)
         self.held.update(held)
@@ -233,7 +232,7 @@ class CountWindows(_Processor):
             yield _frame(key, self.keys, fired, ["fire", "rows", *_names(self.accumulator.output)])
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = _in_order(rows, self.order)
+        batch = _sorted(rows, self.order)
         fires, count, held = self._state()
         if self.every is not None and not (count % self.size if not self.purge else count):
             self._set_timer(timerValues)
@@ -295,7 +294,7 @@ class RefiringWindows(_Processor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         mark = self._mark(timerValues)
-        batch = _in_order(rows, self.order)
+        batch = _sorted(rows, self.order)
         batch = batch[batch[self.at].notna()]
         ends = (batch[self.at].astype("int64") // 1000 // self.size + 1) * self.size
         out: list[tuple] = []
@@ -360,7 +359,7 @@ class SessionWindows(_Processor):
         self.sessions = handle.getMapState("sessions", "start bigint", f"last bigint, {self.accumulator.state}")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = _in_order(rows, [self.at, *self.order])
+        batch = _sorted(rows, [self.at, *self.order])
         batch = batch[batch[self.at].notna()]
         if batch.empty:
             return
@@ -416,7 +415,7 @@ class ArrivalWindows(_Processor):
         self.windows = handle.getMapState("windows", "window_end bigint", self.accumulator.state)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = _in_order(rows, self.order)
+        batch = _sorted(rows, self.order)
         end = (timerValues.getCurrentProcessingTimeInMs() // self.size + 1) * self.size
         if self.windows.containsKey((end,)):
             held = tuple(self.windows.getValue((end,)))
@@ -450,7 +449,7 @@ class DailyFirst(_Processor):
         self.days = handle.getMapState("days", "day_end bigint", "seen boolean")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = _in_order(rows, [self.at, *self.order])
+        batch = _sorted(rows, [self.at, *self.order])
         width = micros(timedelta(days=1))
         ends = ((batch[self.at].fillna(-1).astype("int64") // width + 1) * (width // 1000)).where(batch[self.at].notna(), self.NO_DAY)
         first = []
@@ -479,7 +478,7 @@ class Changelog(_Processor):
         self.held = handle.getValueState("held", f"version bigint, {self.accumulator.state}")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = _in_order(rows, self.order)
+        batch = _sorted(rows, self.order)
         version, *held = self.held.get() if self.held.exists() else (0, *self.accumulator.zero())
         old, held = self.accumulator.result(tuple(held)), self.accumulator.add(tuple(held), batch)
         new = self.accumulator.result(held)

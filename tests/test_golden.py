@@ -264,6 +264,6 @@ def test_task_counter(spark):
 def test_last_price_upsert(phones, tmp_path, spark):
     from rillmark.streaming.snapshot import KeyedSnapshot
 
-    held = KeyedSnapshot(spark, str(tmp_path / "s"), ["phone"], "phone string, price double", buckets=2)
+    held = KeyedSnapshot(spark, str(tmp_path / "s"), ["phone"], "phone string, price double")
     held.upsert(phones.withColumn("type", F.lit("update")), 0, ["seq"])
     assert {r.phone: r.price for r in held.read().collect()} == {"mi": 7000.7, "huawei": 6000.1, "apple": 7000.2}

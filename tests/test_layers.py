@@ -113,13 +113,13 @@ def test_order_layer(spark, tmp_path):
           for p, t in ((900, "2021-11-02 10:15:00"), (901, "2021-11-02 10:16:00"))],
     ])
     bus, slack = Bus(spark, root, per_batch=1), timedelta(days=1)
-    jobs.drain(order_layer.base_db(bus, lambda: config, ["v"], buckets=2, **NOW))
+    jobs.drain(order_layer.base_db(bus, lambda: config, ["v"], **NOW))
     assert spark.read.parquet(f"{root}/unrouted").count() == 1
-    user = order_layer.dimension(bus, "dim_user_info", "id,birthday,gender", 2).read().collect()
+    user = order_layer.dimension(bus, "dim_user_info", "id,birthday,gender").read().collect()
     assert [(r.pk, r.birthday, r.gender) for r in user] == [("7", "1990-11-02", "M")]
 
     def dims():
-        read = lambda t, c: order_layer.dimension(bus, t, c, 2).read()
+        read = lambda t, c: order_layer.dimension(bus, t, c).read()
         return {
             "users": read("dim_user_info", "id,birthday,gender"),
             "provinces": read("dim_base_province", "id,name,area_code,iso_code,iso_3166_2"),
@@ -144,5 +144,5 @@ def test_order_layer(spark, tmp_path):
 
     config = config.unionByName(spark.createDataFrame([(*ROUTES[7], None, "delete", 2)], config.schema))
     put(spark, root, topics.RAW_CHANGES, [envelope("spu_info", "CREATE", 5, {"id": 52, "spu_name": "late"})])
-    jobs.drain(order_layer.base_db(Bus(spark, root), lambda: config, ["v"], buckets=2, **NOW))
-    assert order_layer.dimension(bus, "dim_spu_info", "id,spu_name", 2).read().count() == 0
+    jobs.drain(order_layer.base_db(Bus(spark, root), lambda: config, ["v"], **NOW))
+    assert order_layer.dimension(bus, "dim_spu_info", "id,spu_name").read().count() == 0
