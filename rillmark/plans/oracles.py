@@ -47,7 +47,7 @@ where abs(value - last_value) >= 100
 """
 DELTA_PREVIOUS = _DELTA.format(base="lag(value)")
 
-_LOGS = """
+LOGS = """
 g as (
   select *, cast(user_id as varchar) as mid, case when event_type = 'signup' then '1' else '0' end as is_new,
          epoch_us(ts) // 1000 as ts_ms
@@ -67,10 +67,11 @@ w as (
 """
 
 #: All columns of the wide order row.
+FULL_DIMENSIONS = "u as (select c_custkey, c_custkey % 2 = 0 as f, date '1960-01-01' + cast(c_custkey % 15000 as integer) as b from customer)"
 _SPLIT = "cast(l_extendedprice as double) as split_total_amount,"
 _FULL = f"""
 {_WIDE.replace(_SPLIT, _SPLIT + " cast(l_discount as double) as split_activity_amount, cast(l_tax as double) as split_coupon_amount,")},
-u as (select c_custkey, c_custkey % 2 = 0 as f, date '1960-01-01' + cast(c_custkey % 15000 as integer) as b from customer),
+{FULL_DIMENSIONS},
 x as (
   select w.*, p_name as sku_name, total_amount as original_total_amount, 0.0::double as activity_reduce_amount, 0.0::double as coupon_reduce_amount,
     0.0::double as feight_fee, cast(null as double) as split_feight_fee, cast(null as varchar) as expire_time, create_time as operate_time,
@@ -202,14 +203,14 @@ select event_id, case event_id % 101 when 3 then 'bad_json' when 4 then 'bad_jso
        else 'no_mid' end as reason
 from events where event_id % 101 in (3, 4, 5, 7)""",
     "log_split": f"""
-with {_LOGS} select event_id, case when event_type = 'error' then 'start' else 'page' end as kind, mid, is_new, ts_ms
+with {LOGS} select event_id, case when event_type = 'error' then 'start' else 'page' end as kind, mid, is_new, ts_ms
 from g""",
     "display_explode": f"""
-with {_LOGS} select event_id, mid, ts_ms as ts, event_id * 10 + i as item
+with {LOGS} select event_id, mid, ts_ms as ts, event_id * 10 + i as item
 from g join (select unnest([1, 2, 3]) as i) on i <= event_id % 4
 where event_type <> 'error'""",
     "log_repair_text": f"""
-with {_LOGS} select event_id, mid, ts_ms,
+with {LOGS} select event_id, mid, ts_ms,
   case when is_new = '1' and row_number() over (partition by mid, is_new order by ts_ms, event_id) > 1 then '0'
        else is_new end as is_new
 from g""",
@@ -297,7 +298,7 @@ select o.o_custkey, case when o_orderkey % 3 = 0 then o_orderstatus end as statu
 from orders o join g on g.o_custkey = o.o_custkey and o_orderkey = put where put > gone""",
     "keyed_upsert_same_ts": KEYED_UPSERT.replace("o_orderkey as ver", "year(o_orderdate) * 1000000000000 + o_orderkey as ver"),
     "log_topics_full": f"""
-with {_LOGS}, r as (
+with {LOGS}, r as (
   select event_id, event_type, case when event_id % 101 > 7 then event_id end as action,
     case when is_new = '1' and row_number() over (partition by mid, is_new order by ts_ms, event_id) > 1 then '0' else is_new end as is_new
   from g)
@@ -407,7 +408,7 @@ select user_id, count(*) as n, cast(max(case when event_type = 'signup' then 1 e
     "delta_processor": f"select user_id, last_value as last, value as current from ({DELTA_PREVIOUS})",
     "bounce_processor": BOUNCE,
     "log_topics_stream": f"""
-with {_LOGS}, r as (
+with {LOGS}, r as (
   select event_id, event_type, mid, ts_ms, case when event_id % 101 > 7 then event_id end as action,
     case when is_new = '1' and row_number() over (partition by mid, is_new order by ts_ms, event_id) > 1 then '0' else is_new end as is_new
   from g)

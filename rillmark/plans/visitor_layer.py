@@ -63,8 +63,8 @@ def _pages(bus: Bus) -> DataFrame:
 
 def unique_visitors(bus: Bus, ttl: timedelta | None = timedelta(days=1), **trigger) -> StreamingQuery:
     """Page topic to the daily unique visitor topic."""
-    dated = _pages(bus).select(F.col("common.mid").alias("mid"), millis_to_date(F.col("ts")).alias("day"), "value")
-    return bus.write(processors.daily_visit_stream(dated, "mid", "day", ttl), topics.UNIQUE_VISITORS, "unique_visitors", **trigger)
+    dated = _pages(bus).select(F.col("common.mid").alias("mid"), millis_to_date(F.col("ts")).alias("day"), "ts", "value")
+    return bus.write(processors.daily_visit_stream(dated, "mid", "day", ttl, ["ts", "value"]), topics.UNIQUE_VISITORS, "unique_visitors", **trigger)
 
 
 def bounces(bus: Bus, within: timedelta = BOUNCE_WAIT, delay: timedelta = WATERMARK, **trigger) -> StreamingQuery:

@@ -6,6 +6,7 @@ import oracle
 import pytest
 
 from rillmark.plans.batch_queries import BATCH
+from rillmark.plans.layer_queries import LAYER_ORACLES, LAYERS
 from rillmark.plans.oracles import ORACLES
 from rillmark.plans.source_queries import SOURCE_ORACLES, SOURCES
 from rillmark.plans.state_queries import STATE, STATE_ORACLES
@@ -18,7 +19,7 @@ SKEWED = [
     "session_window", "count_window", "late_classify", "cdc_route_dim", "key_list_lookup",
 ]
 
-QUERIES = {**BATCH, **STREAM, **STATE, **SOURCES}
+QUERIES = {**BATCH, **STREAM, **STATE, **LAYERS, **SOURCES}
 
 
 @pytest.fixture(scope="session")
@@ -29,7 +30,7 @@ def con(sf_dir):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(name, spark, sf_dir, con):
     got = oracle.spark_bag(QUERIES[name](spark, sf_dir))
-    assert oracle.difference(got, oracle.sql_bag(con, {**ORACLES, **SOURCE_ORACLES, **STATE_ORACLES}[name])) is None
+    assert oracle.difference(got, oracle.sql_bag(con, {**ORACLES, **SOURCE_ORACLES, **STATE_ORACLES, **LAYER_ORACLES}[name])) is None
 
 
 @pytest.mark.parametrize("name", SKEWED)
