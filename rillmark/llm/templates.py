@@ -3,10 +3,10 @@
 Words are reduced to templates: numbers, names (capitalised words) and units
 after a number become typed placeholders, other words lose case and outer
 punctuation. Windows of ``WINDOW`` template words of the benchmark items are
-looked up by hash in all windows of all documents, once with placeholders for
+joined by hash with the windows of all documents, once with placeholders for
 names and once with the names as caseless words, since text in other case
-doesn't show its names. Hits of one item near each
-other in a document, within twice the item's length, are one occurrence. In it, every slot value of the item
+doesn't show its names. Hits of one item near each other in a document, within
+twice the item's length, are one occurrence. In it, every slot value of the item
 must stand for one value of the document; windows that contradict the usual
 value of a slot don't count. An item is found when the windows that count
 cover at least ``COVERAGE`` of its windows: verbatim if every slot has the
@@ -19,27 +19,28 @@ from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 from itertools import product
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import DataType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from rillmark.llm import arrays as A
 from rillmark.llm.tables import cut, fresh
+from rillmark.operators.joins import lookup
 
 WINDOW = 5
 COVERAGE = 0.8
 #: A window with fewer literal words keeps its words instead of placeholders.
 LEAST_LITERALS = 2
-#: Benchmark bytes sent to every task at once; a larger benchmark is looked up in blocks of about this size.
-BLOCK_BYTES = 8 << 20
+#: Bits of the filter for each window of the benchmark, and the most bits of the whole filter (32 MB), as a power of two.
+BITS_A_KEY, MOST_BITS = 64, 28
 LITERAL, NUMBER, NAME, UNIT = range(4)
 # Unit words that become a placeholder after a number.
 UNITS = (
@@ -100,152 +101,215 @@ def canonical(column: pa.Array) -> Templates:
     return Templates(exact, slotted, np.where(kind == NAME, exact, slotted), kind, codes, texts, counts)
 
 
-class Items:
-    """Windows of a block of benchmark items, indexed by hash."""
-
-    def __init__(self, ids: list, texts: list[str | None]):
-        made = canonical(pa.array(texts, pa.string()))
-        begins = np.cumsum(made.counts) - made.counts
-        self.ids = ids
-        self.words = [[made.cores[c] for c in made.codes[b : b + n]] for b, n in zip(begins, made.counts, strict=True)]
-        self.kinds = [made.kind[b : b + n].tolist() for b, n in zip(begins, made.counts, strict=True)]
-        self.size = np.minimum(made.counts, WINDOW)
-        self.total = np.where(made.counts > 0, made.counts - self.size + 1, 0)
-        self.index = {}
-        for size, names in product(sorted(set(self.size.tolist()) - {0}), (True, False)):
-            hashes, whole = made.windows(size, names)
-            owner = np.repeat(np.arange(len(ids)), made.counts)[: len(hashes)]
-            at = np.flatnonzero(whole & (self.size[owner] == size))
-            at = at[np.argsort(hashes[at], kind="stable")]
-            keys, first, n = np.unique(hashes[at], return_index=True, return_counts=True)
-            self.index[size, names] = keys, first, n, owner[at], at - begins[owner[at]]
-
-    def hits(self, made: Templates) -> Iterator[tuple[int, list[tuple[int, int, int]]]]:
-        """For each text with a hit: its number and (word, item, item's word) of the hits, words counted from its start."""
-        found = []
-        for (size, names), (keys, first, n, owner, place) in self.index.items():
-            hashes, whole = made.windows(size, names)
-            hit, at = A.member(hashes, keys)
-            words = np.flatnonzero(hit & whole)
-            each = A.ragged(first[at[words]], n[at[words]])
-            found.append(np.column_stack([np.repeat(words, n[at[words]]), owner[each], place[each]]))
-        rows = np.concatenate(found) if found else np.empty((0, 3), np.int64)
-        rows = np.unique(rows, axis=0)
-        ends = np.cumsum(made.counts)
-        doc = np.searchsorted(ends, rows[:, 0], side="right")
-        rows[:, 0] -= (ends - made.counts)[doc]
-        edges = np.flatnonzero(np.diff(doc, prepend=-1, append=len(made.counts)))
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            yield int(doc[a]), rows[a:b].tolist()
-
-    def occurrences(self, hits: list[tuple[int, int, int]]) -> Iterator[tuple[int, list[tuple[int, int]]]]:
-        """Hits of an item that may be one occurrence: (item, [(word, item's word)]).
-
-        First the runs whose words shift by a few places at most, then, where
-        there are several runs, from the start of each all hits within twice
-        the item's length: as many words as it has may stand in between.
-        """
-        by_item = defaultdict(list)
-        for word, item, place in hits:
-            by_item[item].append((word, place))
-        for item, pairs in by_item.items():
-            reach = len(self.words[item])
-            pairs.sort(key=lambda p: (p[0] - p[1], p[0]))
-            group: list[tuple[int, int]] = []
-            starts = []
-            for pair in pairs:
-                # Inserted or lost words shift the rest by a few places.
-                if group and pair[0] - pair[1] - (group[-1][0] - group[-1][1]) > max(2, reach // 8):
-                    yield item, group
-                    starts.append(min(group)[0])
-                    group = []
-                group.append(pair)
-            yield item, group
-            if starts:
-                starts.append(min(group)[0])
-                pairs.sort()
-                words = [word for word, _ in pairs]
-                for start in sorted(set(starts)):
-                    yield item, pairs[bisect_left(words, start) : bisect_left(words, start + 2 * reach)]
-
-    def judge(self, item: int, pairs: list[tuple[int, int]], words: list[str]) -> tuple[int, int, bool]:
-        """Windows that count, changed slots, and whether the occurrence is verbatim in them."""
-        size, kinds, own = int(self.size[item]), self.kinds[item], self.words[item]
-        votes: dict[tuple[int, str], Counter] = defaultdict(Counter)
-        seen = set()
-        for word, place in pairs:
-            for k in range(size):
-                if kinds[place + k] != LITERAL and (word + k, place + k) not in seen:
-                    seen.add((word + k, place + k))
-                    votes[kinds[place + k], own[place + k]][words[word + k]] += 1
-        usual = {slot: min(c, key=lambda v: (-c[v], v != slot[1], v)) for slot, c in votes.items()}
-        counted = {
-            place
-            for word, place in pairs
-            if all(kinds[place + k] == LITERAL or usual[kinds[place + k], own[place + k]] == words[word + k] for k in range(size))
-        }
-        changed = sum(value != slot[1] for slot, value in usual.items())
-        return len(counted), changed, changed == 0
+SALTS = {(size, names): np.uint64(xxhash.xxh64_intdigest(f"{size}{names}", 13)) for size in range(1, WINDOW + 1) for names in (True, False)}
 
 
-FOUND = "n_windows int, matched int, coverage double, kind string"
+def window_keys(made: Templates, sizes: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Window size, first words and join keys of all windows of these sizes, with names as slots and as words."""
+    for size, names in product(sizes, (True, False)):
+        hashes, whole = made.windows(size, names)
+        at = np.flatnonzero(whole)
+        yield size, at, hashes[at] ^ SALTS[size, names]
+
+
+ITEM = "kinds array<int>, words array<string>, size int, keys array<bigint>, places array<int>"
 
 
-def _search(docs: DataFrame, items: Items, item_type: DataType, coverage: float) -> DataFrame:
-    head = [StructField("doc_id", docs.schema["id"].dataType), StructField("item_id", item_type)]
-    kind = StructType([*head, *StructType.fromDDL(FOUND).fields])
-    arrow_item = to_arrow_type(item_type)
+def _items(benchmark: DataFrame) -> DataFrame:
+    """``(item, item_no)`` and :data:`ITEM`, a row for each item with a word, on a written table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in A.pieces(batches, "text"):
-            made, rows = canonical(piece.column(1)), {}
-            begins = np.cumsum(made.counts) - made.counts
-            for doc, hits in items.hits(made):
-                words = None
-                for item, pairs in items.occurrences(hits):
-                    total = int(items.total[item])
+            made = canonical(piece.column(1))
+            begins, size = np.cumsum(made.counts) - made.counts, np.minimum(made.counts, WINDOW)
+            keys, places = [[] for _ in made.counts], [[] for _ in made.counts]
+            for width, at, found in window_keys(made, sorted(set(size.tolist()) - {0})):
+                owner = np.searchsorted(begins + made.counts, at, side="right")
+                for i, place, key in zip(owner.tolist(), at.tolist(), found.view(np.int64).tolist(), strict=True):
+                    if size[i] == width:
+                        keys[i].append(key)
+                        places[i].append(place - int(begins[i]))
+            words = [[made.cores[c] for c in made.codes[b : b + n]] for b, n in zip(begins, made.counts, strict=True)]
+            kinds = [made.kind[b : b + n].tolist() for b, n in zip(begins, made.counts, strict=True)]
+            ints, texts = pa.list_(pa.int32()), pa.list_(pa.string())
+            columns = [pa.array(kinds, ints), pa.array(words, texts), pa.array(size, pa.int32()), pa.array(keys, pa.list_(pa.int64())), pa.array(places, ints)]
+            yield pa.RecordBatch.from_arrays([piece.column(0), *columns], names=["item", "kinds", "words", "size", "keys", "places"])
+
+    kind = StructType([StructField("item", benchmark.schema["item"].dataType), *StructType.fromDDL(ITEM).fields])
+    return cut(benchmark.mapInArrow(run, kind).filter("size > 0").withColumn("item_no", F.monotonically_increasing_id()), "items")
+
+
+class KeyFilter:
+    """A Bloom filter of ``2 ** power`` bits, two of them for each window key."""
+
+    CHUNK = 1 << 16
+
+    def __init__(self, power: int):
+        self.power, self.shift, self.bits = power, np.uint64(64 - power), np.zeros(1 << power - 3, np.uint8)
+
+    def places(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return keys >> self.shift, (keys * A.MULTIPLIER) >> self.shift
+
+    def add(self, keys: np.ndarray) -> None:
+        for at in self.places(keys):
+            np.bitwise_or.at(self.bits, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+
+    def may_hold(self, keys: np.ndarray) -> np.ndarray:
+        held = np.ones(len(keys), bool)
+        for at in self.places(keys):
+            held &= (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+        return held
+
+    def chunks(self) -> Iterator[tuple[int, bytes]]:
+        for lo in range(0, len(self.bits), self.CHUNK):
+            part = self.bits[lo : lo + self.CHUNK]
+            if part.any():
+                yield lo, part.tobytes()
+
+    def merge(self, lo: int, raw: bytes) -> None:
+        self.bits[lo : lo + len(raw)] |= np.frombuffer(raw, np.uint8)
+
+
+def _filter_of(windows: DataFrame, most_bits: int) -> KeyFilter:
+    """The filter of all keys, made in the tasks; the driver joins their bits one piece after the other."""
+    power = min(most_bits, max(19, (windows.count() * BITS_A_KEY).bit_length()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = KeyFilter(power)
+        for batch in batches:
+            own.add(batch.column(0).to_numpy().view(np.uint64))
+        for lo, raw in own.chunks():
+            yield pa.record_batch([pa.array([lo], pa.int64()), pa.array([raw], pa.binary())], names=["lo", "raw"])
+
+    bits = KeyFilter(power)
+    for row in windows.select("key").mapInArrow(run, "lo long, raw binary").toLocalIterator():
+        bits.merge(row.lo, row.raw)
+    return bits
+
+
+def _hits(docs: DataFrame, wanted: KeyFilter, sizes: list[int]) -> DataFrame:
+    """``(row, doc_id, word, key, heard)``: windows of documents whose key the filter may hold, with their words. One scan."""
+    held = docs.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 33
+        for piece in A.pieces(batches, "text"):
+            made = canonical(piece.column(1))
+            ends = np.cumsum(made.counts)
+            for size, at, keys in window_keys(made, sizes):
+                hit = held.value.may_hold(keys)
+                at, keys = at[hit], keys[hit]
+                doc = np.searchsorted(ends, at, side="right")
+                heard = [[made.cores[c] for c in made.codes[a : a + size]] for a in at.tolist()]
+                if len(at):
+                    columns = [pa.array(row + doc), piece.column(0).take(pa.array(doc)), pa.array((at - (ends - made.counts)[doc]).astype(np.int32)), pa.array(keys.view(np.int64)), pa.array(heard, pa.list_(pa.string()))]
+                    yield pa.record_batch(columns, names=["row", "doc_id", "word", "key", "heard"])
+            row += piece.num_rows
+
+    head = [StructField("row", LongType()), StructField("doc_id", docs.schema["id"].dataType)]
+    return docs.mapInArrow(run, StructType([*head, *StructType.fromDDL("word int, key bigint, heard array<string>").fields]))
+
+
+def occurrences(pairs: list[tuple[int, int]], reach: int) -> Iterator[list[tuple[int, int]]]:
+    """Hits of an item of ``reach`` words that may be one occurrence, as (word, item's word).
+
+    First the runs whose words shift by a few places at most, then, where
+    there are several runs, from the start of each all hits within twice
+    the item's length: as many words as it has may stand in between.
+    """
+    pairs = sorted(set(pairs), key=lambda p: (p[0] - p[1], p[0]))
+    group: list[tuple[int, int]] = []
+    starts = []
+    for pair in pairs:
+        # Inserted or lost words shift the rest by a few places.
+        if group and pair[0] - pair[1] - (group[-1][0] - group[-1][1]) > max(2, reach // 8):
+            yield group
+            starts.append(min(group)[0])
+            group = []
+        group.append(pair)
+    yield group
+    if starts:
+        starts.append(min(group)[0])
+        pairs.sort()
+        words = [word for word, _ in pairs]
+        for start in sorted(set(starts)):
+            yield pairs[bisect_left(words, start) : bisect_left(words, start + 2 * reach)]
+
+
+def judge(size: int, kinds: list[int], own: list[str], pairs: list[tuple[int, int]], heard: dict[int, list[str]]) -> tuple[int, int, bool]:
+    """Windows that count, changed slots, and whether the occurrence is verbatim in them; ``heard`` has the words at each hit."""
+    votes: dict[tuple[int, str], Counter] = defaultdict(Counter)
+    seen = set()
+    for word, place in pairs:
+        for k in range(size):
+            if kinds[place + k] != LITERAL and (word + k, place + k) not in seen:
+                seen.add((word + k, place + k))
+                votes[kinds[place + k], own[place + k]][heard[word][k]] += 1
+    usual = {slot: min(c, key=lambda v: (-c[v], v != slot[1], v)) for slot, c in votes.items()}
+    counted = {
+        place
+        for word, place in pairs
+        if all(kinds[place + k] == LITERAL or usual[kinds[place + k], own[place + k]] == heard[word][k] for k in range(size))
+    }
+    changed = sum(value != slot[1] for slot, value in usual.items())
+    return len(counted), changed, changed == 0
+
+
+FOUND = "n_windows int, matched int, coverage double, kind string"
+
+
+def _judged(met: DataFrame, coverage: float) -> DataFrame:
+    """The best occurrence of each document and item whose hits cover enough of it."""
+    kind = StructType([met.schema["doc_id"], StructField("item_id", met.schema["item"].dataType), *StructType.fromDDL(FOUND).fields])
+    item_type = to_arrow_type(met.schema["item"].dataType)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for i, (hits, kinds, own, size) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("hits", "kinds", "words", "size")), strict=True)):
+                total, best = len(own) - size + 1, None
+                heard = {h["word"]: h["heard"] for h in hits}
+                for pairs in occurrences([(h["word"], h["place"]) for h in hits], len(own)):
                     if len({place for _, place in pairs}) < coverage * total:
                         continue
-                    if words is None:
-                        words = [made.cores[c] for c in made.codes[begins[doc] : begins[doc] + made.counts[doc]]]
-                    counted, changed, verbatim = items.judge(item, pairs, words)
+                    counted, _, verbatim = judge(size, kinds, own, pairs, heard)
                     if counted >= coverage * total:
                         row = (total, counted, counted / total, "verbatim" if verbatim else "reparameterised")
-                        rows[doc, item] = max(rows.get((doc, item), row), row, key=lambda r: (r[1], r[3]))
+                        best = max(best or row, row, key=lambda r: (r[1], r[3]))
+                if best:
+                    rows.append((i, *best))
             if rows:
-                ids = piece.column(0).take(pa.array([doc for doc, _ in rows]))
-                columns = [ids, pa.array([items.ids[item] for _, item in rows], arrow_item)]
-                kinds = (pa.int32(), pa.int32(), pa.float64(), pa.string())
-                columns += [pa.array(c, k) for c, k in zip(zip(*rows.values(), strict=True), kinds, strict=True)]
-                yield pa.record_batch(columns, names=kind.names)
+                at, *values = zip(*rows, strict=True)
+                kinds_of = (pa.int32(), pa.int32(), pa.float64(), pa.string())
+                ids = [batch.column("doc_id").take(pa.array(at)), batch.column("item").take(pa.array(at)).cast(item_type)]
+                yield pa.record_batch([*ids, *[pa.array(v, k) for v, k in zip(values, kinds_of, strict=True)]], names=kind.names)
 
-    return docs.mapInArrow(run, kind)
+    return met.select("doc_id", "item", "hits", "kinds", "words", "size").mapInArrow(run, kind)
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", coverage: float = COVERAGE, block_bytes: int = BLOCK_BYTES
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", coverage: float = COVERAGE, most_bits: int = MOST_BITS
 ) -> DataFrame:
     """``(doc_id, item_id, n_windows, matched, coverage, kind)``: a row for each document and benchmark item found in it.
 
-    Whole texts of all documents are searched and nothing of them is
-    shuffled. The benchmark is cut into blocks of about ``block_bytes`` by a
-    hash of its rows, and each block is sent to all tasks; a benchmark of any
-    size is searched whole, a block after the other. Items without a word
-    are never found; an item shorter than a window is one window. Null texts
-    have no words. Rows that repeat a doc_id have a row each; rows that
-    repeat an item too. Empty tables give no rows.
+    Whole texts of all documents are scanned once, whatever the size of the
+    benchmark: a filter of at most ``2 ** most_bits`` bits keeps windows that
+    may be the benchmark's, and these are joined with its windows by hash.
+    Items without a word are never found; an item shorter than a window is one
+    window. Null texts have no words. Rows that repeat a doc_id have a row
+    each; rows that repeat an item too. Empty tables give no rows.
     """
-    size = benchmark.select(F.sum(F.octet_length(item_text_col)).alias("n")).first().n or 0
-    blocks = max(1, -(-size // block_bytes))
-    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    listed = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text"), F.pmod(F.xxhash64(item_col, item_text_col), F.lit(blocks)).alias("block"))
-    found = []
-    for block in range(blocks):
-        rows = listed.filter(F.col("block") == block).select("item", "text").collect()  # about block_bytes
-        items = Items([r.item for r in rows], [r.text for r in rows])
-        hits = _search(named, items, benchmark.schema[item_col].dataType, coverage)
-        found.append(hits if blocks == 1 else cut(hits, "contaminated"))
-    return reduce(DataFrame.unionByName, found).select("doc_id", "item_id", "n_windows", "matched", "coverage", "kind")
+    items = _items(benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text")))
+    windows = items.select("item_no", "size", F.explode(F.arrays_zip("keys", "places")).alias("w")).select("item_no", "size", F.col("w.keys").alias("key"), F.col("w.places").alias("place"))
+    windows = cut(windows, "item-windows")
+    sizes = sorted(r.size for r in windows.select("size").distinct().collect())  # WINDOW rows at most
+    wanted = _filter_of(windows, most_bits)
+    hits = cut(_hits(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), wanted, sizes), "window-hits")
+    met = lookup(hits.withColumnRenamed("key", "met"), windows.drop("size"), "met", "key", how="inner", unique=False)
+    per_item = met.groupBy("row", "doc_id", "item_no").agg(F.collect_list(F.struct("word", "place", "heard")).alias("hits"), F.count_distinct("place").alias("n"))
+    known = items.select(F.col("item_no").alias("no"), "item", "kinds", "words", "size")
+    enough = lookup(per_item, known, "item_no", "no", how="inner").filter(F.col("n") >= F.lit(coverage) * (F.size("words") - F.col("size") + 1))
+    return _judged(enough, coverage)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -215,8 +215,9 @@ def test_reparameterised_questions_are_found(spark):
     }
     docs = spark.createDataFrame([*((i, t, 1) for i, t in texts.items()), (1, QUESTION, 1), (None, QUESTION, 1)], "doc_id long, text string, item_id int")
     bench = spark.createDataFrame([(1, QUESTION, 0), (2, None, 0), (3, "", 0), (4, "short one", 0), (5, "1 2 3 4 5 6", 0), (1, QUESTION, 0)], "item_id long, text string, doc_id int")
-    for block_bytes in (1 << 20, 60):
-        rows = templates.contaminated(docs, bench, block_bytes=block_bytes).collect()
+    # Four bits in all let every window pass the filter; the join alone decides then.
+    for most_bits in (28, 10, 3):
+        rows = templates.contaminated(docs, bench, most_bits=most_bits).collect()
         kinds = {(r.doc_id, r.item_id): r.kind for r in rows}
         assert kinds == {(1, 1): "verbatim", (2, 1): "verbatim", (3, 1): "reparameterised", (8, 1): "verbatim", (11, 1): "verbatim", (9, 4): "verbatim", (None, 1): "verbatim"}
         assert sum(r.doc_id == 1 for r in rows) == 4
