@@ -185,7 +185,9 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     idf = np.log((1.0 + total) / (1.0 + frequency)) + 1.0
     # A few rows for each language: that many are sent to every task.
     drawn = F.broadcast(balanced_sample(rows, "id", "lang", per_lang))
-    sample = rows.join(drawn, (F.col("id") == F.col("key")) & (F.col("lang") == F.col("label"))).select("text", "label", "salt").dropDuplicates(["label", "salt"])
+    sample = rows.join(drawn, (F.col("id") == F.col("key")) & (F.col("lang") == F.col("label")))
+    # Of rows that repeat an id the one with the smallest hash, so that a second training draws the same.
+    sample = sample.groupBy("label", "salt").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select("text", "label", "salt")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in A.pieces(batches, "text"):

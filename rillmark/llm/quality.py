@@ -167,7 +167,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
             made = pa.array(list(statistics(piece.column(2))), pa.list_(pa.float64()))
             yield pa.record_batch([piece.column(0), piece.column(1), made], names=["label", "salt", "stats"])
 
-    found = sample.select("label", "salt", "text").mapInArrow(run, kind).dropDuplicates(["label", "salt"]).collect()
+    # Of rows that repeat an id the one with the smallest hash, so that a second training draws the same.
+    first = sample.groupBy("label", "salt").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    found = first.select("label", "salt", "text").mapInArrow(run, kind).collect()
     found.sort(key=lambda r: (r.label, r.salt))
     x = np.array([r.stats for r in found]).reshape(-1, len(STATISTICS))
     y = np.array([r.label for r in found], float)

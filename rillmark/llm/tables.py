@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyarrow.fs import FileSystem, LocalFileSystem
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillmark.session import scratch_dir
@@ -24,6 +24,13 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def store_uri(spark: SparkSession, folder: str) -> str:
+    """A folder as Spark resolves it, so that tasks that open it themselves reach the cluster's default store too."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return folder if uri.startswith("file:") else uri
+
+
 def open_store(uri: str) -> tuple[FileSystem, str]:
     """File system and path of a folder or file that tasks write or read by themselves."""
     return FileSystem.from_uri(uri) if ":/" in uri else (LocalFileSystem(), uri)

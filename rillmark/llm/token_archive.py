@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rillmark.llm import arrays as A
-from rillmark.llm.tables import open_store
+from rillmark.llm.tables import open_store, store_uri
 from rillmark.session import scratch_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -37,8 +37,10 @@ END_ID = 1
 FRAME_IDS = 1 << 20
 FILE_BYTES = 32 << 20
 LEVEL = 3
-#: Words whose ids a worker remembers; others are encoded again in each piece.
-MEMO_WORDS = 500_000
+#: Bytes of words and ids that a worker remembers; other words are encoded again in each piece.
+MEMO_BYTES = 96 << 20
+#: What a remembered word costs besides its bytes and ids.
+ENTRY_BYTES = 160
 #: Plain words of one library call.
 TOGETHER = 64
 PLAIN_WORD = r"^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?$"
@@ -50,7 +52,7 @@ CHECKSUM_FLAG = 0x80
 
 
 class WordEncoder:
-    """Ids of words by the tokenizers library; remembers the first ``MEMO_WORDS`` words of a worker.
+    """Ids of words by the tokenizers library; remembers the first words of a worker, up to ``MEMO_BYTES``.
 
     Plain words (letters, one trailing point or comma) have a known number of
     word ends, so many go through the library in one call, a space between
@@ -64,6 +66,7 @@ class WordEncoder:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
         self.memo: dict[bytes, int] = {}
+        self.room = MEMO_BYTES
         self.sizes, self.begins, self.flat = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
 
     def __call__(self, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,7 +77,9 @@ class WordEncoder:
         sizes, begins, flat = self._encode(vocab.take(pa.array(missing)))
         all_sizes, all_begins, all_flat = (np.concatenate(x) for x in ((self.sizes, sizes), (self.begins, begins + len(self.flat)), (self.flat, flat)))
         known[missing] = len(self.sizes) + np.arange(len(missing))
-        spare = min(max(0, MEMO_WORDS - len(self.memo)), len(missing))
+        cost = np.cumsum(np.fromiter((len(distinct[i]) for i in missing), np.int64, len(missing)) + 4 * sizes + ENTRY_BYTES)
+        spare = int(np.searchsorted(cost, self.room, side="right"))
+        self.room -= int(cost[spare - 1]) if spare else 0
         if spare:
             self.memo.update(zip(map(distinct.__getitem__, missing[:spare].tolist()), range(len(self.sizes), len(self.sizes) + spare), strict=True))
             used = len(self.sizes) + spare
@@ -194,6 +199,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, id_col: str
     that runs again writes the same bytes under a name of its own and moves
     them into place. No rows: no file.
     """
+    folder = store_uri(docs.sparkSession, folder)
     size = docs.select(F.sum(F.octet_length(text_col)).alias("n")).first().n or 0
     parts = max(1, -(-size // file_bytes), docs.sparkSession.sparkContext.defaultParallelism)
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tie"))

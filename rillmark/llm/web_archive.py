@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillmark.llm.tables import open_store
+from rillmark.llm.tables import open_store, store_uri
 from rillmark.session import scratch_dir
 
 LEAST_BYTES = 1000
@@ -181,6 +181,7 @@ def write_pages(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     table of repeated payloads has a row for each; a payload that a third of
     all pages share is met map-side and its join is split. No rows: no file.
     """
+    folder = store_uri(pages.sparkSession, folder)
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), payload.alias("payload"))
     rows = rows.withColumns({"sha1": F.unhex(F.sha1("payload")), "sha2": F.sha2("payload", 256), "size": F.octet_length("payload")})

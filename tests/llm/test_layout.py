@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rillmark.llm import components, language, quality, repeats
+from rillmark.llm import components, language, quality, repeats, token_archive
+from rillmark.llm.tables import store_uri
 
 TEXT = " ".join(f"w{i % 40}" for i in range(60))
 
@@ -57,3 +60,33 @@ def test_last_stage_keeps_clashing_columns(spark):
     got = corpus_pipeline.sentencepiece(spark, docs, "")
     assert got.columns == [*docs.columns, "ids_", "n_pieces_"]
     assert [(r.ids, r.n_pieces, r.decoded, r.text) for r in got.orderBy("doc_id").collect()] == [("mine", 5, "d", "some text"), (None, 6, "d", None)]
+
+
+def test_word_memo_is_bounded_by_bytes():
+    encoder = token_archive.WordEncoder(public_tokenizers.path(token_archive.TOKENIZER))
+    encoder.room = 2000
+    words = pa.array([("x" * 300 + str(i)).encode() for i in range(20)] + [b"short", b"plain,"], pa.large_binary())
+    first, again = encoder(words), encoder(words.take(pa.array(range(22))[::-1]))
+    assert 0 < len(encoder.memo) < 8 and encoder.room >= 0
+    for i in range(22):
+        a = first[2][first[1][i] :][: first[0][i]]
+        b = again[2][again[1][21 - i] :][: again[0][21 - i]]
+        assert a.tolist() == b.tolist() == encoder.tokenizer.encode(words[i].as_py().decode(), add_special_tokens=False).ids
+
+
+def test_folders_are_resolved_as_spark_does(spark, tmp_path):
+    assert store_uri(spark, str(tmp_path)) == str(tmp_path)
+    assert store_uri(spark, f"file://{tmp_path}/x") == f"file://{tmp_path}/x"
+
+
+def test_samples_of_repeated_ids_do_not_depend_on_the_layout(spark):
+    rows = [(i % 7, f"der die das {i} und", "de" if i % 2 else "en", i % 2) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, q int")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(7)], "doc_id long, quality int, toxic int")
+    texts = spark.createDataFrame([(0, "die das und 5")], "doc_id long, text string")
+    seen = set()
+    for parts in (1, 5):
+        mixed = docs.repartition(parts, "text")
+        said = language.predict(texts, language.train(mixed, F.lit(True))).first()
+        seen.add((said.lang_pred, said.score, quality.score(texts, quality.train(mixed, labels, F.lit(True))).first().score))
+    assert len(seen) == 1
