@@ -323,3 +323,18 @@ def test_pipeline_stages(spark, sf_dir):
             assert sorted((r.doc_id or -1, r.text or "") for r in rows) == sorted((r.doc_id or -1, r.text or "") for r in docs.collect())
         docs = spark.createDataFrame(rows, out.schema)
     assert len(rows) > 50
+
+
+def test_pipeline_run_is_its_stages_one_after_the_other(spark, sf_dir):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = docs.count()
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf_dir)
+        docs = spark.createDataFrame(out.collect(), out.schema)
+        assert 0 < docs.count() <= kept, name
+        kept = docs.count()
+    got = corpus_pipeline.run(spark, sf_dir)
+    assert got.columns == docs.columns
+    assert oracle.difference(oracle.spark_bag(got.withColumn("ids", F.xxhash64("ids"))), oracle.spark_bag(docs.withColumn("ids", F.xxhash64("ids")))) is None
