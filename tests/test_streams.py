@@ -161,6 +161,22 @@ def test_topics_round_trip(spark, tmp_path):
     assert [topics.topic_table(spark, t, root).first()[0] for t in ("copy", "other")] == ["b", "b"]
 
 
+def test_topic_positions_are_unique_and_keep_file_order(spark, tmp_path):
+    """Many tasks write at the same time; each record has a position of its own, in the order of its file."""
+    root = str(tmp_path / "topics")
+    for start in (0, 4000):
+        topics.append_topic(spark.range(start, start + 4000, 1, 32).select(F.col("id").cast("string").alias("value")), "raw", root)
+    stream = topics.topic_source(spark, "raw", root=root)
+    jobs.drain(jobs.start(stream.select("value", "position"), str(tmp_path / "job"), **NOW))
+    rows = sorted((r.position, int(r.value)) for r in spark.read.parquet(str(tmp_path / "job/out")).collect())
+    assert len({p for p, _ in rows}) == len(rows) == 8000
+    by_file = {}
+    for position, value in rows:
+        by_file.setdefault(position[:-21], []).append(value)
+    assert len(by_file) == 64 and all(v == sorted(v) for v in by_file.values())
+    assert {v for _, v in rows[:4000]} == set(range(4000))
+
+
 def _collect(spark, tmp_path, df):
     jobs.drain(jobs.start(df, str(tmp_path / "job"), **NOW))
     return spark.read.parquet(str(tmp_path / "job/out")).collect()
