@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 import io
 import math
-import random
 import re
 import struct
 import zipfile
