@@ -167,7 +167,7 @@ def expired_state_stream(spark: SparkSession, d: str) -> DataFrame:
     jobs.run_batches(found, job, 2)
     jobs.drain(jobs.start(found, job, **NOW))
     reader = spark.read.format("statestore").option("path", f"{job}/checkpoint").option("stateVarName", "days")
-    marks = reader.load().select(F.col("key.user_id").alias("user_id"), F.col("user_map_key.day_end").alias("day_end"))
+    marks = reader.load().select(F.inline(F.arrays_zip("value.user_id", "value.day_end")))
     n = spark.read.schema(found.schema).parquet(f"{job}/out").groupBy("user_id").agg(F.count(F.lit(1)).alias("days_seen"))
     return marks.join(n, "user_id").select("user_id", F.floor(F.col("day_end") / 1000).alias("day_end"), "days_seen")
 

@@ -7,20 +7,19 @@ has passed is complete on either side. Payloads are JSON text.
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections.abc import Iterator
 from datetime import timedelta
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from rillmark.functions.times import as_interval, epoch_micros, micros
-from rillmark.streaming.processors import run_processor
+from rillmark.streaming.processors import Table, firsts, kinds, numbered, plain, run_processor, set_timer, stacked, with_groups
 
 LEFT, RIGHT = "left", "right"
-ROW = "at bigint, pos bigint, payload string"
 
 
 def tagged(df: DataFrame, side: str, key: Column, ts: str, pos: Column, payload: Column, bound: timedelta) -> DataFrame:
@@ -31,24 +30,25 @@ def tagged(df: DataFrame, side: str, key: Column, ts: str, pos: Column, payload:
 
 
 class _TwoInputs(StatefulProcessor):
+    def __init__(self, keys: dict[str, str]):
+        self.names = list(keys)
+        self.columns = {**keys, "at": "bigint", "pos": "bigint", "payload": "string"}
+
+    def _added(self, held: pd.DataFrame, batch: pd.DataFrame, side: str) -> pd.DataFrame:
+        """Held rows and the batch's of one side."""
+        part = batch[(batch["side"] == side) & batch["at_us"].notna() & batch["pos"].notna()]
+        named = part.rename(columns={"at_us": "at"})[list(self.columns)].astype({"at": "int64", "pos": "int64"})
+        return stacked([held, named])
+
     def _due(self, at: int | None, timerValues) -> None:
-        """One timer, for the first time (in microseconds) that something is to be decided."""
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if at is not None:
-            self.handle.registerTimer(max(-(-at // 1000), timerValues.getCurrentWatermarkInMs() + 1))
-
-    def _append(self, rows: Iterator[pd.DataFrame], left, right) -> None:
-        for batch in rows:
-            batch = batch[batch["at_us"].notna() & batch["pos"].notna()]
-            for side, held in ((LEFT, left), (RIGHT, right)):
-                part = batch[batch["side"] == side]
-                if len(part):
-                    text = part["payload"].astype(object).where(part["payload"].notna(), None)
-                    held.appendList([(int(a), int(p), t) for a, p, t in zip(part["at_us"], part["pos"], text, strict=True)])
+        """The timer, for the first time (in microseconds) that something is to be decided."""
+        set_timer(self.handle, None if at is None else max(-(-int(at) // 1000), timerValues.getCurrentWatermarkInMs() + 1))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        yield from self._settle(pd.concat(list(rows), ignore_index=True), timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._settle(key, timerValues)
+        yield from self._settle(None, timerValues)
 
     def close(self) -> None:
         pass
@@ -64,27 +64,30 @@ class AsOfJoin(_TwoInputs):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.versions, self.waiting = handle.getListState("versions", ROW), handle.getListState("waiting", ROW)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        self._append(rows, self.versions, self.waiting)
-        yield from self._settle(key, timerValues)
+        self.versions, self.waiting = Table(handle, "versions", self.columns), Table(handle, "waiting", self.columns)
 
-    def _settle(self, key, timerValues) -> Iterator[pd.DataFrame]:
+    def _settle(self, batch: pd.DataFrame | None, timerValues) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs() * 1000
-        versions = sorted((tuple(v) for v in self.versions.get()), key=lambda v: v[:2])
-        waiting = sorted((tuple(w) for w in self.waiting.get()), key=lambda w: w[:2])
-        done = bisect_right([w[0] for w in waiting], mark)
-        times = [v[0] for v in versions]
+        versions, waiting = self.versions.read(), self.waiting.read()
+        if batch is not None:
+            versions, waiting = self._added(versions, batch, LEFT), self._added(waiting, batch, RIGHT)
+        group = numbered(stacked([versions, waiting])[self.names])
+        versions = versions.assign(group=group[: len(versions)]).sort_values(["at", "pos"], kind="stable", ignore_index=True)
+        waiting = waiting.assign(group=group[len(versions) :]).sort_values(["at", "pos"], kind="stable", ignore_index=True)
+        done = int((waiting["at"] <= mark).sum())
         if done:
-            found = [bisect_right(times, w[0]) for w in waiting[:done]]
-            out = [(key[0], w[1], w[2], versions[f - 1][2] if f else None) for w, f in zip(waiting, found, strict=False)]
-            yield pd.DataFrame(out, columns=["key", "pos", "payload", "version"])
-            _keep(self.waiting, waiting[done:])
-        in_force = bisect_right(times, mark)
-        if in_force > 1:
-            _keep(self.versions, versions[in_force - 1 :])
-        self._due(waiting[done][0] if done < len(waiting) else None, timerValues)
+            decided = waiting.iloc[:done]
+            found = np.full(done, -1)
+            if len(versions):
+                place = versions[["group", "at"]].assign(place=np.arange(len(versions)))
+                found = pd.merge_asof(decided[["group", "at"]], place, on="at", by="group")["place"].fillna(-1).to_numpy("int64")
+            payloads = np.array([*plain(versions["payload"]), None], dtype=object)
+            yield decided[[*self.names, "pos", "payload"]].assign(version=payloads[found])
+        passed = versions["at"] <= mark
+        newest = ~versions["group"].where(passed, -1).duplicated(keep="last")
+        self.versions.write(versions[~passed | newest])
+        self.waiting.write(waiting.iloc[done:])
+        self._due(waiting["at"].iloc[done] if done < len(waiting) else None, timerValues)
 
 
 class PairMatcher(_TwoInputs):
@@ -95,52 +98,48 @@ class PairMatcher(_TwoInputs):
     ``no_left`` or ``no_right``.
     """
 
-    def __init__(self, wait: timedelta):
+    def __init__(self, keys: dict[str, str], wait: timedelta):
+        super().__init__(keys)
         self.wait = micros(wait)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.left, self.right = handle.getListState("left", ROW), handle.getListState("right", ROW)
-        self.matched = handle.getValueState("matched", "n bigint")
+        self.left, self.right = Table(handle, "left", {**self.columns, "matched": "boolean"}), Table(handle, "right", self.columns)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        self._append(rows, self.left, self.right)
-        yield from self._settle(key, timerValues)
-
-    def _settle(self, key, timerValues) -> Iterator[pd.DataFrame]:
+    def _settle(self, batch: pd.DataFrame | None, timerValues) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs() * 1000
-        left = sorted((tuple(x) for x in self.left.get()), key=lambda x: x[:2])[:1]
-        right = sorted((tuple(x) for x in self.right.get()), key=lambda x: x[:2])
-        matched, out, rest = self.matched.get()[0] if self.matched.exists() else 0, [], []
-        for row in right:
-            if left and abs(row[0] - left[0][0]) <= self.wait:
-                out.append((key[0], "match", row[1], left[0][2], row[2]))
-                matched += 1
-            elif row[0] + self.wait < mark:
-                out.append((key[0], "no_left", row[1], None, row[2]))
-            else:
-                rest.append(row)
-        if left and left[0][0] + self.wait < mark:
-            if not matched:
-                out.append((key[0], "no_right", left[0][1], left[0][2], None))
-            left, matched = [], 0
-        _keep(self.left, left)
-        _keep(self.right, rest)
-        if matched:
-            self.matched.update((matched,))
-        else:
-            self.matched.clear()
-        held = [*left, *rest]
-        self._due(min(x[0] for x in held) + self.wait + 1 if held else None, timerValues)
-        if out:
-            yield pd.DataFrame(out, columns=["key", "kind", "pos", "left", "right"])
-
-
-def _keep(state, rows: list[tuple]) -> None:
-    if rows:
-        state.put(rows)
-    else:
-        state.clear()
+        left, right = self.left.read(), self.right.read()
+        if batch is not None:
+            left, right = self._added(left, batch, LEFT), self._added(right, batch, RIGHT)
+        group = numbered(stacked([left, right])[self.names])
+        matched = np.zeros(int(group.max(initial=-1)) + 1, bool)
+        met = left["matched"].eq(True) if "matched" in left else np.zeros(len(left), bool)
+        matched[group[: len(left)][np.asarray(met)]] = True
+        left, right = left.assign(group=group[: len(left)]), right.assign(group=group[len(left) :])
+        left = left.sort_values(["at", "pos"], kind="stable").drop_duplicates("group").reset_index(drop=True)
+        right = right.sort_values(["at", "pos"], kind="stable", ignore_index=True)
+        partner = np.full(len(matched), -1)
+        partner[left["group"]] = np.arange(len(left))
+        found, at = partner[right["group"].to_numpy()], right["at"].to_numpy("int64")
+        times = np.r_[left["at"].to_numpy("int64"), 0]
+        pair = (found >= 0) & (np.abs(at - times[found]) <= self.wait)
+        alone = ~pair & (at + self.wait < mark)
+        matched[right["group"][pair]] = True
+        over = (left["at"] + self.wait < mark).to_numpy(bool)
+        met = matched[left["group"]]
+        self.left.write(left.assign(matched=met)[~over])
+        self.right.write(right[~pair & ~alone])
+        held = np.r_[times[:-1][~over], at[~pair & ~alone]]
+        self._due(held.min() + self.wait + 1 if len(held) else None, timerValues)
+        payloads = np.array([*plain(left["payload"]), None], dtype=object)
+        yield from self._rows("match", right[pair], payloads[found[pair]], right["payload"][pair])
+        yield from self._rows("no_left", right[alone], None, right["payload"][alone])
+        yield from self._rows("no_right", left[over & ~met], left["payload"][over & ~met], None)
+
+    def _rows(self, kind: str, rows: pd.DataFrame, left, right) -> Iterator[pd.DataFrame]:
+        if len(rows):
+            made = rows[[*self.names, "pos"]].assign(kind=kind)
+            yield made.assign(left=left, right=right).astype({"left": object, "right": object})
 
 
 class SnapshotHandover(StatefulProcessor):
@@ -152,47 +151,63 @@ class SnapshotHandover(StatefulProcessor):
     what came before (a log read again) is dropped.
     """
 
-    def __init__(self, key: str):
-        self.key = key
+    def __init__(self, keys: dict[str, str]):
+        self.keys, self.names = keys, list(keys)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.held = handle.getValueState("held", "position bigint, image string")
+        self.held = Table(handle, "held", {**self.keys, "position": "bigint", "image": "string"})
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        row = initialState.sort_values("position").iloc[-1]
-        self.held.update((int(row["position"]), row["image"]))
+        rows = stacked([self.held.read(), initialState[list(self.held.columns)]]).sort_values("position", kind="stable")
+        self.held.write(rows.drop_duplicates(self.names, keep="last"))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("position", kind="stable")
-        last, image = self.held.get() if self.held.exists() else (None, None)
-        out = []
-        for position, cut, kind, after in zip(batch["position"], batch["cut"], batch["type"], batch["image"], strict=True):
-            if position <= cut or last is not None and position <= last:
-                continue
-            after = None if kind == "delete" or pd.isna(after) else after
-            out.append((key[0], int(position), kind, image, after))
-            last, image = int(position), after
-        if out:
-            self.held.update((last, image))
-            yield pd.DataFrame(out, columns=[self.key, "position", "type", "before", "after"])
+        batch = pd.concat(list(rows), ignore_index=True).sort_values("position", kind="stable", ignore_index=True)
+        batch = batch[~(batch["position"] <= batch["cut"])]
+        held = self.held.read()
+        names, group = with_groups(held, batch, self.names)
+        new = len(names) - len(held)
+        last = np.r_[held["position"].to_numpy("int64"), np.full(new, np.iinfo("int64").min)]
+        image = np.array([*plain(held["image"]), *[None] * new], dtype=object)
+        position = batch["position"].to_numpy("int64")
+        fresh = (position > last[group]) & ~pd.DataFrame({"group": group, "position": position}).duplicated().to_numpy()
+        by_key = np.flatnonzero(fresh)[np.argsort(group[fresh], kind="stable")]
+        if not len(by_key):
+            return
+        batch, group, position = batch.iloc[by_key].reset_index(drop=True), group[by_key], position[by_key]
+        after = np.array(plain(batch["image"].where(batch["type"] != "delete")), dtype=object)
+        before = np.where(firsts(group), image[group], np.r_[np.array([None], object), after[:-1]])
+        last[group], image[group] = position, after  # of several the last one stays
+        self.held.write(names.assign(position=last, image=image))
+        yield batch[[*self.names, "position", "type"]].assign(before=before, after=after)
 
     def close(self) -> None:
         pass
 
 
-def _both(left: DataFrame, right: DataFrame, processor: StatefulProcessor, schema: str) -> DataFrame:
-    key = left.schema["key"].dataType.simpleString()
-    return run_processor(left.unionByName(right), "key", processor, f"key {key}, {schema}", "EventTime")
+#: Copies that :func:`as_of_join` makes of each version, so that a key's rows are the work of as many tasks.
+SPREAD = 64
+
 
+def _both(left: DataFrame, right: DataFrame, keys: list[str], processor: StatefulProcessor, schema: str) -> DataFrame:
+    return run_processor(left.unionByName(right), keys, processor, f"key {left.schema['key'].dataType.simpleString()}, {schema}", "EventTime")
 
-def as_of_join(versions: DataFrame, rows: DataFrame) -> DataFrame:
-    """``(key, pos, payload, version)`` of tagged streams; ``version`` is NULL where none was in force."""
-    return _both(versions, rows, AsOfJoin(), "pos bigint, payload string, version string")
+
+def as_of_join(versions: DataFrame, rows: DataFrame, spread: int = SPREAD) -> DataFrame:
+    """``(key, pos, payload, version)`` of tagged streams; ``version`` is NULL where none was in force.
+
+    Rows do not depend on each other, so a key's are dealt by their ``pos``
+    over ``spread`` parts, each of which has all of the key's versions.
+    """
+    copies = versions.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("pos"), F.lit(spread)).cast("int"))
+    keys = ["key", "part"]
+    return _both(copies, dealt, keys, AsOfJoin(kinds(copies, keys)), "pos bigint, payload string, version string")
 
 
 def match_pairs(left: DataFrame, right: DataFrame, wait: timedelta) -> DataFrame:
     """``(key, kind, pos, left, right)`` of tagged streams, ``kind`` being match, no_left or no_right."""
-    return _both(left, right, PairMatcher(wait), "kind string, pos bigint, left string, right string")
+    return _both(left, right, ["key"], PairMatcher(kinds(left, ["key"]), wait), "kind string, pos bigint, left string, right string")
 
 
 def after_snapshot(changes: DataFrame, snapshot: DataFrame, key: str) -> DataFrame:
@@ -202,4 +217,4 @@ def after_snapshot(changes: DataFrame, snapshot: DataFrame, key: str) -> DataFra
     """
     kind = changes.schema[key].dataType.simpleString()
     schema = f"`{key}` {kind}, position bigint, type string, before string, after string"
-    return run_processor(changes, key, SnapshotHandover(key), schema, initial=snapshot)
+    return run_processor(changes, key, SnapshotHandover(kinds(changes, [key])), schema, initial=snapshot)
