@@ -66,6 +66,14 @@ def plain(values: pd.Series) -> list:
     return values.tolist() if known.all() else values.astype(object).where(known, None).tolist()
 
 
+def exact(values: pd.Series, kind: str) -> list:
+    """Values of the kind's own Python type: the state store reads 96.0 as no whole number, and a column with NULLs may hold it so."""
+    if kind in WHOLE or kind in ("double", "float"):
+        of = int if kind in WHOLE else float
+        return [None if v is None else of(v) for v in plain(values)]
+    return plain(values)
+
+
 def stacked(parts: list[pd.DataFrame]) -> pd.DataFrame:
     """Frames one below the other; empty ones do not decide the types."""
     some = [part for part in parts if len(part)]
@@ -101,7 +109,7 @@ class Table:
 
     def write(self, rows: pd.DataFrame) -> None:
         if len(rows):
-            self.state.update(tuple(plain(rows[c]) for c in self.columns))
+            self.state.update(tuple(exact(rows[c], kind) for c, kind in self.columns.items()))
         else:
             self.state.clear()
 

@@ -58,6 +58,15 @@ def test_a_key_with_many_rows_is_the_work_of_many_tasks(spark, tmp_path):
     assert held.count() > 10 and len(got) + held.agg(F.sum(F.size("value.at"))).first()[0] == 500
 
 
+def test_a_null_key_leaves_the_keys_of_its_bucket_whole(spark, tmp_path):
+    """Beside a NULL, whole numbers come as floats; the state must hold them as whole numbers."""
+    rows = [[(k, None if k % 3 == 0 else k, b, 1) for k in range(600)] for b in range(3)]
+    out = stateful.running_reduce(feed(spark, str(tmp_path / "in"), rows, SECONDS), ["k"], ["sec", "id"], ["id"], stateful.CountSum("v"))
+    got, _ = run(spark, tmp_path, out)
+    assert {(r.k, r.id, r.n) for r in got if r.k is not None} == {(k, k, b) for k in range(600) if k % 3 for b in (1, 2, 3)}
+    assert sorted(r.n for r in got if r.k is None) == list(range(1, 601))
+
+
 class Product(stateful.Accumulator):
     """A user's accumulator without group methods."""
 
