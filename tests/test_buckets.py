@@ -67,6 +67,19 @@ def test_a_null_key_leaves_the_keys_of_its_bucket_whole(spark, tmp_path):
     assert sorted(r.n for r in got if r.k is None) == list(range(1, 601))
 
 
+def test_stores_of_an_executor_share_bounded_memory(spark):
+    from rillmark.plans.stream_queries import with_local_state
+    from rillmark.session import BOUND_MB, BOUND_MB_CONF, BOUNDED_CONF
+
+    before = {k: spark.conf.get(k, None) for k in (BOUNDED_CONF, BOUND_MB_CONF)}
+    spark.conf.unset(BOUNDED_CONF)
+    try:
+        assert with_local_state(lambda s, d: (s.conf.get(BOUNDED_CONF), s.conf.get(BOUND_MB_CONF)))(spark, "") == ("true", BOUND_MB)
+    finally:
+        spark.conf.set(BOUNDED_CONF, before[BOUNDED_CONF])
+    assert {k: spark.conf.get(k, None) for k in before} == before
+
+
 class Product(stateful.Accumulator):
     """A user's accumulator without group methods."""
 
