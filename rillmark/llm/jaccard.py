@@ -14,7 +14,7 @@ keys and yet stay below the bound cost the square of their number in products.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -86,18 +86,19 @@ def band_keys(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return keys ^ (keys >> np.uint64(29))
 
 
-def set_rows(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE) -> DataFrame:
-    """``(id, fp, n, keys)``, one row for each document: digest and size of its set, and its band keys."""
+def set_rows(docs: DataFrame, id_col: str, text_col: str, size: int, fingerprints: Callable[[pa.Array, int], np.ndarray]) -> DataFrame:
+    """``(id, fp, n, keys, bits)``, one row for each document: digest and size of its set, its band keys, and its fingerprint by the given function."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in A.pieces(batches, "text"):
             hashes, counts = shingle_sets(piece.column(1), size)
             ends = np.cumsum((counts > 0) * BANDS)
             keys = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(band_keys(hashes, counts).view(np.int64).ravel()))
-            yield pa.record_batch([piece.column(0), pa.array(set_prints(hashes, counts).view(np.int64)), pa.array(counts, pa.int64()), keys], names=["id", "fp", "n", "keys"])
+            digests, bits = (pa.array(x.view(np.int64)) for x in (set_prints(hashes, counts), fingerprints(piece.column(1), size)))
+            yield pa.record_batch([piece.column(0), digests, pa.array(counts, pa.int64()), keys, bits], names=["id", "fp", "n", "keys", "bits"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, fp long, n long, keys array<long>")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, fp long, n long, keys array<long>, bits long")
 
 
 def _sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:

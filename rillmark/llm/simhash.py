@@ -116,21 +116,35 @@ def links(distinct: DataFrame) -> DataFrame:
     return pairs.union(stars)
 
 
+def print_links(rows: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` between the set digests ``fp`` whose fingerprints ``bits`` are in one component of :func:`links`."""
+    prints = rows.select("fp", "bits").distinct()
+    near = components(links(prints.select(F.col("bits").alias("fp")).distinct()))
+    grouped = prints.join(near, F.col("bits") == F.col("node"), "left").select("fp", F.coalesce("root", "bits").alias("root"))
+    least = grouped.groupBy("root").agg(F.min("fp").alias("least"))
+    return grouped.join(least, "root").filter("fp <> least").select(F.col("fp").alias("a"), F.col("least").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, similarity: float | None = None) -> DataFrame:
     """``(id, fingerprint, component_id)``, one row for each row of ``docs``.
 
     ``component_id`` is the smallest id reachable over links of at most two
     differing bits between fingerprints of shingles of ``size`` words. With a
-    ``similarity``, links are instead those of :mod:`jaccard`: an exact Jaccard
-    similarity of the shingle sets of at least so much; ``fp`` is then a digest
-    of the set. Null, empty and blank texts have fingerprint zero and link
-    like any other; rows of one id keep a row each; null ids are members but
-    never name a component that has another id. No rows: no rows.
+    ``similarity``, texts whose shingle sets have an exact Jaccard similarity
+    of at least so much (:mod:`jaccard`) are linked as well, which reaches
+    past the two bits; ``fp`` is then a digest of the set. Null, empty and
+    blank texts have fingerprint zero and link like any other; rows of one id
+    keep a row each; null ids are members but never name a component that has
+    another id. No rows: no rows.
     """
-    made = fingerprint_rows(docs, id_col, text_col, size) if similarity is None else jaccard.set_rows(docs, id_col, text_col, size)
+    made = fingerprint_rows(docs, id_col, text_col, size) if similarity is None else jaccard.set_rows(docs, id_col, text_col, size, fingerprints)
     rows = cut(made, "fingerprints")
     distinct = rows.groupBy("fp").agg(F.min("id").alias("least"))
-    joined = components(links(distinct.select("fp")) if similarity is None else jaccard.links(docs, rows, id_col, text_col, size, similarity))
+    if similarity is None:
+        found = links(distinct.select("fp"))
+    else:
+        found = print_links(rows).union(jaccard.links(docs, rows, id_col, text_col, size, similarity))
+    joined = components(found)
     labels = distinct.join(joined, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = labels.groupBy("root").agg(F.min("least").alias("component_id"))
     named = labels.select("fp", "root").join(least, "root").select("fp", "component_id", "root")

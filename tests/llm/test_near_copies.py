@@ -79,3 +79,12 @@ def test_band_keys_find_the_bound():
             sets = [np.unique(np.concatenate([both, x])) for x in (left, right)]
             a, b = jaccard.band_keys(np.concatenate(sets), np.array([len(x) for x in sets]))
             assert (a == b).any()
+
+
+def test_stage_links_what_simhash_links(spark, sf_dir):
+    """Fingerprints count repeats: tails do not part texts that are one line over and over, though their sets share little."""
+    line = " ".join(f"w{i}" for i in range(7))
+    texts = {i: f"{line} " * 300 + " ".join(f"tail{i}x{j}" for j in range(12)) for i in (3, 5)} | {7: " ".join(f"other{j}" for j in range(40))}
+    assert not similar(shingles(texts[3]), shingles(texts[5]))
+    docs = spark.createDataFrame([(i, t, "en", None, 1) for i, t in texts.items()], SCHEMA)
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, sf_dir).collect()) == [3, 7]
