@@ -41,9 +41,14 @@ LEVEL = 3
 MEMO_BYTES = 96 << 20
 #: What a remembered word costs besides its bytes and ids.
 ENTRY_BYTES = 160
+#: Text of a piece: the longer, the fewer words are looked up again.
+ENCODE_BYTES = 4 << 20
 #: Plain words of one library call.
 TOGETHER = 64
-PLAIN_WORD = r"^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?$"
+#: Printable ASCII without the apostrophe of contractions and the ``<`` of special tokens, and the letters of Latin-1.
+PLAIN_WORD = r"^[!-&(-;=-~À-ÖØ-öø-ÿ]+$"
+#: The tokenizer's own cut of a plain word; each part ends in a token that ends a word.
+PLAIN_PARTS = r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^A-Za-zÀ-ÖØ-öø-ÿ0-9]+"
 # Fixed values of the public seekable format.
 SKIPPABLE_MAGIC = 0x184D2A50
 SEEK_TABLE_MAGIC = 0x184D2A5E
@@ -54,9 +59,9 @@ CHECKSUM_FLAG = 0x80
 class WordEncoder:
     """Ids of words by the tokenizers library; remembers the first words of a worker, up to ``MEMO_BYTES``.
 
-    Plain words (letters, one trailing point or comma) have a known number of
-    word ends, so many go through the library in one call, a space between
-    them, and are told apart by the tokens that end a word.
+    Plain words have a known number of word ends, one for each of their parts,
+    so many go through the library in one call, a space between them, and are
+    told apart by the tokens that end a word.
     """
 
     def __init__(self, path: str):
@@ -71,7 +76,7 @@ class WordEncoder:
 
     def __call__(self, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Number of ids and first id of each word, and the ids."""
-        distinct = vocab.to_pylist()
+        distinct = vocab.to_numpy(zero_copy_only=False).tolist()
         known = np.fromiter((self.memo.get(w, -1) for w in distinct), np.int64, len(distinct))
         missing = np.flatnonzero(known < 0)
         sizes, begins, flat = self._encode(vocab.take(pa.array(missing)))
@@ -89,10 +94,10 @@ class WordEncoder:
     def _encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         texts = A.valid_text(words)
         plain = pc.match_substring_regex(texts, PLAIN_WORD).to_numpy(zero_copy_only=False)
-        pointed = pc.match_substring_regex(texts, "[.,]$").to_numpy(zero_copy_only=False)[plain]
-        simple, others = texts.filter(pa.array(plain)).to_pylist(), self._call(texts.filter(pa.array(~plain)).to_pylist())
+        simple, others = texts.filter(pa.array(plain)), self._call(texts.filter(pa.array(~plain)).to_pylist())
+        parts, simple = pc.count_substring_regex(simple, PLAIN_PARTS).to_numpy(zero_copy_only=False), simple.to_numpy(zero_copy_only=False).tolist()
         ids = np.concatenate([np.empty(0, np.uint32), *self._call([" ".join(simple[i : i + TOGETHER]) for i in range(0, len(simple), TOGETHER)])])
-        stops = (np.flatnonzero(self.ends[ids]) + 1)[np.cumsum(1 + pointed) - 1]
+        stops = (np.flatnonzero(self.ends[ids]) + 1)[np.cumsum(parts) - 1]
         sizes, begins = np.zeros(len(plain), np.int64), np.zeros(len(plain), np.int64)
         begins[plain] = np.concatenate([[0], stops[:-1]]) if len(stops) else 0
         sizes[plain] = stops - begins[plain]
@@ -208,7 +213,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, id_col: str
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context, sink, tokens = TaskContext.get(), None, 0
         name = f"part-{context.partitionId():06d}"
-        for piece in A.pieces(batches, "text"):
+        for piece in A.pieces(batches, "text", ENCODE_BYTES):
             if sink is None:
                 store, root = open_store(folder)
                 store.create_dir(root, recursive=True)
