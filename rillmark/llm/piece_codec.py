@@ -32,10 +32,14 @@ from rillmark.llm import arrays as A
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 MARK_BYTES = np.frombuffer(MARK.encode(), np.uint8)
-#: Words a worker remembers between slices of texts.
-MEMO_WORDS = 200_000
+#: Text of a slice: the longer, the fewer words are looked up again.
+ENCODE_BYTES = 2 << 20
+#: Bytes of words and ids that a worker remembers between slices of texts, and what a word costs besides.
+MEMO_BYTES, ENTRY_BYTES = 96 << 20, 160
 #: Pairs of pieces whose merging a worker remembers.
-MEMO_PAIRS = 200_000
+MEMO_PAIRS = 400_000
+#: Steps of the piece automaton that a worker remembers.
+MEMO_STEPS = 400_000
 
 
 class PieceModel:
@@ -67,11 +71,28 @@ class PieceModel:
             raise ValueError("a piece reaches over a word's start")
         scores = [self.score[i] for i in self.ids.values()]
         self.unknown = min(scores, default=0.0) - 10.0
-        self.longest = max(map(len, self.ids), default=1)
-        #: Ends of pieces: the id of a piece, -1 for what is only the end of one.
-        self.tails = {p[n:]: -1 for p in self.ids for n in range(1, len(p))} | self.ids
+        #: Beginnings of pieces are the nodes of an automaton, made as texts reach them; the root is the empty one.
+        self.nodes: dict[str, int] = {p[:n]: -1 for p in self.ids for n in range(1, len(p) + 1)} | {"": 0}
+        self.names, self.next, self.ends, self.steps = [""], [{}], [[]], 0
         self.start = len(self.surface)
-        self.pairs: dict[int, bool] = {}
+        self.pairs: dict[int | tuple[str, str], bool] = {}
+
+    def step(self, node: int, char: str) -> int:
+        """The longest beginning of a piece that ends the text once ``char`` follows what ``node`` stands for."""
+        name = self.names[node] + char
+        while name not in self.nodes:
+            name = name[1:]
+        to = self.nodes[name]
+        if to < 0:
+            to = self.nodes[name] = len(self.names)
+            tails = [name[n:] for n in range(len(name))]
+            self.names.append(name)
+            self.next.append({})
+            self.ends.append([(len(t), t, self.ids[t]) for t in tails if t in self.ids])
+        if self.steps < MEMO_STEPS:
+            self.next[node][char] = to
+            self.steps += 1
+        return to
 
     def merged(self, text: str) -> list[str]:
         """Merges from single characters on: always the best-scored adjacent pair, the left one of equals."""
@@ -89,11 +110,11 @@ class PieceModel:
 
     def stays(self, left: str, left_id: int, right: str, right_id: int) -> bool:
         """Whether merging leaves these two neighbours as they are; ids are -1 for characters without a piece."""
-        key = left_id << 20 | right_id if left_id >= 0 and right_id >= 0 else -1
+        key = left_id << 20 | right_id if left_id >= 0 and right_id >= 0 else (left, right)
         known = self.pairs.get(key)
         if known is None:
             known = self.merged(left + right) == ([left, right] if left else [right])
-            if key >= 0 and len(self.pairs) < MEMO_PAIRS:
+            if len(self.pairs) < MEMO_PAIRS:
                 self.pairs[key] = known
         return known
 
@@ -106,6 +127,8 @@ class TrieWalk:
         self.word = ""
         #: For each prefix length: score, start, text and id of the last piece; the id is -1 for a bare character.
         self.states: list[tuple[float, int, str, int]] = [(0.0, 0, "", model.start)]
+        #: For each prefix length: the automaton's node.
+        self.nodes = [0]
         self.steps = 0
 
     def go(self, word: str) -> None:
@@ -114,43 +137,40 @@ class TrieWalk:
             if a != b:
                 break
             common += 1
-        del self.states[common + 1 :]
-        step = self._best if self.model.unigram else self._last
+        states, nodes, next_of, ends = self.states, self.nodes, self.model.next, self.model.ends
+        del states[common + 1 :], nodes[common + 1 :]
+        step, node = self._best if self.model.unigram else self._last, nodes[common]
         for end in range(common + 1, len(word) + 1):
-            self.states.append(step(word, end))
+            char = word[end - 1]
+            to = next_of[node].get(char)
+            node = self.model.step(node, char) if to is None else to
+            nodes.append(node)
+            states.append(step(ends[node], end, char))
         self.steps += len(word) - common
         self.word = word
 
-    def _pieces_ending(self, word: str, end: int) -> list[tuple[int, str, int]]:
-        """Start, text and id of the pieces that end here, the longest first; without any the bare character."""
-        tails, found = self.model.tails, []
-        for start in range(end - 1, max(-1, end - 1 - self.model.longest), -1):
-            piece = word[start:end]
-            i = tails.get(piece)
-            if i is None:
-                break
-            if i >= 0:
-                found.append((start, piece, i))
-        if not found or found[0][0] != end - 1:
-            found.insert(0, (end - 1, word[end - 1], -1))
-        found.reverse()
-        return found
-
-    def _best(self, word: str, end: int) -> tuple[float, int, str, int]:
+    def _best(self, pieces: list[tuple[int, str, int]], end: int, char: str) -> tuple[float, int, str, int]:
+        """The state after ``char``, of size, text and id of the pieces that end there, the longest first; without one of a character it stands bare."""
         model, states = self.model, self.states
         best = None
-        for start, piece, i in self._pieces_ending(word, end):
-            score = states[start][0] + (model.score[i] if i >= 0 else model.unknown)
+        for size, piece, i in pieces if pieces and pieces[-1][0] == 1 else [*pieces, (1, char, -1)]:
+            score = states[end - size][0] + (model.score[i] if i >= 0 else model.unknown)
             if best is None or score > best[0]:
-                best = score, start, piece, i
+                best = score, end - size, piece, i
         return best
 
-    def _last(self, word: str, end: int) -> tuple[float, int, str, int]:
+    def _last(self, pieces: list[tuple[int, str, int]], end: int, char: str) -> tuple[float, int, str, int]:
+        """As :meth:`_best`, by merges."""
         model, states = self.model, self.states
-        for start, piece, i in self._pieces_ending(word, end):
-            if model.stays(states[start][2], states[start][3], piece, i):
-                return 0.0, start, piece, i
-        raise AssertionError(f"no encoding of {word[:end]!r} ends here")
+        for size, piece, i in pieces:
+            _, _, left, left_id = states[end - size]
+            stays = model.pairs.get(left_id << 20 | i) if left_id >= 0 else None
+            if model.stays(left, left_id, piece, i) if stays is None else stays:
+                return 0.0, end - size, piece, i
+        _, _, left, left_id = states[end - 1]
+        if (not pieces or pieces[-1][0] != 1) and model.stays(left, left_id, char, -1):
+            return 0.0, end - 1, char, -1
+        raise AssertionError(f"no encoding of {self.word!r} ends here")
 
     def spell(self) -> list[int]:
         out, end = [], len(self.word)
@@ -162,10 +182,11 @@ class TrieWalk:
 
 
 class Memo:
-    """Ids of the first ``MEMO_WORDS`` words a worker met, back to back in one array."""
+    """Ids of the words a worker met first, up to ``MEMO_BYTES``, back to back in one array."""
 
     def __init__(self):
         self.at: dict[bytes, int] = {}
+        self.room = MEMO_BYTES
         self.sizes, self.ids = np.empty(0, np.int64), np.empty(0, np.int32)
 
     def look_up(self, words: list[bytes], model: PieceModel) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -173,11 +194,14 @@ class Memo:
         known = np.fromiter((self.at.get(w, -1) for w in words), np.int64, len(words))
         missing = np.flatnonzero(known < 0)
         made = encode_words([words[i].decode("utf-8", "replace") for i in missing.tolist()], model)
-        sizes = np.concatenate([self.sizes, np.fromiter(map(len, made), np.int64, len(made))])
+        new = np.fromiter(map(len, made), np.int64, len(made))
+        sizes = np.concatenate([self.sizes, new])
         ids = np.concatenate([self.ids, np.fromiter((i for word in made for i in word), np.int32)])
         known[missing] = len(self.sizes) + np.arange(len(missing))
-        spare = min(max(0, MEMO_WORDS - len(self.at)), len(missing))
+        cost = np.cumsum(np.fromiter((len(words[i]) for i in missing.tolist()), np.int64, len(missing)) + 4 * new + ENTRY_BYTES)
+        spare = int(np.searchsorted(cost, self.room, side="right"))
         if spare:
+            self.room -= int(cost[spare - 1])
             self.at.update((words[i], len(self.sizes) + k) for k, i in enumerate(missing[:spare].tolist()))
             self.sizes = sizes[: len(self.sizes) + spare]
             self.ids = ids[: self.sizes.sum()]
@@ -236,7 +260,7 @@ def encode_texts(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     array = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(data)])
     encoded = array.dictionary_encode()
     codes = encoded.indices.to_numpy()
-    sizes, begins, flat = memo.look_up(encoded.dictionary.to_pylist(), model)
+    sizes, begins, flat = memo.look_up(encoded.dictionary.to_numpy(zero_copy_only=False).tolist(), model)
     lengths = sizes[codes]
     last = np.cumsum(counts)
     before = np.concatenate([[0], np.cumsum(lengths)])
@@ -271,7 +295,7 @@ def encode(docs: DataFrame, path: str | None = None, text_col: str = "text", ids
     path = path or public_tokenizers.path(MODEL)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in A.pieces(batches, text_col):
+        for piece in A.pieces(batches, text_col, ENCODE_BYTES):
             column = piece.column(piece.schema.get_field_index(text_col))
             ids, offsets = encode_texts(column, path)
             made = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32)), mask=column.is_null())

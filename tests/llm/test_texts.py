@@ -297,3 +297,24 @@ def test_empty_tables(docs):
     assert simhash.near_duplicates(none).count() == 0
     assert simhash.keep_one_of_each(none).count() == 0
     assert piece_codec.decode(piece_codec.encode(none)).count() == 0
+
+
+def test_words_with_signs_and_digits_share_library_calls():
+    encoder = token_archive.WordEncoder(public_tokenizers.path(token_archive.TOKENIZER))
+    words = [f"Ab{i}$$%" for i in range(200)] + ["|", "--", "x-y.z", "été#1", "don't", "<|endoftext|>", "a</w>b", "it's,", "10,000.50", "Ω1"]
+    sent = []
+    call = encoder._call
+    encoder._call = lambda texts: sent.append(len(texts)) or call(texts)
+    sizes, begins, flat = encoder(pa.array([w.encode() for w in words], pa.large_binary()))
+    assert [flat[b : b + n].tolist() for n, b in zip(sizes, begins)] == [encoder.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+    assert sum(sent) <= 5 + -(-len(words) // token_archive.TOGETHER)
+
+
+def test_word_ids_are_remembered_up_to_a_number_of_bytes():
+    model, memo = piece_codec.PieceModel(public_tokenizers.path(piece_codec.MODEL)), piece_codec.Memo()
+    memo.room, library = 2000, piece_codec.library()
+    words = [("▁" + "long" * 100 + str(i)).encode() for i in range(20)] + ["▁short".encode(), "▁λ\U0001f600λ".encode()]
+    for given in (words, words[::-1]):
+        sizes, begins, ids = memo.look_up(given, model)
+        assert [ids[b : b + n].tolist() for n, b in zip(sizes, begins)] == [library.encode(w.decode()[1:]) for w in given]
+    assert 0 < len(memo.at) < 8 and memo.room >= 0
