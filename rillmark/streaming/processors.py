@@ -7,6 +7,10 @@ in its first columns (:class:`Table`). It is read and written once in a batch
 that has rows or a timer of the bucket, and a bucket has one timer, the
 earliest its rows need.
 
+Spark hands rows to a processor one Python tuple each, so rows go to it packed,
+a map task's rows of a bucket as one Arrow blob (:func:`packed`). Where event
+time counts they cannot: Spark drops late rows one by one before the processor.
+
 State per key is one value (seen flag, day, last reading). The bounce detector
 alone keeps a key's undecided rows, those of its waiting time, and sorts them
 in each batch. The RocksDB state store is needed.
@@ -19,16 +23,19 @@ from datetime import timedelta
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from rillmark.functions.times import as_interval, epoch_micros, micros
 from rillmark.session import PROVIDER_CONF, ROCKSDB_PROVIDER
 
 #: Part of a checkpoint: a job must keep it.
 BUCKETS = 256
+#: A map task packs its rows whenever it holds this much.
+PACK_BYTES = 16 << 20
 WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
@@ -283,6 +290,63 @@ class BounceDetector(StatefulProcessor):
         pass
 
 
+def packed(df: DataFrame, bucket: str) -> DataFrame:
+    """``bucket, packed``: rows of a bucket as Arrow streams, some of them in each; ``bucket`` is not in them."""
+
+    def pack(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        of = table[bucket].to_numpy()
+        by_bucket = np.argsort(of, kind="stable")
+        table, of = table.drop_columns([bucket]).take(by_bucket).combine_chunks(), of[by_bucket]
+        starts = np.flatnonzero(firsts(of))
+        blobs = []
+        for a, b in zip(starts, [*starts[1:], len(of)], strict=True):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema) as writer:
+                writer.write_table(table.slice(a, b - a))
+            blobs.append(sink.getvalue().to_pybytes())
+        return pa.RecordBatch.from_pydict({bucket: pa.array(of[starts], pa.int32()), "packed": pa.array(blobs, pa.binary())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            held += [batch] if batch.num_rows else []
+            if sum(b.nbytes for b in held) >= PACK_BYTES:
+                yield pack(held)
+                held = []
+        if held:
+            yield pack(held)
+
+    return df.mapInArrow(run, f"`{bucket}` int, packed binary")
+
+
+class Unpacked(StatefulProcessor):
+    """A processor whose rows come packed; they look as Spark gives them, times in the session's zone."""
+
+    def __init__(self, processor: StatefulProcessor, zone: str):
+        self.processor, self.zone = processor, zone
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.processor.init(handle)
+
+    def _rows(self, blobs: pd.Series) -> pd.DataFrame:
+        rows = pa.concat_tables([pa.ipc.open_stream(blob).read_all() for blob in blobs]).to_pandas(date_as_object=True)
+        zoned = [c for c in rows if isinstance(rows[c].dtype, pd.DatetimeTZDtype)]
+        return rows.assign(**{c: rows[c].dt.tz_convert(self.zone).dt.tz_localize(None) for c in zoned})
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        yield from self.processor.handleInputRows(key, (self._rows(part["packed"]) for part in rows), timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self.processor.handleExpiredTimer(key, timerValues, expiredTimerInfo)
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        self.processor.handleInitialState(key, initialState, timerValues)
+
+    def close(self) -> None:
+        self.processor.close()
+
+
 def run_processor(
     df: DataFrame, key: str | list[str], processor: StatefulProcessor, schema: StructType | str, time_mode: str = "none", initial: DataFrame | None = None
 ) -> DataFrame:
@@ -299,7 +363,11 @@ def run_processor(
         name += "_"
     bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
     start = None if initial is None else initial.withColumn(name, bucket).groupBy(name)
-    return df.withColumn(name, bucket).groupBy(name).transformWithStateInPandas(processor, schema, outputMode="append", timeMode=time_mode, initialState=start)
+    rows = df.withColumn(name, bucket)
+    # Values within others would not look as Spark gives them.
+    if time_mode != "EventTime" and not any(isinstance(f.dataType, ArrayType | MapType | StructType | VariantType) for f in df.schema):
+        rows, processor = packed(rows, name), Unpacked(processor, df.sparkSession.conf.get("spark.sql.session.timeZone"))
+    return rows.groupBy(name).transformWithStateInPandas(processor, schema, outputMode="append", timeMode=time_mode, initialState=start)
 
 
 def repair_stream(df: DataFrame, key: str, flag: str) -> DataFrame:
