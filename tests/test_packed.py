@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import os
 from datetime import date, datetime
 from decimal import Decimal
 
 import pandas as pd
+from pyspark.sql import functions as F
 from test_streams import feed
 
-from rillmark.plans import stream_queries
+from rillmark.plans import layer_queries, stream_queries
 from rillmark.streaming import jobs, processors, stateful
 
 
@@ -52,3 +54,12 @@ def test_state_partitions_follow_the_cores_not_the_size():
     assert stream_queries.state_partitions(600, 12, False) == stream_queries.state_partitions(100, 12, False) == 24
     assert stream_queries.state_partitions(600, 64, False) == 64 and stream_queries.state_partitions(6, 64, False) == 6
     assert stream_queries.state_partitions(100, 8, True) == 8
+
+
+def test_slices_of_a_topic_have_files_for_their_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(layer_queries, "ROWS_PER_FILE", 50)
+    lines = spark.range(1000).select(F.col("id").alias("n"), F.col("id").cast("string").alias("value"))
+    files = layer_queries._append_in_order(lines, "n", "t", str(tmp_path))
+    assert files == 5
+    assert len([f for f in os.listdir(tmp_path / "topic=t") if f.endswith(".parquet")]) == 4 * files
+    assert layer_queries._append_in_order(lines.filter("n < 4"), "n", "u", str(tmp_path)) == layer_queries.FILES
