@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,11 @@ PIECE_BYTES = 1 << 20
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+SECOND_MULTIPLIER = np.uint64(0xC4CEB9FE1A85EC53)
+#: Runs of more bytes are hashed one by one.
+LONG_RUN = 256
+#: Keeps the first 0 to 8 bytes of a little-endian number.
+FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,20 +68,32 @@ def table_pieces(table: pa.Table, text: str) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Words:
-    """The words of some texts; ``codes`` points into the distinct words ``vocab``."""
+    """The words of some texts."""
 
     data: np.ndarray
     offsets: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
     counts: np.ndarray
-    codes: np.ndarray
-    vocab: pa.Array
 
     @property
     def size(self) -> int:
         return len(self.starts)
 
+    @cached_property
+    def _encoded(self) -> tuple[np.ndarray, pa.Array]:
+        return encode_spans(self.data, self.starts, self.ends)
+
+    @property
+    def codes(self) -> np.ndarray:
+        """Places of the words in ``vocab``."""
+        return self._encoded[0]
+
+    @property
+    def vocab(self) -> pa.Array:
+        """The distinct words."""
+        return self._encoded[1]
+
     @property
     def docs(self) -> np.ndarray:
         """Number of the text each word belongs to."""
@@ -86,10 +104,33 @@ class Words:
         return np.repeat(np.cumsum(self.counts), self.counts) - np.arange(self.size)
 
     def hashes(self, seed: int = 0) -> np.ndarray:
-        """XXH64 of each word, computed once for each distinct word."""
-        digest = xxhash.xxh64_intdigest
-        distinct = np.fromiter((digest(w, seed) for w in self.vocab.to_pylist()), np.uint64, len(self.vocab))
-        return distinct[self.codes] if self.size else np.empty(0, np.uint64)
+        """64 bits of hash of each word."""
+        return span_hashes(self.data, self.starts, self.ends, seed)
+
+
+def _mixed(state: np.ndarray) -> np.ndarray:
+    state = state * MULTIPLIER
+    state ^= state >> np.uint64(32)
+    state *= SECOND_MULTIPLIER
+    state ^= state >> np.uint64(29)
+    return state
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64 bits of hash of each run of bytes, eight bytes of all runs at a time."""
+    size = ends - starts
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    start = int(_mixed(np.array([seed + 1], np.uint64))[0])
+    state = _mixed((eight[starts] & FIRST_BYTES[np.minimum(size, 8)]) ^ (size.astype(np.uint64) + np.uint64(start >> 1)))
+    done, more = 8, np.flatnonzero((size > 8) & (size <= LONG_RUN))
+    while len(more):
+        state[more] = _mixed(state[more] ^ (eight[starts[more] + done] & FIRST_BYTES[np.minimum(size[more] - done, 8)]))
+        done += 8
+        more = more[size[more] > done]
+    for i in np.flatnonzero(size > LONG_RUN).tolist():
+        state[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]], seed)
+    return state
 
 
 def spans(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,8 +160,7 @@ def encode_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, separat
 def words_of(column: pa.Array | pa.ChunkedArray) -> Words:
     data, offsets = text_buffer(column)
     starts, ends, counts = spans(data, offsets)
-    codes, vocab = encode_spans(data, starts, ends)
-    return Words(data, offsets, starts, ends, counts, codes, vocab)
+    return Words(data, offsets, starts, ends, counts)
 
 
 def valid_text(values: pa.Array) -> pa.Array:
@@ -136,13 +176,24 @@ def rolling(hashes: np.ndarray, size: int) -> np.ndarray:
     n = len(hashes) - size + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    total = hashes[:n].copy()
-    for j in range(1, size):
-        total *= MULTIPLIER
-        total += hashes[j : j + n]
+    # Runs of 1, 2, 4 ... entries; those that add up to ``size`` are put together, the short ones behind.
+    part, width, total, held = hashes, 1, None, 0
+    while True:
+        if size & width:
+            total = part if total is None else part[: len(total) - width] * _power(held) + total[width:]
+            held += width
+        if 2 * width > size:
+            break
+        part = part[: len(part) - width] * _power(width) + part[width:]
+        width *= 2
+    total = total[:n]
     return total ^ (total >> np.uint64(29))
 
 
+def _power(exponent: int) -> np.uint64:
+    return np.uint64(pow(int(MULTIPLIER), exponent, 1 << 64))
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices ``starts[i] .. starts[i] + lengths[i]`` of all i, back to back."""
     total = int(lengths.sum())

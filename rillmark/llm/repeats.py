@@ -214,8 +214,8 @@ def _removed(words: A.Words, ids: np.ndarray, known: tuple[np.ndarray, ...], lay
     at, where = at[found], where[found]
     at = at[doc[where] < ids[words.docs[at]]]
     change = np.zeros(words.size + 1, np.int64)
-    np.add.at(change, at, 1)
-    np.add.at(change, at + layout.window, -1)
+    change[at] += 1
+    change[at + layout.window] -= 1
     return np.cumsum(change)[:-1] > 0
 
 
@@ -253,8 +253,8 @@ def _kept_texts(words: A.Words, keep: np.ndarray, joined: bool) -> pa.Array:
         leads = np.where(words.counts > 0, words.starts[np.minimum(np.cumsum(words.counts) - words.counts, max(words.size - 1, 0))] if words.size else 0, words.offsets[1:])
         np.add.at(mark, heads, 1)
         np.add.at(mark, leads, -1)
-    np.add.at(mark, starts, 1)
-    np.add.at(mark, stops, -1)
+    mark[starts] += 1
+    mark[stops] -= 1
     inside = np.cumsum(mark[:-1], dtype=np.int64) > 0
     sizes = np.concatenate([[0], np.cumsum(inside)])[words.offsets]
     return A.strings(data[inside], sizes - sizes[0])
