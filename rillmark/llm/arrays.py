@@ -50,7 +50,10 @@ def strings(data: np.ndarray, offsets: np.ndarray, kind: pa.DataType | None = No
 
 
 def pieces(batches: Iterable[pa.RecordBatch], text: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with about ``limit`` bytes of text each, in order."""
+    """Slices of the batches with about ``limit`` bytes of text each, in order.
+
+    Workers outlive a task and keep what Arrow has freed, so that is given back after each batch.
+    """
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -60,6 +63,8 @@ def pieces(batches: Iterable[pa.RecordBatch], text: str, limit: int = PIECE_BYTE
         cuts = np.flatnonzero(np.diff(part)) + 1
         for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
             yield batch.slice(lo, hi - lo)
+        del batch, column
+        pa.default_memory_pool().release_unused()
 
 
 def table_pieces(table: pa.Table, text: str) -> Iterator[pa.RecordBatch]:

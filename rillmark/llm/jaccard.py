@@ -32,6 +32,8 @@ BANDS, ROWS = 32, 4
 PAIRS_TO = 8
 #: About so many sets and shingles are in a chunk that is compared at once.
 CHUNK_SETS, CHUNK_HASHES = 128, 1 << 15
+#: Shingles that the matrices of two chunks hold at once.
+VOCAB_BLOCK = 4096
 SEED = 42
 _RANDOM = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * ROWS), np.uint64)
 _MASKS, _FACTORS = _RANDOM[0], _RANDOM[1] | np.uint64(1)
@@ -191,8 +193,7 @@ def crowd_links(members: DataFrame, sets: DataFrame, similarity: float) -> DataF
         for batch in batches:
             for i in range(batch.num_rows):
                 (x, x_root, left), (y, y_root, right) = (_chunk(batch.column(c)[i].values) for c in (0, 1))
-                vocab = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
-                both = np.rint(_matrix(left, vocab) @ _matrix(right, vocab).T)
+                both = in_both(left, right)
                 union = np.array([len(s) for s in left])[:, None] + np.array([len(s) for s in right])[None, :] - both
                 at, to = np.nonzero((both / union >= similarity) & (x_root[:, None] != y_root[None, :]))
                 yield pa.record_batch([pa.array(x[at]), pa.array(y[to])], names=["a", "b"])
@@ -205,9 +206,19 @@ def _chunk(rows: pa.StructArray) -> tuple[np.ndarray, np.ndarray, list[np.ndarra
     return fp.to_numpy(), root.to_numpy(), [np.frombuffer(h.as_buffer(), np.uint64) for h in hashes]
 
 
+def in_both(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set on the left shares with each on the right."""
+    vocab = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
+    both = np.zeros((len(left), len(right)))
+    for lo in range(0, len(vocab), VOCAB_BLOCK):
+        block = vocab[lo : lo + VOCAB_BLOCK]
+        both += np.rint(_matrix(left, block) @ _matrix(right, block).T)
+    return both
+
+
 def _matrix(sets: list[np.ndarray], vocab: np.ndarray) -> np.ndarray:
     """One row of zeros and ones for each set."""
-    made = np.zeros((len(sets), len(vocab)))
+    made = np.zeros((len(sets), len(vocab)), np.float32)
     for i, each in enumerate(sets):
         hit, at = A.member(each, vocab)
         made[i, at[hit]] = 1

@@ -32,14 +32,14 @@ from rillmark.llm import arrays as A
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 MARK_BYTES = np.frombuffer(MARK.encode(), np.uint8)
-#: Text of a slice: the longer, the fewer words are looked up again.
-ENCODE_BYTES = 2 << 20
-#: Bytes of words and ids that a worker remembers between slices of texts, and what a word costs besides.
-MEMO_BYTES, ENTRY_BYTES = 96 << 20, 160
-#: Pairs of pieces whose merging a worker remembers.
-MEMO_PAIRS = 400_000
-#: Steps of the piece automaton that a worker remembers.
-MEMO_STEPS = 400_000
+#: Text of a slice: the longer, the fewer words are looked up again, and the larger its arrays.
+ENCODE_BYTES = 1 << 19
+#: Bytes of words and ids that a task remembers between slices of texts, and what a word costs besides.
+MEMO_BYTES, ENTRY_BYTES = 32 << 20, 160
+#: Pairs of pieces whose merging a task remembers.
+MEMO_PAIRS = 200_000
+#: Steps of the piece automaton that a task remembers.
+MEMO_STEPS = 200_000
 
 
 class PieceModel:
@@ -182,7 +182,7 @@ class TrieWalk:
 
 
 class Memo:
-    """Ids of the words a worker met first, up to ``MEMO_BYTES``, back to back in one array."""
+    """Ids of the words a task met first, up to ``MEMO_BYTES``, back to back in one array."""
 
     def __init__(self):
         self.at: dict[bytes, int] = {}
@@ -304,6 +304,8 @@ def encode(docs: DataFrame, path: str | None = None, text_col: str = "text", ids
                 columns.append(_decoded(made, _worker_model(path)[0]))
                 names.append(decoded_col)
             yield pa.RecordBatch.from_arrays(columns, names=names)
+        # The worker goes on to tasks of other stages.
+        _worker_model.cache_clear()
 
     kind = _with(docs, ids_col, "array<int>")
     return docs.mapInArrow(run, kind.add(decoded_col, "string") if decoded_col else kind)
