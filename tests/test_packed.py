@@ -56,6 +56,22 @@ def test_state_partitions_follow_the_cores_not_the_size():
     assert stream_queries.state_partitions(100, 8, True) == 8
 
 
+def test_a_session_need_not_set_the_number_of_partitions(spark):
+    """Spark has a default; what was not set before a query is not set after it, and what was is as it was."""
+    key = "spark.sql.shuffle.partitions"
+    before, cores = spark.conf.get(key), spark.sparkContext.defaultParallelism
+    query = stream_queries.with_local_state(lambda s, d: s.conf.get(key))
+    try:
+        spark.conf.unset(key)
+        unset = spark.conf.get(key, None)
+        assert query(spark, "") == str(min(int(spark.conf.get(key)), cores))
+        assert unset is None and spark.conf.get(key, None) is None
+        spark.conf.set(key, "3")
+        assert query(spark, "") == "3" and spark.conf.get(key) == "3"
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_slices_of_a_topic_have_files_for_their_rows(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(layer_queries, "ROWS_PER_FILE", 50)
     lines = spark.range(1000).select(F.col("id").alias("n"), F.col("id").cast("string").alias("value"))
