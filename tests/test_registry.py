@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import oracle
 import pytest
+from pyspark.errors import AnalysisException
 
 from rillmark.plans.batch_queries import BATCH
 from rillmark.plans.layer_queries import LAYER_ORACLES, LAYERS
@@ -39,6 +40,20 @@ def test_skew_path_matches_sql(name, tight, sf_dir, con):
     assert oracle.difference(got, oracle.sql_bag(con, ORACLES[name])) is None
 
 
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(BATCH)))
+def test_query_needs_no_number_of_partitions(name, spark, tmp_path):
+    """A session that sets none gets as far as the tables, here missing ones, and still sets none."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.unset(key)
+    try:
+        with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+            QUERIES[name](spark, str(tmp_path)).collect()
+        assert spark.conf.get(key, None) is None
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_entry_contract(spark):
     import __spark_entry__ as contract
 
